@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from portrisk import profiles as P
+from portrisk.session import new_folder
 
 SPARK = {
     "text": "string",
@@ -114,20 +115,49 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# (application, directory, view) -> path of the stored view
+_PATHS: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str, view: str, build) -> DataFrame:
+    """A derived feed as a stored table, written once per application.
+
+    The operators then meet what they meet in production, a Parquet table whose
+    columns can be pruned and filtered in the scan, not a projection that is
+    expanded into every query.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, view)
+    if key not in _PATHS:
+        path = new_folder(spark, view)
+        build().write.parquet(path)
+        _PATHS[key] = path
+    return spark.read.parquet(_PATHS[key])
+
+
 def gkg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").selectExpr(*gkg_columns(SPARK))
+    return _stored(
+        spark, sf_dir, "gkg", lambda: read(spark, sf_dir, "events").selectExpr(*gkg_columns(SPARK))
+    )
 
 
 def linked_gkg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """News whose address is that of a stored page."""
-    pages = read(spark, sf_dir, "pages").select("page_id", "url")
-    n = pages.count()
-    events = read(spark, sf_dir, "events").selectExpr("*", f"event_id % {n} as page_id")
-    return events.join(pages, "page_id").selectExpr(*gkg_columns(SPARK, "url"))
+    def build():
+        pages = read(spark, sf_dir, "pages").select("page_id", "url")
+        n = pages.count()
+        events = read(spark, sf_dir, "events").selectExpr("*", f"event_id % {n} as page_id")
+        return events.join(pages, "page_id").selectExpr(*gkg_columns(SPARK, "url"))
+
+    return _stored(spark, sf_dir, "linked_gkg", build)
 
 
 def geo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").selectExpr(*geo_event_columns(SPARK))
+    return _stored(
+        spark,
+        sf_dir,
+        "geo_events",
+        lambda: read(spark, sf_dir, "events").selectExpr(*geo_event_columns(SPARK)),
+    )
 
 
 def ports(spark: SparkSession, sf_dir: str) -> DataFrame:

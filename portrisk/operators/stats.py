@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,17 +79,16 @@ def minmax_transform(
 def minmax_inverse(
     df: DataFrame,
     fitted: DataFrame,
-    column: str,
+    columns: Mapping[str, str],
     source: str = "Diff",
-    name: str | None = None,
     keys: Sequence[str] = ("profile",),
 ) -> DataFrame:
-    """Undo the scaling of ``column`` with the limits fitted on ``source``."""
-    limits = fitted.select(*keys, f"{source}_min", f"{source}_range")
-    value = F.col(column) * F.col(f"{source}_range") + F.col(f"{source}_min")
+    """Undo the scaling with the limits fitted on ``source``: {scaled: result} columns."""
+    low, width = F.col(f"{source}_min"), F.col(f"{source}_range")
+    limits = fitted.select(*keys, low, width)
     return (
         df.join(limits, list(keys))
-        .withColumn(name or column, value)
+        .withColumns({name: F.col(c) * width + low for c, name in columns.items()})
         .drop(f"{source}_min", f"{source}_range")
     )
 

@@ -6,7 +6,7 @@ the rows of one window are bounded by the calendar, never by the news volume.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -62,23 +62,29 @@ def skip_first(df: DataFrame, n: int | Column, keys: Sequence[str] = ("profile",
 
 def sliding_windows(
     df: DataFrame,
-    n: int,
+    n: int | Mapping[str, int],
     features: Sequence[str],
     target: str = "Diff",
     keys: Sequence[str] = ("profile", "split"),
 ) -> DataFrame:
     """Features of the ``n`` rows before each row, oldest first, and its target.
 
-    Windows do not cross from training into test rows, and rows with fewer than
-    ``n`` predecessors are dropped.
+    ``n`` is one number or one per profile. Windows do not cross from training
+    into test rows, and rows with fewer than ``n`` predecessors are dropped.
     """
     order = by_date(*keys)
-    before = order.rowsBetween(-n, -1)
+    if isinstance(n, int):
+        widest, length = n, F.lit(n)
+    else:
+        widest = max(n.values())
+        length = F.coalesce(*[F.when(F.col("profile") == p, F.lit(v)) for p, v in n.items()])
     row = F.array(*[F.col(c).cast("double") for c in features])
+    past = F.collect_list(row).over(order.rowsBetween(-widest, -1))
     return (
-        df.withColumn("window", F.flatten(F.collect_list(row).over(before)))
-        .withColumn("target", F.col(target).cast("double"))
+        df.withColumn("_past", past)
         .withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") > n)
-        .drop("_n")
+        .where(F.col("_n") > length)
+        .withColumn("window", F.flatten(F.slice("_past", -length, length)))
+        .withColumn("target", F.col(target).cast("double"))
+        .drop("_n", "_past")
     )

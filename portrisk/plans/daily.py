@@ -25,7 +25,8 @@ def bronze_news(spark: SparkSession, raw_path: str, table_path: str, low: str, h
     """Upsert the landed news of a day or range by the identity of the news row."""
     day = read_raw(spark, raw_path, low, high)
     rows = stamp_lineage(normalise_null_strings(day), F.col(DAY)).drop(DAY)
-    upsert_into(spark, table_path, rows, P.NEWS_KEY, "extraction_date")
+    # missing parts of the key are real nulls here, and two missing parts are equal
+    upsert_into(spark, table_path, rows, P.NEWS_KEY, "extraction_date", null_safe=True)
 
 
 def silver_news(
@@ -35,7 +36,7 @@ def silver_news(
     """Add the port news of a day or range to the silver table."""
     raw = scan_range(spark.read.parquet(bronze_path), low, high or low, "extraction_date")
     keys = ["Date", *[k for k in P.NEWS_KEY if k != "DATE"]]
-    insert_only_into(spark, table_path, build_silver(raw, pages), keys, "Date")
+    insert_only_into(spark, table_path, build_silver(raw, pages), keys, "Date", null_safe=True)
 
 
 def gold_report(

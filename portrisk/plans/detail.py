@@ -10,16 +10,13 @@ from pyspark.sql import functions as F
 from portrisk import profiles as P
 from portrisk.functions.text import extractive_summary, slice_content
 from portrisk.functions.themes import theme_flags
-from portrisk.operators.aggregates import combine_routes
-from portrisk.operators.filters import (
-    drop_scrape_errors,
-    negative_only,
-    on_route,
-    period,
-)
+from portrisk.operators.filters import drop_scrape_errors, negative_only, period
+from portrisk.operators.joins import attach_summary
 from portrisk.operators.ranking import top_themes
+from portrisk.session import freeze
 
 NEWS_ID = ("CAMEOEVENTIDS", "SOURCEURLS")
+ROUTES = ("is_ruta_transpacifica", "is_ruta_transatlantica")
 
 # fixed values: report columns and the stored columns they show
 DETAIL_COLUMNS = {
@@ -40,29 +37,32 @@ def detail_projection(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(source).alias(name) for name, source in DETAIL_COLUMNS.items()])
 
 
-def problem_news(silver: DataFrame, flag: str, since: str | None = None) -> DataFrame:
-    """Negative, readable news of a route with their risk score."""
-    rows = drop_scrape_errors(negative_only(period(silver, since)))
-    return on_route(theme_flags(rows, P.RISK_THEMES), flag)
+def problem_news(
+    silver: DataFrame, routes: Sequence[str] = ROUTES, since: str | None = None
+) -> DataFrame:
+    """Negative, readable news with their risk score, once per route they are on."""
+    rows = theme_flags(drop_scrape_errors(negative_only(period(silver, since))), P.RISK_THEMES)
+    on = F.array_compact(F.array(*[F.when(F.col(flag) == 1, F.lit(flag)) for flag in routes]))
+    return rows.withColumn("route", F.explode(on))
 
 
 def summarise(news: DataFrame, k: int = 3, span: tuple[int, int] | None = None) -> DataFrame:
-    """News identity and summary. Whole texts are read unless a ``span`` is given.
+    """Route, day and identity of each news row with its summary.
 
-    A page shared by several news is summarised once. The texts here are the few
-    worst news per day, keyed by a digest of their text.
+    Whole texts are read unless a ``span`` is given. A text shared by several
+    news is summarised once: texts are keyed by their digest.
     """
     if span is not None:
         news = slice_content(news, *span)
     keyed = news.withColumn("_text", F.sha2("contenturl", 256))
     texts = keyed.groupBy("_text").agg(F.first("contenturl").alias("contenturl"))
     summaries = extractive_summary(texts, k, "_text", "contenturl")
-    return keyed.join(summaries, "_text").select("Date", *NEWS_ID, "summary")
+    return keyed.join(summaries, "_text").select("route", "Date", *NEWS_ID, "summary")
 
 
 def news_detail_report(
     silver: DataFrame,
-    routes: Sequence[str] = ("is_ruta_transpacifica", "is_ruta_transatlantica"),
+    routes: Sequence[str] = ROUTES,
     since: str | None = None,
     k: int = 3,
     sentences: int = 3,
@@ -70,12 +70,13 @@ def news_detail_report(
 ) -> DataFrame:
     """All problem news of the routes; the ``k`` highest scored of a day carry a summary.
 
+    The routes' reports are stacked: a news row on two routes appears for both.
     Summaries are joined on the news itself, not on its rank, so a tie cannot
-    hand a summary to another article. A page on two routes appears for both.
+    hand a summary to another article. The best news are few (``k`` per day and
+    route), so they are frozen before their texts are read several times over.
     """
-    reports = []
-    for flag in routes:
-        news = problem_news(silver, flag, since)
-        best = summarise(top_themes(news, k), sentences, span).dropDuplicates(["Date", *NEWS_ID])
-        reports.append(detail_projection(news.join(best, ["Date", *NEWS_ID], "left")))
-    return combine_routes(*reports)
+    news = problem_news(silver, routes, since)
+    best = freeze(top_themes(news, k, by=("route", "Date")))
+    keys = ["route", "Date", *NEWS_ID]
+    summaries = summarise(best, sentences, span).dropDuplicates(keys)
+    return detail_projection(attach_summary(news.drop("contenturl"), summaries, keys))

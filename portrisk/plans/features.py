@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from portrisk import profiles as P
 from portrisk.functions.parse import parse_locations, parse_tone, with_date
@@ -63,13 +62,5 @@ def scaled_windows(frame: DataFrame, lags: int | None = None) -> tuple[DataFrame
     """
     limits = minmax_fit(frame, P.FEATURES)
     scaled = minmax_transform(frame, limits, P.FEATURES)
-    if lags is not None:
-        return sliding_windows(scaled, lags, P.FEATURES), limits
-    parts = []
-    for n in sorted({P.lags_for(p) for p in P.PROFILES}):
-        names = [p for p in P.PROFILES if P.lags_for(p) == n]
-        parts.append(sliding_windows(scaled.where(F.col("profile").isin(*names)), n, P.FEATURES))
-    windows = parts[0]
-    for part in parts[1:]:
-        windows = windows.unionByName(part)
-    return windows, limits
+    lengths = lags if lags is not None else {p: P.lags_for(p) for p in P.PROFILES}
+    return sliding_windows(scaled, lengths, P.FEATURES), limits

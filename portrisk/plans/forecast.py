@@ -61,8 +61,9 @@ def naive_forecast(frame: DataFrame, season: int = 7) -> DataFrame:
 
 def real_units(scored: DataFrame, limits: DataFrame) -> DataFrame:
     """Add the prediction and the target in news per day."""
-    real = minmax_inverse(scored, limits, "prediction", name="DifferencialPredictions")
-    return minmax_inverse(real, limits, "target", name="RealDiff")
+    return minmax_inverse(
+        scored, limits, {"prediction": "DifferencialPredictions", "target": "RealDiff"}
+    )
 
 
 def next_day_news(

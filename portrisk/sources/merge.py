@@ -21,7 +21,7 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def _without_match(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``.
 
     With plain equality a null key matches nothing. Such rows bypass the join:
@@ -33,10 +33,10 @@ def _without_match(left: DataFrame, right: DataFrame, keys: Sequence[str], null_
             lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
         )
         return left.join(other, same, "left_anti")
-    unmatched = left.where(~_any_null(keys)).join(
+    other = left.where(~_any_null(keys)).join(
         right.where(~_any_null(keys)).select(*keys).distinct(), list(keys), "left_anti"
     )
-    return unmatched.unionByName(left.where(_any_null(keys)))
+    return other.unionByName(left.where(_any_null(keys)))
 
 
 def _duplicate_guard(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
@@ -49,11 +49,12 @@ def _duplicate_guard(target: DataFrame, source: DataFrame, keys: Sequence[str],
         clash = repeated.join(target.select(*kept), same, "left_semi")
     else:
         clash = repeated.join(target.select(*keys), list(keys), "left_semi")
+    # The error hangs on a count over the matches, so it cannot be evaluated early.
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
-    error = F.raise_error(F.concat(F.lit("several source rows update the target row with key "), shown))
-    return clash.where(error.cast("boolean")).select(
-        *[F.lit(None).cast(t).alias(c) for c, t in target.dtypes]
-    )
+    found = clash.agg(F.count(F.lit(1)).alias("n"), F.min(shown).alias("key"))
+    message = F.concat(F.lit("several source rows update the target row with key "), F.col("key"))
+    fail = F.when(F.col("n") > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(False))
+    return found.where(fail).select(*[F.lit(None).cast(t).alias(c) for c, t in target.dtypes])
 
 
 def upsert(
@@ -65,7 +66,7 @@ def upsert(
     target, repeated source rows are all added.
     """
     source = source.select(*target.columns)
-    kept = _without_match(target, source, keys, null_safe)
+    kept = unmatched(target, source, keys, null_safe)
     guard = _duplicate_guard(target, source, keys, null_safe)
     return kept.unionByName(source).unionByName(guard)
 
@@ -75,7 +76,7 @@ def insert_only_merge(
 ) -> DataFrame:
     """Target plus the source rows whose key it does not hold yet."""
     return target.unionByName(
-        _without_match(source.select(*target.columns), target, keys, null_safe)
+        unmatched(source.select(*target.columns), target, keys, null_safe)
     )
 
 
@@ -130,5 +131,5 @@ def insert_only_into(
         _replace_days(source, path, day)
         return
     target = _touched(spark, path, source, day)
-    new = _without_match(source.select(*target.columns), target, keys, null_safe)
+    new = unmatched(source.select(*target.columns), target, keys, null_safe)
     spread_by(freeze(new), day).write.mode("append").partitionBy(day).parquet(path)
