@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from portrisk import profiles as P
-from portrisk.session import new_folder
+from portrisk.session import new_folder, spread_scan
 
 SPARK = {
     "text": "string",
@@ -115,6 +115,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A test table over all cores, however few files hold it."""
+    return spread_scan(read(spark, sf_dir, table))
+
+
 # (application, directory, view) -> path of the stored view
 _PATHS: dict[tuple[str, str, str], str] = {}
 
@@ -136,7 +141,7 @@ def _stored(spark: SparkSession, sf_dir: str, view: str, build) -> DataFrame:
 
 def gkg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(
-        spark, sf_dir, "gkg", lambda: read(spark, sf_dir, "events").selectExpr(*gkg_columns(SPARK))
+        spark, sf_dir, "gkg", lambda: spread(spark, sf_dir, "events").selectExpr(*gkg_columns(SPARK))
     )
 
 
@@ -145,7 +150,7 @@ def linked_gkg(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         pages = read(spark, sf_dir, "pages").select("page_id", "url")
         n = pages.count()
-        events = read(spark, sf_dir, "events").selectExpr("*", f"event_id % {n} as page_id")
+        events = spread(spark, sf_dir, "events").selectExpr("*", f"event_id % {n} as page_id")
         return events.join(pages, "page_id").selectExpr(*gkg_columns(SPARK, "url"))
 
     return _stored(spark, sf_dir, "linked_gkg", build)
@@ -156,7 +161,7 @@ def geo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         "geo_events",
-        lambda: read(spark, sf_dir, "events").selectExpr(*geo_event_columns(SPARK)),
+        lambda: spread(spark, sf_dir, "events").selectExpr(*geo_event_columns(SPARK)),
     )
 
 

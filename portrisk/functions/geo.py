@@ -48,75 +48,60 @@ def spherical_km(lat1, lon1, lat2, lon2) -> Column:
     return F.round(F.acos(clamped) * P.EARTH_RADIUS_KM, 4)
 
 
-def geodesic_km(lat1, lon1, lat2, lon2, rounds: int = 8) -> Column:
-    """Distance on the WGS-84 ellipsoid (Vincenty's inverse solution).
-
-    The iteration on the auxiliary longitude runs inside one ``aggregate``
-    expression, a fixed number of rounds; eight give sub-millimetre steps except
-    for nearly antipodal points, where the method itself does not settle.
+def with_spherical_km(df: DataFrame, lat1, lon1, lat2, lon2, name: str = "distance_in_kms") -> DataFrame:
+    return df.withColumn(name, spherical_km(lat1, lon1, lat2, lon2))
+
+
+# Terms of one step of the ellipsoid solution; each may use the ones before it.
+_ANGLES = (
+    "c2 * sin(lam) as x",
+    "cos(lam) as cl",
+    "c1 * s2 - s1 * c2 * cl as y",
+    "s1 * s2 + c1 * c2 * cl as cs",
+    "sqrt(x * x + y * y) as ss",
+    "case when ss = 0 then 0D else c1 * x / ss end as sa",
+    "1 - sa * sa as ca2",
+    "atan2(ss, cs) as sigma",
+    "case when ca2 = 0 then 0D else cs - 2 * s1 * s2 / ca2 end as m",
+)
+
+
+def with_geodesic_km(
+    df: DataFrame, lat1, lon1, lat2, lon2, name: str = "distance_in_kms", rounds: int = 6
+) -> DataFrame:
+    """Add the distance on the WGS-84 ellipsoid (Vincenty's inverse solution).
+
+    Each round is one projection in which later columns use earlier ones, so the
+    iteration on the auxiliary longitude runs in generated code. A round shrinks
+    the error by the flattening (about 1/298): six leave less than a millimetre,
+    except between nearly antipodal points, where the method does not settle.
+    The columns of ``df`` travel in one struct, out of the way of the short names.
     """
-    u1 = F.atan((1 - WGS84_F) * F.tan(F.radians(_c(lat1))))
-    u2 = F.atan((1 - WGS84_F) * F.tan(F.radians(_c(lat2))))
-    start = F.struct(
-        F.sin(u1).alias("s1"), F.cos(u1).alias("c1"),
-        F.sin(u2).alias("s2"), F.cos(u2).alias("c2"),
-        (F.radians(_c(lon2)) - F.radians(_c(lon1))).alias("l"),
-        (F.radians(_c(lon2)) - F.radians(_c(lon1))).alias("lam"),
+    f, b = f"{WGS84_F!r}D", f"{WGS84_B!r}D"
+    kept = F.struct(*[F.col(f"`{column}`") for column in df.columns]).alias("row")
+    reduced = lambda lat: F.atan((1 - WGS84_F) * F.tan(F.radians(_c(lat))))
+    longitude = F.radians(_c(lon2)) - F.radians(_c(lon1))
+    fixed = ("row", "l", "s1", "c1", "s2", "c2")
+    out = df.select(
+        kept, reduced(lat1).alias("u1"), reduced(lat2).alias("u2"), longitude.alias("l")
+    ).selectExpr(
+        "row", "l", "sin(u1) as s1", "cos(u1) as c1", "sin(u2) as s2", "cos(u2) as c2", "l as lam"
     )
-
-    def angles(p):
-        """Named parts of one step, as nested structs so each is computed once."""
-        sin_lam, cos_lam = F.sin(p["lam"]), F.cos(p["lam"])
-        sin_sigma = F.sqrt(
-            F.pow(p["c2"] * sin_lam, 2) + F.pow(p["c1"] * p["s2"] - p["s1"] * p["c2"] * cos_lam, 2)
-        )
-        cos_sigma = p["s1"] * p["s2"] + p["c1"] * p["c2"] * cos_lam
-        sin_alpha = F.when(sin_sigma == 0, F.lit(0.0)).otherwise(
-            p["c1"] * p["c2"] * sin_lam / F.when(sin_sigma == 0, F.lit(1.0)).otherwise(sin_sigma)
-        )
-        return sin_sigma, cos_sigma, sin_alpha
-
-    def geometry(p):
-        sin_sigma, cos_sigma, sin_alpha = angles(p)
-        return F.struct(
-            p["s1"].alias("s1"), p["s2"].alias("s2"), p["l"].alias("l"),
-            sin_sigma.alias("ss"), cos_sigma.alias("cs"), sin_alpha.alias("sa"),
-            (1 - sin_alpha * sin_alpha).alias("ca2"),
-        )
-
-    def mid_cosine(g):
-        safe = F.when(g["ca2"] == 0, F.lit(1.0)).otherwise(g["ca2"])
-        return F.when(g["ca2"] == 0, F.lit(0.0)).otherwise(g["cs"] - 2 * g["s1"] * g["s2"] / safe)
-
-    def next_lambda(g):
-        c = WGS84_F / 16 * g["ca2"] * (4 + WGS84_F * (4 - 3 * g["ca2"]))
-        m = mid_cosine(g)
-        sigma = F.atan2(g["ss"], g["cs"])
-        return g["l"] + (1 - c) * WGS84_F * g["sa"] * (
-            sigma + c * g["ss"] * (m + c * g["cs"] * (2 * m * m - 1))
-        )
-
-    def bind(value: Column, use) -> Column:
-        """Evaluate ``value`` once and hand it to ``use``."""
-        return F.element_at(F.transform(F.array(value), use), 1)
-
-    def step(p, _):
-        return p.withField("lam", bind(geometry(p), next_lambda))
-
-    def distance(p):
-        def arc(g):
-            usq = g["ca2"] * (WGS84_A**2 - WGS84_B**2) / WGS84_B**2
-            big_a = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
-            big_b = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
-            m = mid_cosine(g)
-            delta = big_b * g["ss"] * (
-                m + big_b / 4 * (
-                    g["cs"] * (2 * m * m - 1)
-                    - big_b / 6 * m * (4 * g["ss"] * g["ss"] - 3) * (4 * m * m - 3)
-                )
-            )
-            return WGS84_B * big_a * (F.atan2(g["ss"], g["cs"]) - delta) / 1000
-
-        return bind(geometry(p), arc)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step, distance)
+    for _ in range(rounds):
+        out = out.selectExpr(
+            *fixed,
+            "lam",
+            *_ANGLES,
+            f"{f} / 16 * ca2 * (4 + {f} * (4 - 3 * ca2)) as k",
+            f"l + (1 - k) * {f} * sa * (sigma + k * ss * (m + k * cs * (2 * m * m - 1))) as next",
+        ).selectExpr(*fixed, "next as lam")
+    return out.selectExpr(
+        "row",
+        "s1", "c1", "s2", "c2", "lam",
+        *_ANGLES,
+        f"ca2 * {(WGS84_A**2 - WGS84_B**2) / WGS84_B**2!r}D as q",
+        "1 + q / 16384 * (4096 + q * (-768 + q * (320 - 175 * q))) as big_a",
+        "q / 1024 * (256 + q * (-128 + q * (74 - 47 * q))) as big_b",
+        "cs * (2 * m * m - 1) - big_b / 6 * m * (4 * ss * ss - 3) * (4 * m * m - 3) as part",
+        f"{b} * big_a * (sigma - big_b * ss * (m + big_b / 4 * part)) / 1000 as km",
+    ).select("row.*", F.col("km").alias(name))

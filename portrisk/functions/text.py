@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portrisk import profiles as P
+from portrisk.session import BROADCAST_BYTES, freeze
 
 # --- fixed values: page markup ------------------------------------------------
 # parts of a page that are not text
@@ -72,16 +73,20 @@ def words(text: str | Column) -> Column:
 def _with_frequency(tokens: DataFrame) -> DataFrame:
     """Add the corpus frequency of the word to every token.
 
-    Words follow a steep law: a handful make up most of a corpus. Words above one
-    thousandth of all tokens are at most a thousand, so they are safe to
-    broadcast and their tokens never shuffle by word. The rest holds no heavy word.
+    The word list is counted once and stored, so its size is known. A list of up
+    to ``BROADCAST_BYTES`` is broadcast. A long one is joined in two parts, since words follow a steep
+    law: words above one thousandth of all tokens are at most a thousand, so they
+    can be broadcast and their tokens never shuffle by word; the rest, which is
+    shuffled, holds no heavy word.
     """
-    frequency = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
-    every = frequency.agg(F.sum("frequency")).scalar()
-    heavy = F.broadcast(frequency.where(F.col("frequency") * 1000 > every))
-    light = frequency.where(F.col("frequency") * 1000 <= every)
+    frequency = freeze(tokens.groupBy("word").agg(F.count(F.lit(1)).alias("frequency")))
+    size, every = frequency.agg(F.sum(F.octet_length("word") + 32), F.sum("frequency")).first()
+    if (size or 0) <= BROADCAST_BYTES:
+        return tokens.join(F.broadcast(frequency), "word")
+    is_heavy = F.col("frequency") * 1000 > every
+    heavy = F.broadcast(frequency.where(is_heavy))
     return tokens.join(heavy, "word").unionByName(
-        tokens.join(heavy.select("word"), "word", "left_anti").join(light, "word")
+        tokens.join(heavy.select("word"), "word", "left_anti").join(frequency.where(~is_heavy), "word")
     )
 
 

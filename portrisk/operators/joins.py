@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrisk import profiles as P
-from portrisk.functions.geo import spherical_km
+from portrisk.functions.geo import with_spherical_km
 from portrisk.functions.parse import first_url, root_code
 from portrisk.functions.themes import fill_zero
+from portrisk.operators.filters import within_radius
 from portrisk.session import broadcast_if_small
 
 KM_PER_DEGREE = math.pi * P.EARTH_RADIUS_KM / 180
@@ -94,7 +95,7 @@ def ports_within_radius(
     events: DataFrame,
     ports: DataFrame,
     km: float = P.PORT_RADIUS_KM,
-    distance: Callable[..., Column] = spherical_km,
+    measure: Callable[..., DataFrame] = with_spherical_km,
     salt: int = 16,
     broadcast_rows: int | None = None,
 ) -> DataFrame:
@@ -144,8 +145,6 @@ def ports_within_radius(
         spread = F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int")
         placed = placed.withColumn("_salt", spread)
         keys = [*keys, "_salt"]
-    near = placed.join(small, keys).withColumn(
-        "distance_in_kms",
-        distance(F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"), lat, lon),
-    )
-    return near.where(F.col("distance_in_kms") <= km).drop(*keys)
+    paired = placed.join(small, keys).drop(*keys)
+    near = measure(paired, F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"), lat, lon)
+    return within_radius(near, F.col("distance_in_kms"), km)

@@ -98,7 +98,7 @@ def _(spark, sf):
     ("linked_silver",),
 )
 def _(spark, sf):
-    silver = build_silver(X.linked_gkg(spark, sf), X.read(spark, sf, "pages"))
+    silver = build_silver(X.linked_gkg(spark, sf), X.spread(spark, sf, "pages"))
     return silver.select("CAMEOEVENTIDS", "rank", "contenturl")
 
 

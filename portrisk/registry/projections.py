@@ -196,12 +196,11 @@ def _ellipsoid_sql(rounds):
     )
 
 
-@query("b12_geodesic_km", _ellipsoid_sql(8), ("geo",))
+@query("b12_geodesic_km", _ellipsoid_sql(6), ("geo",))
 def _(spark, sf):
-    return X.geo_events(spark, sf).select(
-        "GlobalEventID",
-        F.round(geo.geodesic_km(F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"), _LAT, _LON), 6).alias("distance_in_kms"),
-    )
+    events = X.geo_events(spark, sf).select("GlobalEventID", "ActionGeo_Lat", "ActionGeo_Long")
+    far = geo.with_geodesic_km(events, F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"), _LAT, _LON)
+    return far.select("GlobalEventID", F.round("distance_in_kms", 6).alias("distance_in_kms"))
 
 
 @query(

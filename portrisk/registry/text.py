@@ -17,7 +17,7 @@ _WORD = r"""[ \t\r\n.,;:!?"''()\[\]{}<>|&%$#*/=+_-]+"""
 
 @query("t05_extract_paragraphs", "select page_id, content from page_text", ("page_text",))
 def _(spark, sf):
-    return X.read(spark, sf, "pages").select("page_id", text.extract_paragraphs("html").alias("content"))
+    return X.spread(spark, sf, "pages").select("page_id", text.extract_paragraphs("html").alias("content"))
 
 
 def _summary_sql(source, key, column, k=3):
@@ -38,7 +38,7 @@ def _summary_sql(source, key, column, k=3):
     "with " + _summary_sql("documents", "doc_id", "text") + " select key as doc_id, summary from summaries",
 )
 def _(spark, sf):
-    return text.extractive_summary(X.read(spark, sf, "documents"), 3)
+    return text.extractive_summary(X.spread(spark, sf, "documents"), 3)
 
 
 @query(
@@ -46,7 +46,7 @@ def _(spark, sf):
     "with " + _summary_sql("documents", "doc_id", "text") + " select key as doc_id, pos as position, round(score, 6) as score from scores",
 )
 def _(spark, sf):
-    scores = text.sentence_scores(X.read(spark, sf, "documents"))
+    scores = text.sentence_scores(X.spread(spark, sf, "documents"))
     return scores.withColumn("score", F.round("score", 6))
 
 
@@ -65,5 +65,5 @@ _DETAIL = (
 
 @query("t07_news_detail_report", _DETAIL, ("linked_silver",))
 def _(spark, sf):
-    silver = build_silver(X.linked_gkg(spark, sf), X.read(spark, sf, "pages"))
+    silver = build_silver(X.linked_gkg(spark, sf), X.spread(spark, sf, "pages"))
     return news_detail_report(freeze(silver))

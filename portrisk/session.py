@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # Upper bound on rows sent to every executor; a dimension row here is well under
 # 1 KB, so a broadcast stays below about 200 MB.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> SparkSession:
@@ -60,3 +61,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Give the rows of a few-file scan to all cores; a large scan is left alone.
+
+    For plain scans in front of text work, which is far dearer than the shuffle
+    of so little data.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
