@@ -76,6 +76,8 @@ def with_geodesic_km(
     the error by the flattening (about 1/298): six leave less than a millimetre,
     except between nearly antipodal points, where the method does not settle.
     The columns of ``df`` travel in one struct, out of the way of the short names.
+    At least one coordinate must be a column of ``df``: Catalyst expands a chain
+    of constants before it folds them.
     """
     f, b = f"{WGS84_F!r}D", f"{WGS84_B!r}D"
     kept = F.struct(*[F.col(f"`{column}`") for column in df.columns]).alias("row")

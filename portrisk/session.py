@@ -38,8 +38,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="portrisk-")
-    spark.sparkContext.setCheckpointDir(folder)
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="portrisk-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
@@ -49,11 +48,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage, so a lost executor cannot change rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    """Cut lineage: write a table to the shared folder and go on from it.
+
+    The rows are computed once and stay as they are, also when executors are
+    lost; later reads can skip columns.
+    """
+    path = new_folder(df.sparkSession, "frozen")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrisk.session import freeze
 from portrisk.sources.raw import spread_by
 
 
@@ -21,6 +20,14 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
+def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"_{k}" for k in keys})
+
+
+def _same_key(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+
+
 def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right``.
 
@@ -28,33 +35,35 @@ def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe:
     they would all hash to one task.
     """
     if null_safe:
-        other = right.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-        same = reduce(
-            lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-        )
-        return left.join(other, same, "left_anti")
-    other = left.where(~_any_null(keys)).join(
+        other = _renamed(right.select(*keys).distinct(), keys)
+        return left.join(other, _same_key(keys), "left_anti")
+    known = left.where(~_any_null(keys)).join(
         right.where(~_any_null(keys)).select(*keys).distinct(), list(keys), "left_anti"
     )
-    return other.unionByName(left.where(_any_null(keys)))
+    return known.unionByName(left.where(_any_null(keys)))
 
 
-def _duplicate_guard(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    """No rows, or an error as soon as it runs: one target row has several updates."""
-    repeated = source if null_safe else source.where(~_any_null(keys))
-    repeated = repeated.groupBy(*keys).count().where(F.col("count") > 1).drop("count")
-    if null_safe:
-        kept = [F.col(k).alias(f"_{k}") for k in keys]
-        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-        clash = repeated.join(target.select(*kept), same, "left_semi")
-    else:
-        clash = repeated.join(target.select(*keys), list(keys), "left_semi")
-    # The error hangs on a count over the matches, so it cannot be evaluated early.
+def _replaced(target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """Target rows that no source row updates; an error if several update one.
+
+    The source takes part as one row per key with its number of rows, so one
+    join both drops the updated rows and finds the ambiguous ones.
+    """
     shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
-    found = clash.agg(F.count(F.lit(1)).alias("n"), F.min(shown).alias("key"))
-    message = F.concat(F.lit("several source rows update the target row with key "), F.col("key"))
-    fail = F.when(F.col("n") > 0, F.raise_error(message).cast("boolean")).otherwise(F.lit(False))
-    return found.where(fail).select(*[F.lit(None).cast(t).alias(c) for c, t in target.dtypes])
+    message = F.concat(F.lit("several source rows update the target row with key "), shown)
+    keep = (
+        F.when(F.col("_n").isNull(), F.lit(True))
+        .when(F.col("_n") > 1, F.raise_error(message).cast("boolean"))
+        .otherwise(F.lit(False))
+    )
+    counts = source if null_safe else source.where(~_any_null(keys))
+    counts = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if null_safe:
+        joined = target.join(_renamed(counts, keys), _same_key(keys), "left")
+        return joined.where(keep).select(*target.columns)
+    # a null key matches nothing; such rows would all hash to one task of the join
+    known = target.where(~_any_null(keys)).join(counts, list(keys), "left").where(keep)
+    return known.select(*target.columns).unionByName(target.where(_any_null(keys)))
 
 
 def upsert(
@@ -66,9 +75,7 @@ def upsert(
     target, repeated source rows are all added.
     """
     source = source.select(*target.columns)
-    kept = unmatched(target, source, keys, null_safe)
-    guard = _duplicate_guard(target, source, keys, null_safe)
-    return kept.unionByName(source).unionByName(guard)
+    return _replaced(target, source, keys, null_safe).unionByName(source)
 
 
 def insert_only_merge(
@@ -113,13 +120,14 @@ def upsert_into(
     """Upsert into the stored table at ``path``, rewriting only the source's days.
 
     A row must keep its day from one delivery to the next, as ``day`` is where
-    its earlier version is looked up. The merged rows are frozen first: a plan
-    must not read the files it replaces.
+    its earlier version is looked up. A dynamic partition overwrite stages the
+    new files and swaps the days at commit, after every task has read the old
+    ones; a task that is repeated before that still finds them.
     """
     if not _exists(spark, path):
         _replace_days(source, path, day)
         return
-    _replace_days(freeze(upsert(_touched(spark, path, source, day), source, keys, null_safe)), path, day)
+    _replace_days(upsert(_touched(spark, path, source, day), source, keys, null_safe), path, day)
 
 
 def insert_only_into(
@@ -132,4 +140,4 @@ def insert_only_into(
         return
     target = _touched(spark, path, source, day)
     new = unmatched(source.select(*target.columns), target, keys, null_safe)
-    spread_by(freeze(new), day).write.mode("append").partitionBy(day).parquet(path)
+    spread_by(new, day).write.mode("append").partitionBy(day).parquet(path)
