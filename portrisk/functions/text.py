@@ -115,6 +115,7 @@ def extractive_summary(
         .groupBy(key)
         .agg(F.array_sort(F.collect_list("position")).alias("_at"))
     )
-    parts = split_sentences(text)
-    picked = F.transform("_at", lambda at: F.trim(F.get(parts, at)))
-    return df.join(chosen, key).select(key, F.array_join(picked, " ").alias("summary"))
+    # one split per text: positions are looked up while filtering its sentences
+    picked = F.filter(split_sentences(text), lambda _, at: F.array_contains("_at", at))
+    summary = F.array_join(F.transform(picked, lambda s: F.trim(s)), " ")
+    return df.join(chosen, key).select(key, summary.alias("summary"))

@@ -137,7 +137,7 @@ def error_histogram(
     flat = F.col("_lo") == F.col("_hi")
     low = F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo"))
     high = F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi"))
-    errors = errors.withColumn("_lo", low).withColumn("_hi", high)
+    errors = errors.withColumns({"_lo": low, "_hi": high})
     slot = F.floor((F.col("_e") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins)
     slot = F.least(slot, F.lit(bins - 1))
     counted = errors.withColumn("_b", slot).groupBy(*keys).agg(

@@ -14,28 +14,75 @@ from portrisk.operators.windows import by_date, shift_prediction
 MODEL_SCHEMA = "profile string, intercept double, coefficients array<double>"
 
 
-def fit_forecaster(windows: DataFrame, ridge: float = 10.0) -> DataFrame:
+# strengths of regularisation to choose from
+RIDGES = (0.1, 1.0, 10.0, 100.0, 1e6)
+SEASON = 7
+
+
+def _seasonal_prior(width: int) -> np.ndarray:
+    """Weights that repeat the change of the same weekday a week earlier."""
+    prior = np.zeros(width)
+    days = width // len(P.FEATURES)
+    if days >= SEASON:
+        prior[(days - SEASON + 1) * len(P.FEATURES) - 1] = 1.0
+    return prior
+
+
+def _own_history(width: int) -> np.ndarray:
+    """Which inputs are earlier news counts and changes, not tones or themes."""
+    own = [name in ("NegativeNews", "Diff") for name in P.FEATURES]
+    return np.tile(own, width // len(P.FEATURES))
+
+
+def _ridge(x: np.ndarray, y: np.ndarray, penalty: np.ndarray, prior: np.ndarray) -> tuple[float, np.ndarray]:
+    """Linear model whose weights are drawn towards ``prior``."""
+    x_mean, y_mean = x.mean(axis=0), y.mean()
+    centred = x - x_mean
+    normal = centred.T @ centred + np.diag(penalty)
+    weights = prior + np.linalg.solve(normal, centred.T @ (y - y_mean - centred @ prior))
+    return float(y_mean - x_mean @ weights), weights
+
+
+def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
+    """The variant with the least error on the last fifth, fitted again on all rows.
+
+    Variants differ in strength, in the inputs (all, or the series' own history)
+    and in the prior: "no effect", which tends to the mean, or the seasonal one,
+    which tends to the naive forecast.
+    """
+    width = x.shape[1]
+    priors = (np.zeros(width), _seasonal_prior(width))
+    scopes = (np.where(_own_history(width), 1.0, 1e9), np.ones(width))
+    cut = len(y) - max(1, len(y) // 5)
+    if cut < 2:
+        return _ridge(x, y, RIDGES[-1] * scopes[1], priors[0])
+
+    def error(choice):
+        intercept, weights = _ridge(x[:cut], y[:cut], *choice)
+        return np.abs(intercept + x[cut:] @ weights - y[cut:]).mean()
+
+    variants = [(s * scope, p) for p in priors for scope in scopes for s in reversed(RIDGES)]
+    return _ridge(x, y, *min(variants, key=error))
+
+
+def fit_forecaster(windows: DataFrame) -> DataFrame:
     """Regularised linear model of the target on the window, per profile.
 
     A profile's training rows are one per day, so a group is bounded by the
     calendar. Models are rows of a table: thousands of profiles fit in one job.
     """
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(rows["window"].to_numpy())
-        y = rows["target"].to_numpy()
-        x_mean, y_mean = x.mean(axis=0), y.mean()
-        centred = x - x_mean
-        normal = centred.T @ centred + ridge * np.eye(x.shape[1])
-        weights = np.linalg.solve(normal, centred.T @ (y - y_mean))
+        rows = rows.sort_values("Date")
+        intercept, weights = _fit(np.stack(rows["window"].to_numpy()), rows["target"].to_numpy())
         return pd.DataFrame(
             {
                 "profile": [rows["profile"].iloc[0]],
-                "intercept": [float(y_mean - x_mean @ weights)],
+                "intercept": [intercept],
                 "coefficients": [weights.tolist()],
             }
         )
 
-    train = windows.where(F.col("split") == "train").select("profile", "window", "target")
+    train = windows.where(F.col("split") == "train").select("profile", "Date", "window", "target")
     return train.groupBy("profile").applyInPandas(fit, MODEL_SCHEMA)
 
 
@@ -50,7 +97,7 @@ def score(windows: DataFrame, models: DataFrame) -> DataFrame:
     )
 
 
-def naive_forecast(frame: DataFrame, season: int = 7) -> DataFrame:
+def naive_forecast(frame: DataFrame, season: int = SEASON) -> DataFrame:
     """Seasonal baseline: the change of the same weekday a week earlier.
 
     Like the windows, it does not look across the train/test border.
