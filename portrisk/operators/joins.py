@@ -32,12 +32,13 @@ def date_spine(
 ) -> DataFrame:
     """Every group on every date: each group unfolds the date range by itself.
 
-    ``dates`` holds the Date values that occur. With ``calendar`` the days
-    between the first and the last are all kept, otherwise only those that occur.
+    ``dates`` holds the Date values that occur; reduce a large table to its dates
+    beforehand, it is read twice. With ``calendar`` the days between the first
+    and the last are all kept, otherwise only those that occur.
     """
-    low = dates.agg(F.min("Date")).scalar()
-    high = dates.agg(F.max("Date")).scalar()
-    grid = groups.distinct().withColumn("Date", F.explode(F.sequence(low, high)))
+    span = dates.agg(F.struct(F.min("Date").alias("low"), F.max("Date").alias("high"))).scalar()
+    days = F.sequence(span["low"], span["high"])
+    grid = groups.distinct().withColumn("Date", F.explode(days))
     if calendar:
         return grid
     return grid.join(dates.select("Date").distinct(), "Date", "left_semi")

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrisk import profiles as P
+from portrisk.operators.aggregates import daily_features
+from portrisk.operators.joins import route_members
+from portrisk.operators.stats import minmax_transform
+from portrisk.operators.windows import sliding_windows
+from portrisk.plans.features import daily_changes, feature_frame, feature_news, scaled_windows
+from portrisk.plans.forecast import fit_forecaster, next_day_news, real_units, score
 from portrisk.plans.report import REPORT_KEYS, build_silver, weighted_report
+from portrisk.session import freeze
 from portrisk.sources.merge import insert_only_into, upsert_into
 from portrisk.sources.raw import DAY, read_raw, scan_range
 from portrisk.sources.readers import normalise_null_strings, stamp_lineage
@@ -36,7 +43,9 @@ def silver_news(
     """Add the port news of a day or range to the silver table."""
     raw = scan_range(spark.read.parquet(bronze_path), low, high or low, "extraction_date")
     keys = ["Date", *[k for k in P.NEWS_KEY if k != "DATE"]]
-    insert_only_into(spark, table_path, build_silver(raw, pages), keys, "Date", null_safe=True)
+    insert_only_into(
+        spark, table_path, freeze(build_silver(raw, pages)), keys, "Date", null_safe=True
+    )
 
 
 def gold_report(
@@ -44,4 +53,35 @@ def gold_report(
 ) -> None:
     """Refresh the weighted report of a day or range; a changed count replaces the old."""
     silver = scan_range(spark.read.parquet(silver_path), low, high or low)
-    upsert_into(spark, table_path, weighted_report(silver), REPORT_KEYS, "Date")
+    upsert_into(spark, table_path, freeze(weighted_report(silver)), REPORT_KEYS, "Date")
+
+
+def train_models(
+    spark: SparkSession, bronze_path: str, model_path: str, split_date: str = P.SPLIT_DATE
+) -> None:
+    """Fit a model per profile and store it with its scale limits, one row each."""
+    news = feature_news(spark.read.parquet(bronze_path))
+    frame = freeze(feature_frame(news, route_members(spark), split_date))
+    windows, limits = scaled_windows(frame)
+    fit_forecaster(windows).join(limits, "profile").write.mode("overwrite").parquet(model_path)
+
+
+def gold_predictions(
+    spark: SparkSession, bronze_path: str, model_path: str, table_path: str, today: str
+) -> None:
+    """Forecast from the latest days with the stored models; one row per profile and day.
+
+    Reads as many days before ``today`` as the longest window and its first
+    change need.
+    """
+    history = max(P.lags_for(p) for p in P.PROFILES) + 1
+    raw = spark.read.parquet(bronze_path)
+    last = F.date_sub(F.lit(today).cast("date"), history)
+    recent = raw.where(F.col("DATE") >= F.date_format(last, "yyyyMMdd").cast("int"))
+    stored = spark.read.parquet(model_path)
+    frame = freeze(daily_changes(daily_features(feature_news(recent), route_members(spark))))
+    scaled = minmax_transform(frame, stored, P.FEATURES)
+    lengths = {p: P.lags_for(p) for p in P.PROFILES}
+    windows = sliding_windows(scaled, lengths, P.FEATURES, keys=("profile",))
+    predicted = real_units(score(windows, stored.select("profile", "intercept", "coefficients")), stored)
+    upsert_into(spark, table_path, freeze(next_day_news(frame, predicted)), ["profile", "Date"], "Date")

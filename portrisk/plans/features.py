@@ -22,6 +22,7 @@ from portrisk.operators.stats import (
     winsorize,
 )
 from portrisk.operators.windows import difference, sliding_windows
+from portrisk.session import freeze
 
 
 def feature_news(raw: DataFrame) -> DataFrame:
@@ -34,6 +35,11 @@ def feature_news(raw: DataFrame) -> DataFrame:
     return negative_only(port_themes_broad(drop_emotional(parsed)))
 
 
+def daily_changes(daily: DataFrame) -> DataFrame:
+    """Daily features with the change against the row before; first rows have none."""
+    return drop_null_rows(difference(daily), ["Diff"])
+
+
 def feature_frame(
     news: DataFrame,
     members: DataFrame,
@@ -48,10 +54,10 @@ def feature_frame(
     """
     daily = daily_features(news, members)
     if calendar:
+        daily = freeze(daily)
         spine = date_spine(daily, daily.select("profile"), calendar=True)
         daily = densify(spine, daily, ["profile", "Date"])
-    changed = drop_null_rows(difference(daily), ["Diff"])
-    split = split_train_test(changed, split_date)
+    split = split_train_test(daily_changes(daily), split_date)
     return winsorize(split, fit_on=fit_on).select("profile", "Date", "split", *P.FEATURES)
 
 

@@ -26,6 +26,7 @@ from portrisk.operators.filters import (
 )
 from portrisk.operators.joins import attach_pages, date_spine, densify
 from portrisk.operators.ranking import rank_negative
+from portrisk.session import freeze
 
 REPORT_KEYS = ("Date", "Total", "LocationCode", *P.ROUTE_FLAGS)
 
@@ -66,8 +67,8 @@ def theme_grid(news: DataFrame) -> DataFrame:
 
     Dates come from all news, groups only from scored news. One aggregation
     answers both: every news row counts for its date, and the sums look at the
-    scored rows alone. The grid is then built from that small result, not from a
-    second pass over the news.
+    scored rows alone. The result, one row per day, score and place, is frozen and
+    the grid is built from it, so the news are read once.
     """
     flagged = theme_flags(news, P.RISK_THEMES)
     emotional = F.col("AverageTone").between(-P.NEUTRAL_BAND, P.NEUTRAL_BAND) & (
@@ -78,11 +79,12 @@ def theme_grid(news: DataFrame) -> DataFrame:
         F.lit(False),
     )
     sums = ("NewsWithTINFA", "NewsWithME", "NewsWithPS", "NewsWithMI")
-    cube = flagged.groupBy(*GROWTH_KEYS).agg(
+    counted = flagged.groupBy(*GROWTH_KEYS).agg(
         *[F.sum(F.when(scored, F.col(c)).otherwise(0)).alias(c) for c in sums],
         F.sum(F.when(scored, F.col("Total")).otherwise(0)).alias("TotalThemesFindings"),
         F.count_if(scored).alias("NumberOfNews"),
     )
+    cube = freeze(counted)
     facts = cube.where(F.col("NumberOfNews") > 0).withColumn(
         "WeightedCountOfNews", weight().cast("long")
     )

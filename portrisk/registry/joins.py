@@ -14,6 +14,7 @@ from portrisk.plans.features import feature_news
 from portrisk.plans.report import build_silver, route_news, scored_news, theme_grid
 from portrisk.registry.base import _COUNT_NAMES, query, quoted, risk_total, rounded
 from portrisk.registry.projections import spherical_sql
+from portrisk.session import freeze
 
 
 @query(
@@ -38,9 +39,9 @@ _PAIRS = "(select distinct total, loc from scored)"
 )
 def _(spark, sf):
     news = route_news(X.gkg(spark, sf))
-    return joins.date_spine(news, scored_news(news).select("Total", "LocationCode")).select(
-        "Date", "Total", "LocationCode"
-    )
+    dates = freeze(aggregates.distinct_dates(news))
+    pairs = aggregates.distinct_pairs(scored_news(news))
+    return joins.date_spine(dates, pairs).select("Date", "Total", "LocationCode")
 
 
 @query(
@@ -50,7 +51,7 @@ def _(spark, sf):
     ("daily",),
 )
 def _(spark, sf):
-    daily = aggregates.daily_features(feature_news(X.gkg(spark, sf)), joins.route_members(spark))
+    daily = freeze(aggregates.daily_features(feature_news(X.gkg(spark, sf)), joins.route_members(spark)))
     return joins.date_spine(daily, daily.select("profile"), calendar=True).select("Date", "profile")
 
 

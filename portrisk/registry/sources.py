@@ -353,6 +353,32 @@ def _(spark, sf):
     return spark.read.parquet(gold).select("Date", "Total", "LocationCode", "NumberOfNews")
 
 
+@query("e1_bronze_events", _EVENTS_SQL, ("geo",))
+def _(spark, sf):
+    """Landed event days to the bronze table in two overlapping runs."""
+    from portrisk.functions.parse import int_date
+    from portrisk.plans import daily
+
+    landed, bronze = new_folder(spark, "raw-events"), new_folder(spark, "bronze-events")
+    raw.land_raw(_wide_events(spark, sf), landed, int_date("DATEADDED"))
+    daily.bronze_events(spark, landed, bronze, "2024-01-01", "2024-01-20")
+    daily.bronze_events(spark, landed, bronze, "2024-01-18", "2024-01-31")
+    return _event_values(spark.read.parquet(bronze))
+
+
+@query("e3_daily_predictions")
+def _(spark, sf):
+    """Train on the stored news, then forecast two consecutive days from them."""
+    from portrisk.plans import daily
+
+    bronze, models, gold = (new_folder(spark, n) for n in ("bronze", "models", "predictions"))
+    daily.bronze_news(spark, _landed(spark, sf), bronze, "2024-01-01", "2024-01-31")
+    daily.train_models(spark, bronze, models, "2024-01-21")
+    for today in ("2024-01-29", "2024-01-30"):
+        daily.gold_predictions(spark, bronze, models, gold, today)
+    return spark.read.parquet(gold)
+
+
 @query(
     "st01_incremental_ingest",
     f"select GlobalEventID, {_DAY_OF} as extraction_date, case when {_DAY_OF} >= date '2024-01-15' "

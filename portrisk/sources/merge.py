@@ -122,7 +122,8 @@ def upsert_into(
     A row must keep its day from one delivery to the next, as ``day`` is where
     its earlier version is looked up. A dynamic partition overwrite stages the
     new files and swaps the days at commit, after every task has read the old
-    ones; a task that is repeated before that still finds them.
+    ones; a task that is repeated before that still finds them. The source is
+    read three times (days, keys, rows): freeze it if it is more than a scan.
     """
     if not _exists(spark, path):
         _replace_days(source, path, day)
