@@ -98,7 +98,6 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         f"select event_id, {_columns(X.gkg_columns(X.DUCK, 'url'))} from events join pages "
         "on event_id % (select count(*) from pages) = page_id",
     ),
-    "news": (("gkg",), "select * from parsed_gkg"),
     "geo": ((), f"select {_columns(X.geo_event_columns(X.DUCK))} from events"),
     "ports": (
         (),
