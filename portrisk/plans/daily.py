@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrisk import profiles as P
+from portrisk.functions.parse import dateadded_between
 from portrisk.operators.aggregates import daily_features
 from portrisk.operators.joins import route_members
 from portrisk.operators.stats import minmax_transform
@@ -14,7 +15,7 @@ from portrisk.plans.features import daily_changes, feature_frame, feature_news,
 from portrisk.plans.forecast import fit_forecaster, next_day_news, real_units, score
 from portrisk.plans.report import REPORT_KEYS, build_silver, weighted_report
 from portrisk.session import freeze
-from portrisk.sources.merge import insert_only_into, upsert_into
+from portrisk.sources.merge import insert_only_into, latest_rows, upsert_into
 from portrisk.sources.raw import DAY, read_raw, scan_range
 from portrisk.sources.readers import normalise_null_strings, stamp_lineage
 
@@ -22,26 +23,36 @@ EVENT_KEY = ("GlobalEventID",)
 
 
 def bronze_events(spark: SparkSession, raw_path: str, table_path: str, low: str, high: str | None = None) -> None:
-    """Upsert the landed events of a day or range by event id."""
-    day = read_raw(spark, raw_path, low, high)
-    rows = stamp_lineage(day, F.col(DAY)).drop(DAY)
-    upsert_into(spark, table_path, rows, EVENT_KEY, "extraction_date")
+    """Upsert the landed events of a day or range by event id.
+
+    The table is partitioned by the day of the event, which a later delivery of
+    the event repeats. In a range the latest delivery of an event counts.
+    """
+    rows = read_raw(spark, raw_path, low, high)
+    if high not in (None, low):
+        rows = latest_rows(rows, EVENT_KEY, DAY)
+    upsert_into(spark, table_path, stamp_lineage(rows, F.col(DAY)).drop(DAY), EVENT_KEY, "Day")
 
 
 def bronze_news(spark: SparkSession, raw_path: str, table_path: str, low: str, high: str | None = None) -> None:
-    """Upsert the landed news of a day or range by the identity of the news row."""
-    day = read_raw(spark, raw_path, low, high)
-    rows = stamp_lineage(normalise_null_strings(day), F.col(DAY)).drop(DAY)
-    # missing parts of the key are real nulls here, and two missing parts are equal
-    upsert_into(spark, table_path, rows, P.NEWS_KEY, "extraction_date", null_safe=True)
+    """Upsert the landed news of a day or range by the identity of the news row.
+
+    Missing parts of the key are real nulls here, and two missing parts are
+    equal. The table is partitioned by DATE, which is part of the key.
+    """
+    rows = normalise_null_strings(read_raw(spark, raw_path, low, high))
+    if high not in (None, low):
+        rows = latest_rows(rows, P.NEWS_KEY, DAY, null_safe=True)
+    rows = stamp_lineage(rows, F.col(DAY)).drop(DAY)
+    upsert_into(spark, table_path, rows, P.NEWS_KEY, "DATE", null_safe=True)
 
 
 def silver_news(
     spark: SparkSession, bronze_path: str, table_path: str, low: str, high: str | None = None,
     pages: DataFrame | None = None,
 ) -> None:
-    """Add the port news of a day or range to the silver table."""
-    raw = scan_range(spark.read.parquet(bronze_path), low, high or low, "extraction_date")
+    """Add the port news of a day or range of news dates to the silver table."""
+    raw = dateadded_between(spark.read.parquet(bronze_path), low, high or low, "DATE")
     keys = ["Date", *[k for k in P.NEWS_KEY if k != "DATE"]]
     insert_only_into(
         spark, table_path, freeze(build_silver(raw, pages)), keys, "Date", null_safe=True

@@ -87,6 +87,21 @@ def insert_only_merge(
     )
 
 
+def latest_rows(
+    df: DataFrame, keys: Sequence[str], by: str, null_safe: bool = False
+) -> DataFrame:
+    """Of each key the rows of its latest ``by``, as if deliveries had come one by one.
+
+    Rows that share the latest ``by`` all stay, and a null key equals no other
+    unless ``null_safe``.
+    """
+    keyed = df if null_safe else df.where(~_any_null(keys))
+    last = keyed.groupBy(*keys).agg(F.max(by).alias("_last"))
+    same = _same_key(keys) & (F.col(by) == F.col("_last"))
+    kept = keyed.join(_renamed(last, keys), same, "left_semi")
+    return kept if null_safe else kept.unionByName(df.where(_any_null(keys)))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Is there a folder at ``path`` on whatever file system it names?"""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -100,7 +115,10 @@ def _touched(spark: SparkSession, path: str, source: DataFrame, day: str) -> Dat
     listed; it is bounded by the calendar.
     """
     days = [r[0] for r in source.select(day).distinct().collect()]
-    return spark.read.parquet(path).where(F.col(day).isin(days) | F.lit(not days))
+    touched = F.col(day).isin([d for d in days if d is not None])
+    if None in days:
+        touched = touched | F.col(day).isNull()
+    return spark.read.parquet(path).where(touched)
 
 
 def _replace_days(rows: DataFrame, path: str, day: str) -> None:
@@ -119,8 +137,8 @@ def upsert_into(
 ) -> None:
     """Upsert into the stored table at ``path``, rewriting only the source's days.
 
-    A row must keep its day from one delivery to the next, as ``day`` is where
-    its earlier version is looked up. A dynamic partition overwrite stages the
+    ``day`` must stay the same when a row is delivered again (an event date, not
+    a date of extraction), as it tells where the earlier version is. A dynamic partition overwrite stages the
     new files and swaps the days at commit, after every task has read the old
     ones; a task that is repeated before that still finds them. The source is
     read three times (days, keys, rows): freeze it if it is more than a scan.

@@ -12,7 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from portrisk.sources.merge import insert_only_into, upsert_into
+from portrisk.session import freeze
+from portrisk.sources.merge import insert_only_into, latest_rows, upsert_into
 
 
 def incremental_ingest(
@@ -25,13 +26,15 @@ def incremental_ingest(
     day: str,
     insert_only: bool = False,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    latest_by: str | None = None,
     max_files: int | None = None,
     timeout: int | None = None,
 ) -> bool:
     """Process all files that are new since the last call, then stop.
 
     ``schema`` names the columns of the Parquet files, the partition column
-    included. ``max_files`` bounds one batch. Returns False if ``timeout``
+    included. ``latest_by`` names the delivery date: when one batch holds several
+    deliveries of a key, the latest counts. ``max_files`` bounds one batch. Returns False if ``timeout``
     seconds passed before the stream was done.
     """
     reader = spark.readStream.schema(schema)
@@ -41,7 +44,11 @@ def incremental_ingest(
     merge = insert_only_into if insert_only else upsert_into
 
     def write(batch: DataFrame, _: int) -> None:
-        merge(batch.sparkSession, table_path, transform(batch) if transform else batch, keys, day)
+        rows = latest_rows(batch, keys, latest_by) if latest_by else batch
+        if transform or latest_by:
+            # the merge reads its source several times
+            rows = freeze(transform(rows) if transform else rows)
+        merge(batch.sparkSession, table_path, rows, keys, day)
 
     query = (
         stream.writeStream.foreachBatch(write)

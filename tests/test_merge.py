@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from portrisk import schemas
 from portrisk.session import new_folder
@@ -155,3 +156,42 @@ def test_event_layout():
     assert len(schemas.EVENTS) == 58 and len(schemas.GKG) == 11
     assert schemas.EVENTS["EventRootCode"].dataType.simpleString() == "string"
     assert schemas.EVENTS.names[25] == "IsRootEvent" and schemas.EVENTS.names[-1] == "SOURCEURL"
+
+
+def test_latest_delivery_counts_and_its_copies_stay(spark, rows):
+    df = spark.createDataFrame(
+        [(1, D1, "old"), (1, D2, "new"), (1, D2, "new"), (2, D1, "only"), (None, D1, "n1"), (None, D2, "n2")], SCHEMA
+    )
+    assert rows(merge.latest_rows(df, ["id"], "day"), "value") == [("n1",), ("n2",), ("new",), ("new",), ("only",)]
+    assert rows(merge.latest_rows(df, ["id"], "day", null_safe=True), "value") == [("n2",), ("new",), ("new",), ("only",)]
+
+
+def test_redelivered_event_is_updated_whatever_day_it_arrives(spark, rows):
+    """Day by day and as one range the table is the same: one row per event, the latest."""
+    from portrisk.plans import daily
+
+    def events(*values):
+        named = spark.createDataFrame(values, "GlobalEventID long, Day int, SOURCEURL string")
+        return named.select(
+            *[(F.col(f.name) if f.name in named.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.EVENTS.fields]
+        )
+
+    landed, single, whole = (new_folder(spark, n) for n in ("raw", "single", "whole"))
+    raw.land_raw(events((1, 20240101, "first"), (2, None, "undated")), landed, "2024-01-01")
+    raw.land_raw(events((1, 20240101, "again"), (2, None, "undated again"), (3, 20240102, "c")), landed, "2024-01-02")
+    for day in ("2024-01-01", "2024-01-02"):
+        daily.bronze_events(spark, landed, single, day)
+    daily.bronze_events(spark, landed, whole, "2024-01-01", "2024-01-02")
+    want = [(1, "again"), (2, "undated again"), (3, "c")]
+    for path in (single, whole):
+        assert rows(spark.read.parquet(path), "GlobalEventID", "SOURCEURL") == want
+
+
+def test_stream_batch_with_two_deliveries_keeps_the_latest(spark, rows):
+    landing, table, progress = (new_folder(spark, n) for n in ("l", "t", "p"))
+    schema = "id long, day date, value string, sent int"
+    for sent in (1, 2):
+        spark.createDataFrame([(1, D1, f"v{sent}", sent)], schema).write.mode("append").parquet(landing)
+    struct = spark.createDataFrame([], schema).schema
+    assert incremental_ingest(spark, landing, struct, table, progress, ["id"], "day", latest_by="sent", timeout=120)
+    assert rows(spark.read.parquet(table), "id", "value") == [(1, "v2")]

@@ -125,14 +125,19 @@ def test_daily_jobs_can_be_repeated(spark, rows):
     land_raw(feed, raw, "2024-01-02")
     for _ in range(2):
         daily.bronze_news(spark, raw, bronze, "2024-01-02")
-        daily.silver_news(spark, bronze, silver, "2024-01-02")
+        daily.silver_news(spark, bronze, silver, "2024-01-01")
         daily.gold_report(spark, silver, gold, "2024-01-01")
     assert spark.read.parquet(bronze).count() == 2 and spark.read.parquet(silver).count() == 2
     assert rows(spark.read.parquet(gold), "Total", "NumberOfNews") == [(0, 1), (1, 1)]
+    # silver opens only the partitions of its news dates
+    from portrisk.functions.parse import dateadded_between
+
+    day = dateadded_between(spark.read.parquet(bronze), "2024-01-01", "2024-01-01", "DATE")
+    assert "PartitionFilters: [isnotnull(DATE" in plan_of(day)
     # a later delivery changes a count: the old row is replaced, not doubled
     more = feed.where("CAMEOEVENTIDS = '1'").withColumn("CAMEOEVENTIDS", F.lit("3"))
     land_raw(feed.unionByName(more), raw, "2024-01-02")
     daily.bronze_news(spark, raw, bronze, "2024-01-02")
-    daily.silver_news(spark, bronze, silver, "2024-01-02")
+    daily.silver_news(spark, bronze, silver, "2024-01-01")
     daily.gold_report(spark, silver, gold, "2024-01-01")
     assert rows(spark.read.parquet(gold), "Total", "NumberOfNews") == [(0, 2), (1, 1)]
