@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from portrisk.registry import QUERIES
 from tools.check_queries import TABLES, table_of
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ def test_every_statement_belongs_to_a_query():
     queries, oracles = entry.queries(), entry.oracle_sql()
     assert set(oracles) <= set(queries)
     # only fitted models have no statement
-    assert {n for n in queries if n not in oracles} == {
+    assert {n for n in QUERIES if n not in oracles} == {
         "t03_fit_forecaster", "t03_score", "t03_model_mae", "t04_next_day_news_model", "e3_daily_predictions",
     }
 
