@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrisk.llm import fingerprints, mixing, packing, quality, topk, toxicity
+from portrisk.llm import extraction, fingerprints, line_dedup, mixing, packing, quality, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,12 +33,36 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_LINES = r"""with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as all_lines, text from documents),
+  e as (select doc_id, line, content, len(regexp_extract_all(content, '[^\x20\x09-\x0D]+')) as words from
+    (select doc_id, unnest(all_lines) as content, generate_subscripts(all_lines, 1) - 1 as line from d)),
+  l as (select *, row_number() over (partition by doc_id order by line) as pos, sum(words) over (partition by doc_id order by line) as upto from e where words > 0),
+  p as (select a.doc_id, a.pos as head, b.pos as tail from l a join l b on a.doc_id = b.doc_id and b.pos between a.pos and a.pos + 19 and b.upto - a.upto + a.words >= 20),
+  w as (select doc_id, head, min(tail) as tail from p group by all union select doc_id, max(head), tail from p group by doc_id, tail),
+  r as (select w.doc_id, w.head, w.tail, string_agg(content, chr(10) order by l.pos) as run from w join l on l.doc_id = w.doc_id and l.pos between w.head and w.tail group by all),
+  f as (select *, min({'d': doc_id, 'h': head}) over (partition by run) as origin from r),
+  g as (select distinct l.doc_id, l.line from f join l on l.doc_id = f.doc_id and l.pos between f.head and f.tail where {'d': f.doc_id, 'h': f.head} > f.origin),
+  k as (select e.doc_id, coalesce(string_agg(content, chr(10) order by e.line) filter (g.line is null), '') as kept, count(g.line) as n_deleted
+    from e left join g on g.doc_id = e.doc_id and g.line = e.line group by all)
+  select d.doc_id, case when d.text is not null then kept end as text, case when d.text is null then 0 else len(all_lines) end as n_lines, n_deleted from d join k using (doc_id)"""
+
+
+@query("op3_line_dedup", _LINES)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
+
+
 @query("op4_quality_classifier")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.train(docs, quality.graded(table(spark, sf_dir, "labels"))))
 
 
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op6_packing")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_words(table(spark, sf_dir, "documents"), tokenizer_path())
