@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from portrisk.llm.mixing import WORD
+from portrisk.llm.mixing import SPACE
 from portrisk.session import freeze
 
 MIN_WORDS = 20
@@ -64,45 +64,44 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     (doc_id, version) or further up in the same one.
     """
     numbered = F.transform(
-        _lines(F.col("text")), lambda x, i: F.struct(i.alias("line"), _named(x).alias("name"), F.regexp_count(x, F.lit(WORD)).alias("words"))
+        _lines(F.col("text")),
+        lambda x, i: F.struct(i.alias("line"), _named(x).alias("name"), F.size(F.array_remove(F.split(x, SPACE), "")).alias("words")),
     )
     texts = docs.where("doc_id is not null").select("doc_id", _version(F.col("text")).alias("version"), F.filter(numbered, lambda x: x["words"] > 0).alias("lines"))
-    texts = freeze(texts)  # a column that many expressions read is computed once
-    lines = F.col("lines")
-    with_reach = F.transform(
-        lines,
-        lambda x, i: F.struct(
-            x["name"].alias("name"),
-            _reach(F.slice(lines, i + 1, min_words), min_words).alias("down"),
-            _reach(F.reverse(F.slice(lines, F.greatest(F.lit(1), i + 2 - min_words), F.least(i + 1, F.lit(min_words)))), min_words).alias("up"),
-            F.transform(F.slice(lines, F.greatest(F.lit(1), i + 2 - min_words), F.lit(2 * min_words)), lambda y: y["line"]).alias("around"),
-            F.least(i, F.lit(min_words - 1)).alias("lead"),
-        ),
-    )
-    order = Window.partitionBy(*KEY).orderBy("at")
-    rows = texts.select(*KEY, F.posexplode(with_reach).alias("at", "x")).select(*KEY, "at", "x.*")
-    level = freeze(_repeated(rows, ["name"]).drop("first"))
-    level = level.withColumn("_n", F.row_number().over(Window.partitionBy(*KEY, "at").orderBy("name"))).where("_n = 1").drop("_n")  # equal rows
-    places = level.select(*KEY, "at", "name")
-    levels, span = [places], 1
+    rows = freeze(texts.select(*KEY, F.posexplode("lines").alias("at", "x")).select(*KEY, "at", "x.*"))
+    in_order = Window.partitionBy(*KEY).orderBy("at")
+    # equal rows are one document; unbroken stretches of repeated lines are all that matters from here
+    level = _repeated(rows, ["name"]).drop("first").withColumn("again", F.lag("at").over(in_order).eqNullSafe(F.col("at"))).where("not again")
+    level = level.withColumn("stretch", F.col("at") - F.row_number().over(in_order))
+    stretch = Window.partitionBy(*KEY, "stretch").orderBy("at")
+    line = F.struct("line", "words")
+    level = level.withColumns({
+        "ahead": F.collect_list(line).over(stretch.rowsBetween(0, min_words - 1)),
+        "behind": F.collect_list(line).over(stretch.rowsBetween(1 - min_words, 0)),
+    })
+    level = freeze(level.select(*KEY, "at", "name", "ahead", "behind"))
+    levels, span = [level.select(*KEY, "at", "name")], 1
     while span * 2 <= min_words:
-        ahead = F.lead(F.struct("at", "name"), span).over(order)
-        longer = levels[-1].withColumn("ahead", ahead).where(F.col("ahead.at") == F.col("at") + span)
-        longer = longer.select(*KEY, "at", _named(F.col("name"), F.col("ahead.name")).alias("name"))
+        after = F.lead(F.struct("at", "name"), span).over(in_order)
+        longer = levels[-1].withColumn("after", after).where(F.col("after.at") == F.col("at") + span)
+        longer = longer.select(*KEY, "at", _named(F.col("name"), F.col("after.name")).alias("name"))
         levels.append(freeze(_repeated(longer, ["name"]).drop("first")))
         span *= 2
-    cut = lambda start, n: F.slice("around", F.col("lead") + 1 + start, n)
-    down = level.where("down is not null").select(*KEY, "at", F.col("down").alias("n"), cut(F.lit(0), F.col("down")).alias("run"))
-    up = level.where("up is not null").select(*KEY, (F.col("at") - F.col("up") + 1).alias("at"), F.col("up").alias("n"), cut(1 - F.col("up"), F.col("up")).alias("run"))
-    runs = freeze(down.unionByName(up).dropDuplicates([*KEY, "at", "n"]))
-    found = []
-    for k, names in enumerate(levels):
-        own = runs.where((F.col("n") >= 1 << k) & (F.col("n") < 2 << k))
-        head = names.withColumnRenamed("name", "head")
-        tail = names.select(*KEY, F.col("at").alias("tail_at"), F.col("name").alias("tail"))
-        both = own.join(head, [*KEY, "at"]).withColumn("tail_at", F.col("at") + F.col("n") - (1 << k)).join(tail, [*KEY, "tail_at"])
-        found.append(_repeated(both, ["n", "head", "tail"]).where(F.struct(*KEY, "at") > F.col("first")).select(*KEY, "run"))
-    return reduce(DataFrame.unionByName, found).select(*KEY, F.explode("run").alias("line")).distinct()
+    names = reduce(DataFrame.unionByName, [x.withColumn("k", F.lit(k)) for k, x in enumerate(levels)])
+    reach = level.withColumns({"down": _reach(F.col("ahead"), min_words), "up": _reach(F.reverse("behind"), min_words)})
+    numbers = lambda part: F.transform(part, lambda y: y["line"])
+    down = reach.where("down is not null").select(*KEY, "at", F.col("down").alias("n"), numbers(F.slice("ahead", 1, F.col("down"))).alias("run"))
+    up = reach.where("up is not null").select(
+        *KEY, (F.col("at") - F.col("up") + 1).alias("at"), F.col("up").alias("n"), numbers(F.slice("behind", F.size("behind") - F.col("up") + 1, F.col("up"))).alias("run")
+    )
+    runs = down.unionByName(up).dropDuplicates([*KEY, "at", "n"])
+    # a run of n lines is named by the two runs of 2^k <= n < 2^(k + 1) lines at its ends
+    runs = runs.withColumn("k", F.floor(F.log2("n")).cast("int")).withColumn("tail_at", F.col("at") + F.col("n") - F.expr("shiftleft(1, k)"))
+    head = names.withColumnRenamed("name", "head")
+    tail = names.select(*KEY, "k", F.col("at").alias("tail_at"), F.col("name").alias("tail"))
+    both = freeze(runs.join(head, [*KEY, "k", "at"]).join(tail, [*KEY, "k", "tail_at"]).select(*KEY, "at", "n", "run", "head", "tail"))
+    found = _repeated(both, ["n", "head", "tail"]).where(F.struct(*KEY, "at") > F.col("first"))
+    return found.select(*KEY, F.explode("run").alias("line")).distinct()
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

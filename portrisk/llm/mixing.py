@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from portrisk.session import freeze
 
-WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]"
 HASH_BITS, STEP_BITS = 60, 12
 MAX_REPEATS = 3
 
@@ -21,7 +21,7 @@ def hash_value(column: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    return F.when(text.isNull(), 0).otherwise(F.size(F.array_remove(F.split(text, SPACE), ""))).cast("long")
 
 
 def source_ranks(sources: DataFrame) -> DataFrame:

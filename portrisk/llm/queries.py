@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrisk.llm import extraction, fingerprints, line_dedup, mixing, packing, quality, topk, toxicity
+from portrisk.llm import extraction, fingerprints, jaccard, line_dedup, mixing, packing, quality, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,25 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+_JACCARD = r"""with w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents),
+  s as (select doc_id, case when len(words) = 0 then []::varchar[] when len(words) < 4 then [array_to_string(words, ' ')]
+    else list_distinct(list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' '))) end as shingles from w),
+  n as (select doc_id, len(shingles) as n_shingles from s),
+  g as (select doc_id, unnest(shingles) as shingle from s),
+  o as (select a.doc_id as a, b.doc_id as b, count(*) as both_have from g a join g b on a.shingle = b.shingle and a.doc_id < b.doc_id group by all),
+  l as (select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b where 100 * both_have >= 85 * (x.n_shingles + y.n_shingles - both_have)),
+  e as (select a, b from l union all select b, a from l),
+  c as (with recursive r(doc_id, seen) as (select doc_id, doc_id from n union select e.b, r.seen from r join e on e.a = r.doc_id where r.seen < e.b)
+    select doc_id, min(seen) as component_id from r group by doc_id)
+  select n.doc_id, n.n_shingles, c.component_id from n join c using (doc_id)"""
+
+
+@query("op1_ngram_jaccard_join", _JACCARD)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 _LINES = r"""with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as all_lines, text from documents),
   e as (select doc_id, line, content, len(regexp_extract_all(content, '[^\x20\x09-\x0D]+')) as words from
     (select doc_id, unnest(all_lines) as content, generate_subscripts(all_lines, 1) - 1 as line from d)),
