@@ -140,8 +140,12 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray,
             total[there] += word[first[there] + i] * weights[i]
         parts.append((short, mix(total ^ np.uint64(0x5851F42D4C957F2D))))
     doc, value = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((value, doc))
-    doc, value = doc[order], value[order]
+    if len(short):
+        order = np.argsort(doc, kind="stable")
+        doc, value = doc[order], value[order]
+    cuts = np.flatnonzero(doc[1:] != doc[:-1]) + 1
+    for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(doc)], strict=True):
+        value[i:j].sort()
     fresh = np.ones(len(doc), bool)
     fresh[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
     return doc[fresh], value[fresh]
