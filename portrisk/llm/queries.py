@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrisk.llm import extraction, fingerprints, jaccard, line_dedup, mixing, packing, quality, topk, toxicity
+from portrisk.llm import extraction, fingerprints, jaccard, line_dedup, mixing, packing, quality, suffixes, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+# windows of 50 bytes, written as hexadecimal text
+_SUFFIXES = """with b as (select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents),
+  w as (select doc_id, pos, substr(h, 2 * pos + 1, 100) as gram from (select doc_id, h, unnest(range(0, n - 49)) as pos from b)),
+  f as (select *, min(doc_id) over (partition by gram) as origin from w),
+  g as (select doc_id, pos, coalesce(pos > max(pos + 50) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding), true) as fresh
+    from f where doc_id > origin),
+  i as (select doc_id, min(pos) as head, max(pos) + 50 as tail from (select *, sum(fresh::int) over (partition by doc_id order by pos) as island from g) group by doc_id, island),
+  m as (select doc_id, list(struct_pack(head := head, tail := tail) order by head) as spans from i group by doc_id),
+  k as (select b.doc_id, n, coalesce(len(spans), 0) as n_spans, coalesce(list_sum(list_transform(spans, lambda s: s.tail - s.head)), 0) as n_removed,
+    case when spans is null then h else substr(h, 1, 2 * spans[1].head) || list_aggregate(list_transform(range(1, len(spans) + 1), lambda x:
+      substr(h, 2 * spans[x].tail + 1, 2 * (coalesce(spans[x + 1].head, n) - spans[x].tail))), 'string_agg', '') end as kept from b left join m using (doc_id))
+  select doc_id, n as n_bytes, n_removed::bigint as n_removed, n_spans, sha256(from_hex(kept)) as kept_sha256 from k"""
+
+
+@query("op2_suffix_array_dedup", _SUFFIXES)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup(table(spark, sf_dir, "documents")).drop("text")
+
+
 _LINES = r"""with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as all_lines, text from documents),
   e as (select doc_id, line, content, len(regexp_extract_all(content, '[^\x20\x09-\x0D]+')) as words from
     (select doc_id, unnest(all_lines) as content, generate_subscripts(all_lines, 1) - 1 as line from d)),
