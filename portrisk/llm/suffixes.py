@@ -25,8 +25,8 @@ from portrisk.session import freeze
 
 LENGTH, GRAM = 50, 20
 CHUNK = 256 << 10
-FLUSH_BYTES = 16 << 20
-BUCKET_BYTES, SHARD_BYTES = 8 << 20, 4 << 20
+FLUSH_BYTES = 8 << 20
+BUCKET_BYTES, SHARD_BYTES = 8 << 20, 1 << 20
 FILTER_BITS = 1 << 28
 HOT_DOCS, SALTS = 20_000, 64
 _HALF = np.uint64(32)
@@ -70,21 +70,26 @@ class Buckets:
 
     def __init__(self, total_bytes: int) -> None:
         self.n = max(8, -(-total_bytes // BUCKET_BYTES))
-        self.slice_bytes = max(64, min(FILTER_BITS, max(total_bytes, 1 << 16)) // self.n // 8)
+        bits = min(FILTER_BITS, max(total_bytes, 1 << 16)) // self.n
+        self.widths = max(512, bits // 8 * 8), max(512, bits // 64 // 8 * 8)  # common anchors are few
 
     def of(self, value: np.ndarray) -> np.ndarray:
         return ((value >> _HALF) * np.uint64(self.n) >> _HALF).astype(np.int64)
 
-    def bit(self, low: np.ndarray) -> np.ndarray:
-        return (textkit.mix(low.astype(np.uint64)) % np.uint64(self.slice_bytes * 8)).astype(np.int64)
+    def bit(self, low: np.ndarray, which: int) -> np.ndarray:
+        return (textkit.mix(low.astype(np.uint64)) % np.uint64(self.widths[which])).astype(np.int64)
 
+    def holds(self, filters: list[np.ndarray], which: int, value: np.ndarray) -> np.ndarray:
+        at = self.bit(value & _LOW, which)
+        return filters[which][self.of(value), at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 > 0
 
-def _seen_in(docs: DataFrame, buckets: Buckets, length: int, k: int, hot_docs: int) -> tuple[np.ndarray, np.ndarray]:
+
+def _seen_in(docs: DataFrame, buckets: Buckets, length: int, k: int, hot_docs: int) -> list[np.ndarray]:
     """Filters over anchors: those of two or more documents, and those of very many.
 
     Each task counts its documents by anchor; a part of the hash space gets one packed row a
-    task, so no anchor brings more than one entry a task. Only the filters, at most twice
-    FILTER_BITS, reach the driver.
+    task, so no anchor brings more than one entry a task. Only the filters, little more
+    than FILTER_BITS, reach the driver.
     """
     schema = "bucket int, low binary, docs binary"
 
@@ -127,18 +132,18 @@ def _seen_in(docs: DataFrame, buckets: Buckets, length: int, k: int, hot_docs: i
         first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
         n, low = np.add.reduceat(n, first), low[first]
         out = {"bucket": [int(group["bucket"].iloc[0])]}
-        for name, least in (("shared", 2), ("hot", hot_docs)):
-            bits = np.zeros(buckets.slice_bytes * 8, bool)
-            bits[buckets.bit(low[n >= least])] = True
+        for which, (name, least) in enumerate((("shared", 2), ("hot", hot_docs))):
+            bits = np.zeros(buckets.widths[which], bool)
+            bits[buckets.bit(low[n >= least], which)] = True
             out[name] = [np.packbits(bits).tobytes()]
         return pd.DataFrame(out)
 
     found = docs.mapInArrow(count, schema).groupBy("bucket").applyInPandas(merge, "bucket int, shared binary, hot binary").toArrow()
-    filters = np.zeros((2, buckets.n, buckets.slice_bytes), np.uint8)
+    filters = [np.zeros((buckets.n, width // 8), np.uint8) for width in buckets.widths]
     for bucket, *parts in zip(*(c.to_pylist() for c in found.columns), strict=True):
         for i, part in enumerate(parts):
-            filters[i, bucket] = np.frombuffer(part, np.uint8)
-    return filters[0], filters[1]
+            filters[i][bucket] = np.frombuffer(part, np.uint8)
+    return filters
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
@@ -253,7 +258,7 @@ def _strings(docs: DataFrame, filters, buckets: Buckets, shards: int, length: in
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared, hot = filters.value
+        sieve = filters.value
         held, size = [], 0
 
         def flush():
@@ -270,9 +275,7 @@ def _strings(docs: DataFrame, filters, buckets: Buckets, shards: int, length: in
                 rows.append((-1 - int(key[order[0]] & np.uint64(0xFFFF)), False, b"", *(x.astype(np.int64).tobytes() for x in spans), b""))
             at = np.concatenate([[0], np.cumsum(sizes)])
             left = np.flatnonzero(~known)
-            bucket = buckets.of(value[left])
-            bit = buckets.bit(value[left] & _LOW)
-            is_hot = hot[bucket, bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1 > 0
+            is_hot = buckets.holds(sieve, 1, value[left])
             salt = np.where(is_hot, 1 + (textkit.mix(doc[left].astype(np.uint64)) % np.uint64(SALTS)).astype(np.int64), 0)
             shard = (textkit.mix(value[left] + salt.astype(np.uint64)) % np.uint64(shards)).astype(np.int64) * 2 + is_hot
             left = left[np.argsort(shard, kind="stable")]
@@ -291,8 +294,7 @@ def _strings(docs: DataFrame, filters, buckets: Buckets, shards: int, length: in
             for i, j, data, offsets in textkit.text_chunks(batch.column(1), CHUNK):
                 first, count, value, doc, sums = anchors(data, offsets, length, k)
                 if len(first):
-                    bucket, bit = buckets.of(value), buckets.bit(value & _LOW)
-                    keep = shared[bucket, bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1 > 0
+                    keep = buckets.holds(sieve, 0, value)
                     first, count, value, doc = first[keep], count[keep], value[keep], doc[keep]
                     sizes = count + length - 1
                     key = textkit.range_hash(sums, first, first + sizes) + sizes.astype(np.uint64)
