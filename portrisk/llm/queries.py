@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrisk.llm import extraction, fingerprints, jaccard, line_dedup, mixing, packing, quality, suffixes, topk, toxicity
+from portrisk.llm import extraction, fingerprints, jaccard, line_dedup, mixing, packing, quality, suffixes, textkit, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    textkit.short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

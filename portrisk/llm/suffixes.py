@@ -27,7 +27,7 @@ LENGTH, GRAM = 50, 20
 CHUNK = 256 << 10
 FLUSH_BYTES = 8 << 20
 BUCKET_BYTES, SHARD_BYTES = 8 << 20, 1 << 20
-FILTER_BITS = 1 << 28
+FILTER_BITS = 1 << 27
 HOT_DOCS, SALTS = 20_000, 64
 _HALF = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)

@@ -10,8 +10,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 CHUNK_BYTES = 2 << 20
+BATCH_ROWS = 1000
+pa.set_memory_pool(pa.system_memory_pool())  # freed buffers go back to the system, not to a pool in each worker
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -21,6 +24,12 @@ _LOWER = np.arange(256)
 _LOWER[65:91] += 32
 
 
+def short_batches(spark: SparkSession) -> None:
+    """Whole texts travel in batches of BATCH_ROWS unless the session sets another number."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = x.astype(np.uint64, copy=True)
