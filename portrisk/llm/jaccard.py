@@ -6,9 +6,10 @@ document within reach of the next ring's documents is replicated into it. Nearly
 of a corpus are at distance 1 from any document, so document pivots alone would leave windows
 that hold everything. Each ring is therefore first cut by shingle-space pivots: a document has a
 cell for each part of a hash partition of the shingles, with as many parts that two documents
-within reach must agree on one. A cell is a region; its documents are compared with pivot
-documents of the region, those within reach of the pivot are linked through it, and only what
-the triangle inequality leaves open goes on to the next pivots, until no region is open.
+within reach must agree on one. A cell is a region; its documents are compared with a pivot
+document of the region, those within reach of the pivot are linked through it, and only what
+the triangle inequality leaves open goes on: blocks of an open region are joined exactly, after
+the numbers of parts on which two documents agree.
 """
 
 from __future__ import annotations
@@ -16,10 +17,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from portrisk.llm import textkit
 from portrisk.llm.graph import components
@@ -30,7 +31,7 @@ RING = 1.5  # ratio of a ring's bounds
 SKETCH = 1 << 16  # counters of shingle frequency
 COMMON = 4  # a counter this many times the mean holds a common shingle
 SCHEMES = 8
-PIVOTS = 16
+BLOCK = 1024  # documents of an open region that are compared in one task
 FILTER_BITS = 1 << 24
 _VALUE = np.uint64(0x5DEECE66D5DEECE7)
 
@@ -120,6 +121,67 @@ def _parts(doc, value, weight, rare, rings, which, n_docs, scheme, reach, found)
     return lacking
 
 
+def part_marks(doc: np.ndarray, value: np.ndarray, rings: np.ndarray, reach: Reach) -> list[bytes]:
+    """For each set, 16 bits of what each of its parts in the given ring holds; rings below 0 have none."""
+    parts = np.where(rings >= 0, reach.parts[np.maximum(rings, 0)], 0)
+    base = np.concatenate([[0], np.cumsum(parts)])
+    marks = np.zeros(base[-1], np.uint16)
+    rows = rings[doc] >= 0
+    d, v = doc[rows], value[rows]
+    if len(d):
+        part = ((v >> np.uint64(32)) * parts[d].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (part[1:] != part[:-1])]))
+        sums = textkit.mix(np.add.reduceat(textkit.mix(v ^ _VALUE), first))
+        marks[base[d[first]] + part[first]] = (sums & np.uint64(0xFFFF)).astype(np.uint16) | 1
+    return [marks[a:b].tobytes() for a, b in zip(base[:-1], base[1:], strict=True)]
+
+
+def _may_link(reach: Reach):
+    """x, q: pairs of a region that agree on as many parts as linked sets of their sizes must."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        size, root = group["size"].to_numpy(), group["root"].to_numpy()
+        ids, side, free = group["id"].to_numpy(), group["side"].to_numpy(), group["free"].to_numpy()
+        distance = group["distance"].to_numpy()
+        ring = np.searchsorted(reach.bounds, size, side="right") - 1
+        near = (reach.den - reach.num) / reach.den + 1e-9
+        found: list[np.ndarray] = []
+        for r in np.unique(ring):
+            upper = np.flatnonzero(ring == r)
+            lower = np.flatnonzero(ring == r - 1)
+            both = np.concatenate([upper, lower])
+            marks = None
+            if r >= 0:
+                rows = [group["own_marks"].iloc[i] for i in upper] + [group["next_marks"].iloc[i] for i in lower]
+                marks = np.frombuffer(b"".join(rows), np.uint16).reshape(len(both), -1)
+            for at, i in enumerate(upper):
+                others = both[at + 1 :]
+                total = size[i] + size[others]
+                keep = (root[others] != root[i]) & (free[others] | free[i]) & (np.abs(distance[others] - distance[i]) <= near)
+                keep &= (side[i] != side[others]) | (side[i] < 0)
+                keep &= reach.den * np.minimum(size[i], size[others]) >= reach.num * np.maximum(size[i], size[others])
+                if marks is not None and keep.any():
+                    k = np.flatnonzero(keep)
+                    agree = (marks[at + 1 + k] == marks[at]).sum(axis=1)
+                    keep[k] = agree >= marks.shape[1] - (reach.den - reach.num) * total[k] // (reach.den + reach.num)
+                if keep.any():
+                    found.append(np.stack([np.full(int(keep.sum()), ids[i]), ids[others[keep]]]))
+        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        return pd.DataFrame({"x": pairs.max(axis=0), "q": pairs.min(axis=0)})
+
+    return run
+
+
+def _blocks(state: DataFrame, rows: int) -> DataFrame:
+    """Cut regions into blocks of about `rows` documents; a pair of blocks is one group, side tells them apart (-1: one block)."""
+    n = state.groupBy("cell").agg(F.ceil(F.count("*") / rows).alias("n"))
+    cut = state.join(n, "cell").withColumn("block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("n")))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda y: F.struct(F.least(y, F.col("block")).alias("a"), F.greatest(y, F.col("block")).alias("b")))
+    out = cut.withColumn("pair", F.explode(pairs))
+    side = F.when(F.col("pair.a") == F.col("pair.b"), -1).when(F.col("block") == F.col("pair.a"), 0).otherwise(1)
+    return out.withColumns({"side": side, "a": F.col("pair.a"), "b": F.col("pair.b")}).drop("pair", "n", "block")
+
+
 def set_ids(doc: np.ndarray, value: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """Size and 64-bit name of each set; the empty set is 0."""
     sizes = np.bincount(doc, minlength=n_docs)
@@ -160,14 +222,14 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """id, text: one text for each wanted set.
+def _texts_of(docs: DataFrame, ids: DataFrame, k: int, reach: Reach) -> DataFrame:
+    """id, text, size and part marks: one text for each wanted set.
 
     Tasks pass on the texts that a small filter lets through, each set once a task; so the
     documents are read again but not shuffled.
     """
     sent = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
-    schema = "id long, text string"
+    schema = "id long, text string, size long, own_marks binary, next_marks binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = sent.value, set()
@@ -179,10 +241,16 @@ def _texts_of(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
                 want = (bits[slot >> 6] >> (slot & 63) & 1 > 0) & (sizes > 0)
                 take = [x for x in np.flatnonzero(want) if not (names[x] in seen or seen.add(names[x]))]
                 if take:
-                    yield textkit.batch(schema, names[take], batch.column(0).slice(i, j - i).take(pa.array(take)))
+                    ring = np.searchsorted(reach.bounds, sizes, side="right") - 1
+                    out = np.ones(j - i, bool)
+                    out[take] = False
+                    own, following = np.where(out, -1, ring), np.where(out, -1, ring + 1)
+                    marks = [part_marks(doc, value, x, reach) for x in (own, following)]
+                    text = batch.column(0).slice(i, j - i).take(pa.array(take))
+                    yield textkit.batch(schema, names[take], text, sizes[take], *([m[x] for x in take] for m in marks))
 
     found = docs.select("text").mapInArrow(run, schema)
-    return found.join(ids.select("id"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    return found.join(ids.select("id"), "id", "left_semi").dropDuplicates(["id"])
 
 
 def jaccard_join(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int = DENOMINATOR) -> DataFrame:
@@ -238,7 +306,7 @@ def jaccard_join(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int = D
     regions = alike.groupBy("n", "s", "x", "pivot").agg(F.min("cell").alias("cell")).select("cell", "pivot")
     region = freeze(members.join(regions, "cell"))
     wanted = freeze(region.select("id").distinct())
-    texts = freeze(_texts_of(docs, wanted, k))
+    texts = freeze(_texts_of(docs, wanted, k, reach))
 
     def compare(pairs: DataFrame) -> DataFrame:
         x, q = texts.select(F.col("id").alias("x"), F.col("text").alias("text_x")), texts.select(F.col("id").alias("q"), F.col("text").alias("text_q"))
@@ -252,24 +320,14 @@ def jaccard_join(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int = D
     least = far.where("not link").groupBy("cell").agg(F.min("distance").alias("least"))
     # what stays: those beyond reach of the pivot, and those whose distance allows a link with one of them
     state = freeze(far.join(least, "cell").where(~F.col("link") | (F.col("distance") >= F.col("least") - near)).select("cell", "id", "distance", (~F.col("link")).alias("free")))
-    while True:
-        roots = freeze(components(links))
-        root = state.join(roots.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("cell", "id", "distance", "free", F.coalesce("root", "id").alias("root"))
-        root = freeze(root)
-        order = Window.partitionBy("cell").orderBy("id")
-        pivots = root.where("free").withColumn("n", F.row_number().over(order)).where(F.col("n") <= PIVOTS)
-        pivots = freeze(pivots.select("cell", F.col("id").alias("q"), F.col("distance").alias("q_distance"), F.col("root").alias("q_root")))
-        if pivots.isEmpty():
-            break
-        pairs = root.join(pivots, "cell").where((F.col("root") != F.col("q_root")) & (F.abs(F.col("distance") - F.col("q_distance")) <= near))
-        pairs = pairs.select(F.greatest("id", "q").alias("x"), F.least("id", "q").alias("q"))
-        new = compare(pairs).where("link").select(F.col("x").alias("a"), F.col("q").alias("b"))
-        links = links.unionByName(new)
-        # a pivot has been compared with all of its region; regions without a free document are closed
-        left = root.join(pivots.select("cell", F.col("q").alias("id"), F.lit(False).alias("still")), ["cell", "id"], "left")
-        left = left.select("cell", "id", "distance", (F.col("free") & F.coalesce("still", F.lit(True))).alias("free"))
-        open_cells = left.groupBy("cell").agg(F.max("free").alias("open")).where("open").select("cell")
-        state = freeze(left.join(open_cells, "cell"))
+    roots = freeze(components(links))
+    root = state.join(roots.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("cell", "id", "distance", "free", F.coalesce("root", "id").alias("root"))
+    mixed = root.groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
+    open_rows = root.join(mixed, "cell").join(texts.drop("text"), "id")
+    kept = ["cell", "a", "b", "side", "id", "size", "root", "free", "distance", "own_marks", "next_marks"]
+    pairs = _blocks(open_rows, BLOCK).select(*kept).groupBy("cell", "a", "b").applyInPandas(_may_link(reach), "x long, q long")
+    links = links.unionByName(compare(pairs).where("link").select(F.col("x").alias("a"), F.col("q").alias("b")))
+    roots = freeze(components(links))
     lowest = base.groupBy("id").agg(F.min("doc_id").alias("low"))
     by_root = lowest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     least_of = by_root.groupBy("root").agg(F.min("low").alias("component_id"))
