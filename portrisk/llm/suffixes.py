@@ -80,8 +80,11 @@ class Buckets:
         return (textkit.mix(low.astype(np.uint64)) % np.uint64(self.widths[which])).astype(np.int64)
 
     def holds(self, filters: list[np.ndarray], which: int, value: np.ndarray) -> np.ndarray:
-        at = self.bit(value & _LOW, which)
-        return filters[which][self.of(value), at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 > 0
+        found, part = np.ones(len(value), bool), self.of(value)
+        for probe in (value & _LOW, ~value & _LOW):
+            at = self.bit(probe, which)
+            found &= filters[which][part, at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1 > 0
+        return found
 
 
 def _seen_in(docs: DataFrame, buckets: Buckets, length: int, k: int, hot_docs: int) -> list[np.ndarray]:
@@ -134,7 +137,7 @@ def _seen_in(docs: DataFrame, buckets: Buckets, length: int, k: int, hot_docs: i
         out = {"bucket": [int(group["bucket"].iloc[0])]}
         for which, (name, least) in enumerate((("shared", 2), ("hot", hot_docs))):
             bits = np.zeros(buckets.widths[which], bool)
-            bits[buckets.bit(low[n >= least], which)] = True
+            bits[buckets.bit(low[n >= least], which)] = bits[buckets.bit(~low[n >= least], which)] = True
             out[name] = [np.packbits(bits).tobytes()]
         return pd.DataFrame(out)
 
@@ -284,7 +287,7 @@ def _strings(docs: DataFrame, filters, buckets: Buckets, shards: int, length: in
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 x = left[a:b]
                 rows.append((
-                    int(shard[a]), bool(shard[a] & 1), value[x].tobytes(), doc[x].tobytes(), start[x].astype(np.int64).tobytes(),
+                    int(shard[a]), bool(shard[a] & 1), (value[x] & _LOW).astype(np.uint32).tobytes(), doc[x].tobytes(), _narrow(start[x]),
                     sizes[x].astype(np.uint8).tobytes(), text[_spread(at[x], sizes[x])].tobytes(),
                 ))
             return textkit.batch(OPEN, *(list(c) for c in zip(*rows, strict=True)))
@@ -310,18 +313,29 @@ def _strings(docs: DataFrame, filters, buckets: Buckets, shards: int, length: in
     return docs.mapInArrow(run, OPEN)
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    return x.astype(np.uint32 if x.max(initial=0) < 1 << 32 else np.int64).tobytes()
+
+
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint32 if len(raw) == 4 * n else np.int64).astype(np.int64)
+
+
 def _unpacked(group: pd.DataFrame, name: str, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x, kind) for x in group[name]])
 
 
 def _resolve(length: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        doc, start = _unpacked(group, "doc", np.int64), _unpacked(group, "start", np.int64)
+        doc = _unpacked(group, "doc", np.int64)
         if group["shard"].iloc[0] < 0:
+            start = _unpacked(group, "start", np.int64)
             stop = _unpacked(group, "size", np.int64)
             return _merged(doc, start, stop)
         salted = bool(group["salted"].iloc[0])
-        value, size = _unpacked(group, "hash", np.uint64), _unpacked(group, "size", np.uint8).astype(np.int64)
+        start = np.concatenate([_wide(x, len(d) // 8) for x, d in zip(group["start"], group["doc"], strict=True)])
+        # half of an anchor's hash: within a shard more never parts equal anchors
+        value, size = _unpacked(group, "hash", np.uint32), _unpacked(group, "size", np.uint8).astype(np.int64)
         text = _unpacked(group, "text", np.uint8)
         at = np.concatenate([[0], np.cumsum(size)])
         sums = textkit.prefix_sums(textkit.BYTE_VALUES[text])
