@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,38 +135,64 @@ def part_marks(doc: np.ndarray, value: np.ndarray, rings: np.ndarray, reach: Rea
     return [marks[a:b].tobytes() for a, b in zip(base[:-1], base[1:], strict=True)]
 
 
+_OPEN = ["cell", "a", "b", "side", "id", "size", "root", "free", "distance", "own_marks", "next_marks"]
+
+
 def _may_link(reach: Reach):
-    """x, q: pairs of a region that agree on as many parts as linked sets of their sizes must."""
+    """x, q: pairs of a region's block that agree on as many parts as linked sets of their sizes must.
+
+    Rows come sorted by block; a block may go on in the next batch.
+    """
+    near = (reach.den - reach.num) / reach.den + 1e-9
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        size, root = group["size"].to_numpy(), group["root"].to_numpy()
-        ids, side, free = group["id"].to_numpy(), group["side"].to_numpy(), group["free"].to_numpy()
-        distance = group["distance"].to_numpy()
+    def pairs(side, ids, size, root, free, distance, own, following) -> list[np.ndarray]:
         ring = np.searchsorted(reach.bounds, size, side="right") - 1
-        near = (reach.den - reach.num) / reach.den + 1e-9
-        found: list[np.ndarray] = []
+        found = []
         for r in np.unique(ring):
-            upper = np.flatnonzero(ring == r)
-            lower = np.flatnonzero(ring == r - 1)
+            upper, lower = np.flatnonzero(ring == r), np.flatnonzero(ring == r - 1)
             both = np.concatenate([upper, lower])
+            if len(both) < 2:
+                continue
             marks = None
             if r >= 0:
-                rows = [group["own_marks"].iloc[i] for i in upper] + [group["next_marks"].iloc[i] for i in lower]
+                rows = [own[i] for i in upper] + [following[i] for i in lower]
                 marks = np.frombuffer(b"".join(rows), np.uint16).reshape(len(both), -1)
             for at, i in enumerate(upper):
                 others = both[at + 1 :]
-                total = size[i] + size[others]
                 keep = (root[others] != root[i]) & (free[others] | free[i]) & (np.abs(distance[others] - distance[i]) <= near)
                 keep &= (side[i] != side[others]) | (side[i] < 0)
                 keep &= reach.den * np.minimum(size[i], size[others]) >= reach.num * np.maximum(size[i], size[others])
-                if marks is not None and keep.any():
-                    k = np.flatnonzero(keep)
+                k = np.flatnonzero(keep)
+                if marks is not None and len(k):
                     agree = (marks[at + 1 + k] == marks[at]).sum(axis=1)
-                    keep[k] = agree >= marks.shape[1] - (reach.den - reach.num) * total[k] // (reach.den + reach.num)
-                if keep.any():
-                    found.append(np.stack([np.full(int(keep.sum()), ids[i]), ids[others[keep]]]))
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"x": pairs.max(axis=0), "q": pairs.min(axis=0)})
+                    k = k[agree >= marks.shape[1] - (reach.den - reach.num) * (size[i] + size[others[k]]) // (reach.den + reach.num)]
+                if len(k):
+                    found.append(np.stack([np.full(len(k), ids[i]), ids[others[k]]]))
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close(table: pa.Table, until: int, cuts: np.ndarray) -> pa.RecordBatch:
+            flat = [table.column(c).to_numpy() for c in _OPEN[3:9]]
+            marks = [table.column(c).slice(0, until).to_pylist() for c in _OPEN[9:]]
+            found = []
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if j - i > 1:
+                    found += pairs(*(x[i:j] for x in flat), *(m[i:j] for m in marks))
+            out = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+            return textkit.batch("x long, q long", out.max(axis=0), out.min(axis=0))
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            keys = np.stack([table.column(c).to_numpy() for c in _OPEN[:3]])
+            edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            if len(edges):
+                yield close(table, int(edges[-1]), np.concatenate([[0], edges]))
+                table = table.slice(int(edges[-1]))
+            held = table
+        if held is not None and held.num_rows:
+            yield close(held, held.num_rows, np.array([0, held.num_rows]))
 
     return run
 
@@ -324,8 +349,9 @@ def jaccard_join(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int = D
     root = state.join(roots.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("cell", "id", "distance", "free", F.coalesce("root", "id").alias("root"))
     mixed = root.groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
     open_rows = root.join(mixed, "cell").join(texts.drop("text"), "id")
-    kept = ["cell", "a", "b", "side", "id", "size", "root", "free", "distance", "own_marks", "next_marks"]
-    pairs = _blocks(open_rows, BLOCK).select(*kept).groupBy("cell", "a", "b").applyInPandas(_may_link(reach), "x long, q long")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _blocks(open_rows, BLOCK).select(*_OPEN).repartition(tasks, "cell", "a", "b").sortWithinPartitions("cell", "a", "b")
+    pairs = dealt.mapInArrow(_may_link(reach), "x long, q long")
     links = links.unionByName(compare(pairs).where("link").select(F.col("x").alias("a"), F.col("q").alias("b")))
     roots = freeze(components(links))
     lowest = base.groupBy("id").agg(F.min("doc_id").alias("low"))
