@@ -156,7 +156,9 @@ def folded(node: Node) -> list:
         if child.tag in BLOCKS and child.tag != "br" or child.tag in UNSEEN:
             if children and children[-1][0] == child.label:
                 same = folded(child)
-                children[-1][2] = zlib.crc32(str(same[2]).encode(), children[-1][2])
+                if same[2] or children[-1][2]:
+                    children[-1][2] = zlib.crc32(str(same[2]).encode(), children[-1][2])
+                children[-1][1] = children[-1][1] or same[1]
                 continue
             children.append(folded(child))
     own = "".join(" ".join(_strings(node)).split())
@@ -262,7 +264,7 @@ def main_text(html: str | None, template_paths: set[str] | None = None, ref: lis
         order: dict[int, Node] = {}
         page = _folded_with_nodes(root, order)
         for path, _, node in aligned(ref, page):
-            if path in template_paths:
+            if path in template_paths and not node[1]:
                 template.update(id(n) for n in order[id(node)])
     for skip in (template, set()):  # a page that is all template is read without it
         blocks = _blocks(root, skip, [])
@@ -280,6 +282,7 @@ def _folded_with_nodes(node: Node, order: dict[int, list[Node]]) -> list:
         if child.tag in BLOCKS and child.tag != "br" or child.tag in UNSEEN:
             if children and children[-1][0] == child.label:
                 order[id(children[-1])].append(child)
+                children[-1][1] = children[-1][1] or _folded_with_nodes(child, order)[1]
                 continue
             children.append(_folded_with_nodes(child, order))
     made = [node.label, children, 0]
@@ -315,7 +318,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of `pages` (page_id, url, html).
 
     Every page of a host is aligned with the host's reference, its first page; what a matched
-    node says is counted over all pages of the host. A node is template when one text of it is
+    node says is counted over all pages of the host. A node without further blocks is template when one text of it is
     on TEMPLATE_SHARE of the pages that have the node, and on TEMPLATE_PAGES different pages
     at least (copies of one page count once). Only references and counts meet by host; pages
     stay where they are read but for one join with their host's small wrapper.
@@ -346,7 +349,7 @@ def extract(pages: DataFrame) -> DataFrame:
                 if ref not in known:
                     known.clear()
                     known[ref] = _unpack(ref)
-                out += [(name, path, node[2], digest) for path, _, node in aligned(known[ref], _unpack(tree))]
+                out += [(name, path, node[2], digest) for path, _, node in aligned(known[ref], _unpack(tree)) if node[2] and not node[1]]
             if out:
                 yield textkit.batch(count_schema, *(list(x) for x in zip(*out, strict=True)))
 

@@ -70,8 +70,8 @@ class OrdinalModel:
 
 def fit(doc: np.ndarray, bucket: np.ndarray, value: np.ndarray, grades: np.ndarray, steps: int = STEPS, penalty: float = PENALTY) -> OrdinalModel:
     """Maximum likelihood by Adam; thresholds are a first one and positive gaps, so they stay ordered."""
-    n, levels = len(grades), int(grades.max(initial=0)) + 1
-    above = np.array([(grades > j).mean() if n else 0.5 for j in range(max(1, levels - 1))]).clip(0.01, 0.99)
+    n, levels = max(1, len(grades)), int(grades.max(initial=0)) + 1
+    above = np.array([(grades > j).mean() if len(grades) else 0.5 for j in range(max(1, levels - 1))]).clip(0.01, 0.99)
     cuts = np.log((1 - above) / above)
     raw = np.concatenate([cuts[:1], np.log(np.maximum(np.diff(cuts), 0.1))])
     params = np.concatenate([np.zeros(BUCKETS), raw])
