@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -24,16 +25,35 @@ def create_events_table(spark: SparkSession, table: str, path: str) -> None:
     create_table(spark, table, schemas.with_lineage(schemas.EVENTS), path, "extraction_date")
 
 
+def _stored_schema(spark: SparkSession, path: str, df: DataFrame) -> T.StructType | None:
+    """The schema of the rows below a path, with the types of ``df`` where names agree; None without rows."""
+    try:
+        found = spark.read.parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return T.StructType([df.schema[f.name] if f.name in df.columns else f for f in found.fields])
+
+
 def create_or_append(
     df: DataFrame, table: str, path: str, partition_by: str | None = None, mode: str = "append"
 ) -> None:
     """Write to a table, registering it on first use.
 
     The first write creates the table; later ones append, or replace all rows
-    with ``mode='overwrite'``.
+    with ``mode='overwrite'``. Rows that a path holds before its table is known
+    are kept: the path is registered, then appended to.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
+    if not exists and (schema := _stored_schema(spark, path, df)) is not None:
+        if partition_by:
+            create_table(spark, table, schema, path, partition_by)
+            spark.catalog.recoverPartitions(table)
+        else:
+            spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+        exists = True
     if partition_by:
         df = spread_by(df, partition_by)
     writer = df.write.format("parquet")
