@@ -14,7 +14,7 @@ from portrisk.llm import jaccard, line_dedup, mixing, packing, quality  # noqa:
 from portrisk.llm.queries import table, tokenizer_path  # noqa: E402
 from portrisk.session import new_folder  # noqa: E402
 
-# classifiers, stages on pairs and packing have no SQL form; tests hold each stage against brute force
+# classifiers and packing have no SQL form; tests hold the operators against brute force
 ORACLE_SQL = None
 
 
