@@ -7,12 +7,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portrisk.llm import textkit
-from portrisk.session import freeze
 
 GRAM, WINDOW = 16, 32
 _CHARS = textkit.mix(np.arange(1, 257, dtype=np.uint64))
@@ -71,11 +70,7 @@ def fingerprint(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-_CHAINED = (
-    "kind string, part int, doc_id long, text string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double"
-)
-_RESULT = [x.split()[0] for x in _CHAINED.split(", ")[4:]]
+_RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def _compare(text: str, marks: np.ndarray, following: str, next_marks: np.ndarray, k: int, w: int) -> tuple:
@@ -88,12 +83,25 @@ def _compare(text: str, marks: np.ndarray, following: str, next_marks: np.ndarra
     )
 
 
+def _ranges(docs: DataFrame, tasks: int) -> DataFrame:
+    """docs with `part`: ranges of doc_id with about as many rows each, null before all ids."""
+    shares = [i / tasks for i in range(1, tasks)] or [0.5]
+    bounds = docs.agg(F.percentile_approx(F.col("doc_id").cast("double"), shares, 20 * tasks)).first()[0]
+    place = F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf")))
+    if not bounds:
+        return docs.withColumn("part", F.lit(0))
+    splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
+    dealt = Bucketizer(splits=splits, inputCol="place", outputCol="bucket").transform(docs.withColumn("place", place))
+    return dealt.withColumn("part", F.col("bucket").cast("int")).drop("place", "bucket")
+
+
 def edited_fingerprints(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
     """Fingerprints of every text and of the text whose last quarter is the next document's start.
 
     Documents are dealt by ranges of doc_id, so all but one of each task find the next one
-    beside them; the first of each task is handed to the last of the task before (after the
-    last comes the first). These few rows are the only ones that meet.
+    beside them; the first of each range is also sent to the range before (after the last comes
+    the first). So whole texts move once, and only one more for each range. Bounds and first ids
+    of the ranges are read to the driver, one of each for a task.
 
     Null is the empty text; repeated ids follow each other by text; a single document follows
     itself; no rows give no rows. Returns doc_id, n_chars, edited_sha256, fingerprint,
@@ -101,40 +109,30 @@ def edited_fingerprints(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> Data
     """
     spark = docs.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartitionByRange(tasks, "doc_id").sortWithinPartitions("doc_id", "text")
+    dealt = _ranges(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), tasks)
+    first = F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id"))["doc_id"]
+    firsts = dealt.groupBy("part").agg(first.alias("doc_id")).orderBy("part").collect()  # one for each task
+    before = [(firsts[i - 1].part, row.doc_id) for i, row in enumerate(firsts)]
+    wanted = F.broadcast(spark.createDataFrame(before, "to_part int, first_id long"))
+    heads = dealt.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_id"))).groupBy("to_part").agg(F.min("text").alias("text"))
+    rows = dealt.select("part", F.lit(False).alias("guest"), "doc_id", "text").unionByName(
+        heads.select(F.col("to_part").alias("part"), F.lit(True).alias("guest"), F.lit(None).cast("long").alias("doc_id"), "text")
+    )
+    ordered = rows.repartitionById(tasks, F.col("part")).sortWithinPartitions("part", "guest", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held = TaskContext.get().partitionId(), None
+        held = None
         for rows in batches:
             out = []
-            for doc, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
+            for guest, doc, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
                 marks = winnow(text, k, w)
-                if held is None:
-                    out.append(("first", part, doc, text, *[None] * len(_RESULT)))
-                else:
-                    out.append(("pair", part, held[0], None, *_compare(held[1], held[2], text, marks, k, w)))
-                held = (doc, text, marks)
+                if held is not None:
+                    out.append((held[0], *_compare(held[1], held[2], text, marks, k, w)))
+                held = None if guest else (doc, text, marks)  # a guest closes its range
                 if len(out) == 256:
-                    yield textkit.batch(_CHAINED, *(list(x) for x in zip(*out, strict=True)))
+                    yield textkit.batch(_RESULT, *(list(x) for x in zip(*out, strict=True)))
                     out = []
             if out:
-                yield textkit.batch(_CHAINED, *(list(x) for x in zip(*out, strict=True)))
-        if held is not None:
-            yield textkit.batch(_CHAINED, *([x] for x in ("last", part, held[0], held[1], *[None] * len(_RESULT))))
-
-    rows = freeze(ordered.mapInArrow(run, _CHAINED))
-    parts = [r[0] for r in rows.where("kind = 'first'").select("part").orderBy("part").collect()]  # one for each task
-    after = dict(zip(parts, parts[1:] + parts[:1], strict=True))
-    heads = rows.where("kind = 'first'").select(F.col("part").alias("next_part"), F.col("text").alias("next_text"))
-    to_next = F.create_map(*[F.lit(x) for pair in after.items() for x in pair])[F.col("part")] if after else F.col("part")
-    ends = rows.where("kind = 'last'").select("doc_id", "text", to_next.alias("next_part")).join(heads, "next_part").select("doc_id", "text", "next_text")
-    schema = "doc_id long, " + ", ".join(_CHAINED.split(", ")[4:])
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, text, following in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                row = _compare(text, winnow(text, k, w), following, winnow(following, k, w), k, w)
-                yield textkit.batch(schema, *([x] for x in (doc, *row)))
-
-    names = ["doc_id", *_RESULT]
-    return rows.where("kind = 'pair'").select(*names).unionByName(ends.mapInArrow(close, schema).select(*names))
+                yield textkit.batch(_RESULT, *(list(x) for x in zip(*out, strict=True)))
+
+    return ordered.select("guest", "doc_id", "text").mapInArrow(run, _RESULT)
