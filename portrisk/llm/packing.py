@@ -8,8 +8,10 @@ cutting a piece. Work is done partition by partition without a shuffle.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,35 +23,53 @@ from portrisk.llm import textkit
 TOKENS, END_ID = 2048, 1
 SEGMENTS = 256
 POOL = 512
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, sequence_id long, offset long"
 _state: dict = {}
 
 
+# fixed values: how the tokenizer file cuts lower-case ASCII text, and what is left to the file itself
+ASCII_PIECES = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^\x00-\x20a-z0-9]+")
+NOT_PLAIN = re.compile(rb"[^\x09-\x0d\x20-\x7e]|<\|")
+
+
 class WordTokenizer:
-    """Ids by a tokenizer that drops white space, word by word.
+    """Ids by a tokenizer that drops white space and case, piece by piece.
 
-    Such a tokenizer never joins what ASCII white space separates, so each distinct word is
-    encoded once; a full cache is emptied, which costs time but changes nothing.
+    Such a tokenizer never joins what ASCII white space separates, nor two of its own pieces.
+    So each distinct piece of a plain word is encoded once, and each distinct other word (not
+    ASCII, control characters, a possible special token) as a whole. A full cache is emptied,
+    which costs time but changes nothing.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, tuple[int, ...]] = {}
+
+    def pieces(self, text: bytes) -> list[bytes]:
+        if not NOT_PLAIN.search(text):
+            return ASCII_PIECES.findall(text.lower())
+        parts: list[bytes] = []
+        for word in text.split():
+            if NOT_PLAIN.search(word):
+                parts.append(word)
+            else:
+                parts += ASCII_PIECES.findall(word.lower())
+        return parts
 
     def encode(self, text: bytes) -> np.ndarray:
-        parts = text.split()
+        parts = self.pieces(text)
         known = self.known
-        fresh = list({w for w in parts if w not in known})
+        fresh = [w for w in set(parts) if w not in known]
         if len(known) + len(fresh) > CACHE_WORDS:
             known.clear()
             fresh = list(set(parts))
         if fresh:
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
-            known.update((w, np.asarray(e.ids, np.uint32)) for w, e in zip(fresh, found, strict=True))
-        return np.concatenate([known[w] for w in parts]) if parts else np.zeros(0, np.uint32)
+            known.update((w, tuple(e.ids)) for w, e in zip(fresh, found, strict=True))
+        return np.fromiter(chain.from_iterable(map(known.__getitem__, parts)), np.uint32)
 
 
 def word_tokenizer(path: str) -> WordTokenizer:

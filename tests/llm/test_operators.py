@@ -172,6 +172,17 @@ def test_packing_is_an_exact_round_trip(docs, texts):
         assert sum(r.length for r in x) <= 256 and len(x) <= 8
 
 
+def test_pieces_give_the_ids_of_whole_texts():
+    from tokenizers import Tokenizer
+
+    tokenizer, mine = Tokenizer.from_file(tokenizer_path()), packing.word_tokenizer(tokenizer_path())
+    rng = random.Random(9)
+    odd = ["don't", "I'LL", ".'s", "''re", "<|endoftext|>", "a<|startoftext|>b", "É", "e\u0301", "x\x01y", "\x1c", "\x7f", "12ab3", "\u00a0", "\u3000z", "\u0301", "Σας", "İ", "\x85", "<", "|", "ab", "-'D"]
+    for _ in range(3000):
+        text = "".join(rng.choice(odd) + rng.choice(("", "", " ", "\n", "\x0b")) for _ in range(rng.randrange(8)))
+        assert mine.encode(text.encode()).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(v) for v in rng.integers(-3, 4, 8)]) for i in range(300)] + [(300, None), (301, [float("nan")] * 8), (302, [1.0, None] * 4), (303, [])]
