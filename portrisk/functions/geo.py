@@ -75,6 +75,8 @@ def with_geodesic_km(
     iteration on the auxiliary longitude runs in generated code. A round shrinks
     the error by the flattening (about 1/298): six leave less than a millimetre,
     except between nearly antipodal points, where the method does not settle.
+    A filter on the distance would be pushed down the chain and copy its terms at
+    every step; the list of one distance that is unfolded at the end stops it there.
     The columns of ``df`` travel in one struct, out of the way of the short names.
     At least one coordinate must be a column of ``df``: Catalyst expands a chain
     of constants before it folds them.
@@ -106,4 +108,4 @@ def with_geodesic_km(
         "q / 1024 * (256 + q * (-128 + q * (74 - 47 * q))) as big_b",
         "cs * (2 * m * m - 1) - big_b / 6 * m * (4 * ss * ss - 3) * (4 * m * m - 3) as part",
         f"{b} * big_a * (sigma - big_b * ss * (m + big_b / 4 * part)) / 1000 as km",
-    ).select("row.*", F.col("km").alias(name))
+    ).select("row.*", F.explode(F.array("km")).alias(name))

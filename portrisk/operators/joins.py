@@ -110,8 +110,8 @@ def ports_within_radius(
     over ``salt`` tasks.
     """
     around, width = _cells(km)
-    # a little wider than the circle: rounding must not lose a border case
-    reach = km / KM_PER_DEGREE * 1.001 + 1e-6
+    # a little wider than the circle: a degree on the ellipsoid has up to 0.6 % fewer km than on the sphere
+    reach = km / KM_PER_DEGREE * 1.007 + 1e-6
     lat, lon = F.col("LATITUDE_CORRECTED"), F.col("LONGITUDE_CORRECTED")
     edge = F.least(F.abs(lat) + reach, F.lit(90.0))
     # half-width in longitude of a circle of angular radius r at latitude p: asin(sin r / cos p)

@@ -9,7 +9,7 @@ from portrisk import profiles as P
 from portrisk.functions import geo, parse
 from portrisk.operators import filters
 from portrisk.registry.base import BROAD, CALM, STRICT, query, quoted
-from portrisk.registry.projections import spherical_sql
+from portrisk.registry.projections import ellipsoid_sql, spherical_sql
 
 _ROW = 'select CAMEOEVENTIDS, d as "Date", loc as "LocationCode", avg_tone as "AverageTone" from '
 _SHOWN = ("CAMEOEVENTIDS", "Date", "LocationCode", "AverageTone")
@@ -111,6 +111,18 @@ def _(spark, sf):
     return filters.within_radius(rows, F.col("distance_in_kms"), 250)
 
 
+@query(
+    "f10_within_radius_geodesic",
+    f"select * from ({ellipsoid_sql(6, lat=_AT[0], lon=_AT[1])}) where distance_in_kms <= 250",
+    ("geo",),
+)
+def _(spark, sf):
+    events = X.geo_events(spark, sf).select("GlobalEventID", "ActionGeo_Lat", "ActionGeo_Long")
+    far = geo.with_geodesic_km(events, F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"), *_AT)
+    near = filters.within_radius(far, F.col("distance_in_kms"), 250)
+    return near.select("GlobalEventID", F.round("distance_in_kms", 6).alias("distance_in_kms"))
+
+
 @query(
     "f12_drop_null_rows",
     f"{_ROW}news where loc is not null and avg_tone is not null",

@@ -13,7 +13,7 @@ from portrisk.operators import aggregates, filters, joins, ranking
 from portrisk.plans.features import feature_news
 from portrisk.plans.report import build_silver, route_news, scored_news, theme_grid
 from portrisk.registry.base import _COUNT_NAMES, query, quoted, risk_total, rounded
-from portrisk.registry.projections import spherical_sql
+from portrisk.registry.projections import ellipsoid_sql, spherical_sql
 from portrisk.session import freeze
 
 
@@ -131,6 +131,22 @@ def _(spark, sf):
     return near.select("GlobalEventID", "PORT", "distance_in_kms")
 
 
+_PAIR = "{'event': GlobalEventID, 'port': PORT}"
+_NEARBY = "geo, clean_ports where lat between -90 and 90 and lon between -180 and 180"
+
+
+@query(
+    "j07_ports_within_radius_geodesic",
+    "select GlobalEventID.event as GlobalEventID, GlobalEventID.port as PORT, distance_in_kms from "
+    f"({ellipsoid_sql(6, _PAIR, _NEARBY, 'lat', 'lon')}) where distance_in_kms <= 25",
+    ("geo", "clean_ports"),
+)
+def _(spark, sf):
+    ports = geo.clean_port_coordinates(X.ports(spark, sf))
+    near = joins.ports_within_radius(X.geo_events(spark, sf), ports, measure=geo.with_geodesic_km)
+    return near.select("GlobalEventID", "PORT", F.round("distance_in_kms", 6).alias("distance_in_kms"))
+
+
 @query(
     "j07_events_per_port",
     f"select p.PORT, count(*) as events, round(min({_NEAR}), 3) as nearest_km from geo g, clean_ports p "

@@ -161,14 +161,14 @@ def _(spark, sf):
     )
 
 
-def _ellipsoid_sql(rounds):
+def ellipsoid_sql(rounds, key="GlobalEventID", source="geo", lat=_LAT, lon=_LON):
     """The inverse solution unrolled, one subquery per step."""
     f, a = geo.WGS84_F, geo.WGS84_A
     b = geo.WGS84_B
     body = (
-        f"select id, sin(u1) s1, cos(u1) c1, sin(u2) s2, cos(u2) c2, l, l as lam from (select GlobalEventID as id, "
-        f"atan({1 - f!r} * tan(radians(ActionGeo_Lat))) as u1, atan({1 - f!r} * tan(radians({_LAT}))) as u2, "
-        f"radians({_LON}) - radians(ActionGeo_Long) as l from geo)"
+        f"select id, sin(u1) s1, cos(u1) c1, sin(u2) s2, cos(u2) c2, l, l as lam from (select {key} as id, "
+        f"atan({1 - f!r} * tan(radians(ActionGeo_Lat))) as u1, atan({1 - f!r} * tan(radians({lat}))) as u2, "
+        f"radians({lon}) - radians(ActionGeo_Long) as l from {source})"
     )
     def angles(inner):
         one = (
@@ -196,7 +196,7 @@ def _ellipsoid_sql(rounds):
     )
 
 
-@query("b12_geodesic_km", _ellipsoid_sql(6), ("geo",))
+@query("b12_geodesic_km", ellipsoid_sql(6), ("geo",))
 def _(spark, sf):
     events = X.geo_events(spark, sf).select("GlobalEventID", "ActionGeo_Lat", "ActionGeo_Long")
     far = geo.with_geodesic_km(events, F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"), _LAT, _LON)

@@ -39,6 +39,15 @@ def test_ellipsoid_runs_in_generated_code(spark):
     assert "Python" not in plan and "aggregate(" not in plan
 
 
+def test_filter_on_ellipsoid_distance(spark):
+    """The plan stays small, and the grid reaches as far as the ellipsoid at the equator and at 60 degrees."""
+    e = spark.createDataFrame([(0, 0.4499, 5.0), (1, 60.2, 10.0), (2, 60.3, 10.0)], "i int, ActionGeo_Lat double, ActionGeo_Long double")
+    p = spark.createDataFrame([(0, 0.2244, 5.0), (1, 60.0, 10.1)], "j int, LATITUDE_CORRECTED double, LONGITUDE_CORRECTED double")
+    near = joins.ports_within_radius(e, p, measure=geo.with_geodesic_km)
+    assert len(plan_of(near)) < 60_000
+    assert sorted((r.i, r.j) for r in near.select("i", "j").collect()) == [(0, 0), (1, 1)]
+
+
 def test_port_coordinates(spark):
     ports = spark.createDataFrame(
         [("A", "north west", "49.25 N", "123.50 W"), ("A", "south east", " 10.5 S", "20.25E"),
