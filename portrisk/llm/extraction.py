@@ -3,7 +3,8 @@
 Pages of one host are aligned with a reference page of the host by simple tree matching.
 Nodes whose text stays the same over the host's pages are template; slots whose text varies
 are content. Roles that no reader takes for the article (menus, adverts, forms, comments ...)
-are known by element and by class or id, and go in any case.
+are known by element, or by a whole class or id, and go. All other text stays, inside an article
+element or not.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from portrisk.llm import textkit
 from portrisk.session import freeze
 
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.7, 3
-LINK_SHARE = 0.6
 # fixed values: element names of HTML by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("head script style noscript template iframe object svg math canvas audio video".split())
@@ -32,20 +32,27 @@ BLOCKS = frozenset(
     "hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br".split()
 )
 CLOSES_P = BLOCKS - {"br", "body", "html"}
-NOT_ARTICLE = re.compile(
-    r"(?:^|[-_\s])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|sidebar\w*|side-bar|footer\w*|site-header|masthead|topbar|"
-    r"breadcrumb\w*|comment\w*|respond|replies|disqus\w*|cookie\w*|consent\w*|notice\w*|gdpr|popup\w*|modal\w*|overlay|newsletter\w*|subscri\w*|"
-    r"signup|login|share\w*|social\w*|related\w*|recommend\w*|widget\w*|pagination|pager|toolbar|skip\w*|copyright|legal|disclaimer\w*)(?=$|[-_\s])",
-    re.I,
+# a class or an id names a role if each of its parts does or helps to: "related-posts", not "has-sidebar" or "category-legal"
+_ROLE = (
+    "ads?|adverts?|advertisements?|advertising|sponsor(?:s|ed)?|promos?|banners?|navs?|navbar|navigation|menus?|sidebars?|footers?|masthead|topbar|breadcrumbs?|"
+    "comments?|respond|replies|disqus|cookies?|consent|notices?|gdpr|popups?|modals?|overlay|newsletters?|subscribe|subscription|signup|login|share|sharing|"
+    "social|related|recommended|recommendations?|widgets?|pagination|pager|toolbar|skip|skiplink|copyright|legal|disclaimers?"
 )
+_HELPS = (
+    "site|global|top|bottom|primary|secondary|mobile|links?|lists?|items?|box|boxes|bar|block|area|wrap|wrapper|container|inner|outer|section|group|buttons?|icons?|"
+    "posts|articles|stories|form|title|header|heading|text|body|unit|slot|policy|toggle|to|us|by|media|thread"
+)
+NOT_ARTICLE = re.compile(rf"(?:(?:{_HELPS})[-_]+)*(?:{_ROLE})(?:[-_]+(?:{_ROLE}|{_HELPS}))*|side-bar|site-header", re.I)
+ARTICLE = re.compile(r"(?:h?entry|post|article|story|content|main|page)(?:[-_]+(?:content|body|text|main|article|wrap|wrapper|container|inner))*", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 
 
 class Node:
-    __slots__ = ("tag", "label", "children", "text", "dropped")
+    __slots__ = ("tag", "label", "children", "text", "dropped", "named")
 
-    def __init__(self, tag: str, label: str, dropped: bool) -> None:
+    def __init__(self, tag: str, label: str, dropped: bool, named: bool = False) -> None:
         self.tag, self.label, self.dropped = tag, label, dropped
+        self.named = named  # by its class or id alone it is no article
         self.children: list[Node] = []
         self.text: list = []  # strings and child nodes in page order
 
@@ -66,12 +73,42 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
+def _no_article(names: str) -> bool:
+    tokens = names.split()
+    return any(NOT_ARTICLE.fullmatch(t) for t in tokens) and not any(ARTICLE.fullmatch(t) for t in tokens)
+
+
+def _spare_articles(root: Node) -> None:
+    """A class or id does not count against an element that holds a main element, the longest article, or an article when all are in such elements."""
+    nodes, above = [root], [-1]
+    for at, node in enumerate(nodes):  # grows meanwhile; what is dropped by element holds no article
+        for child in node.children:
+            if not child.dropped:
+                nodes.append(child)
+                above.append(at)
+    sizes = [sum(len(x) for x in n.text if isinstance(x, str)) for n in nodes]
+    inside = [n.named for n in nodes]
+    for at in range(1, len(nodes)):
+        inside[at] |= inside[above[at]]
+    for at in range(len(nodes) - 1, 0, -1):
+        sizes[above[at]] += sizes[at]
+    articles = [at for at, n in enumerate(nodes) if n.tag == "article"]
+    longest = max(articles, key=lambda at: sizes[at], default=-1)
+    hidden = all(inside[at] for at in range(len(nodes)) if nodes[at].tag in ("article", "main"))
+    spared = [n.tag == "main" or n.tag == "article" and (hidden or at == longest) for at, n in enumerate(nodes)]
+    for at in range(len(nodes) - 1, 0, -1):
+        spared[above[at]] |= spared[at]
+    for node, spare in zip(nodes, spared, strict=True):
+        node.named &= not spare
+
+
 class _Builder:
     """A DOM of sorts: unclosed paragraphs and list items end where the next one or their parent ends."""
 
     def __init__(self) -> None:
         self.root = Node("html", "html", False)
         self.open = [self.root]
+        self.named = self.articles = False  # whether there is any
 
     def start(self, tag: str, attributes: str) -> None:
         if tag in ("html", "body"):
@@ -88,15 +125,15 @@ class _Builder:
                 self._end_open(cell, {"table", "tr"} if tag != "tr" else {"table"})
             if tag == "tr":
                 self._end_open("tr", {"table"})
-        names, drop = "", tag in UNSEEN or tag in BOILERPLATE or tag == "header" and not any(n.tag in ("article", "main") for n in self.open)
+        names, named, drop = "", False, tag in UNSEEN or tag in BOILERPLATE or tag == "header" and not any(n.tag in ("article", "main") for n in self.open)
         if attributes and _TELLING.search(attributes):
             known = _attributes(attributes)
             names = f"{known.get('class', '')} {known.get('id', '')}".strip()
-            drop = (
-                drop or known.get("role", "").lower() in ROLES or "hidden" in known or known.get("aria-hidden") == "true"
-                or bool(names and tag != "main" and NOT_ARTICLE.search(names))
-            )
-        node = Node(tag, f"{tag}.{names}" if names and not re.search(r"\d", names) else tag, drop)
+            drop = drop or known.get("role", "").lower() in ROLES or "hidden" in known or known.get("aria-hidden") == "true"
+            named = bool(names) and tag not in ("article", "main") and _no_article(names)
+        self.named |= named
+        self.articles |= tag in ("article", "main")
+        node = Node(tag, f"{tag}.{names}" if names and not re.search(r"\d", names) else tag, drop, named)
         parent = self.open[-1]
         parent.children.append(node)
         parent.text.append(node)
@@ -142,6 +179,8 @@ def parse(html: str) -> Node:
                 at = stop.end() if stop else end
     if at < len(html):
         tree.open[-1].text.append(_decoded(html[at:]))
+    if tree.named and tree.articles:
+        _spare_articles(tree.root)
     return tree.root
 
 
@@ -212,50 +251,37 @@ def aligned(ref: list, page: list, path: str = "", memo: dict | None = None) ->
         yield from aligned(a[i], b[j], f"{path}/{i}", memo)
 
 
-def _blocks(node: Node, template: set[int], seen: list[int]) -> list[tuple[str, float, bool]]:
-    """(text, share of it in links, inside an article) of each block that is no boilerplate, in page order."""
-    found: list = []
+def _blocks(root: Node, template: set[int], by_name: bool = True) -> list[str]:
+    """The text of each block that is no boilerplate, in page order; by_name: classes and ids count."""
+    found: list[str] = []
     parts: list[str] = []
-    linked = 0
 
     def close() -> None:
-        nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            found.append([text, linked / max(1, sum(len(p) for p in parts)), articles > 0])
+            found.append(text)
         parts.clear()
-        linked = 0
 
-    articles = 0
-
-    def walk(node: Node, links: int) -> None:
-        nonlocal articles, linked
+    def walk(node: Node) -> None:
         for part in node.text:
             if isinstance(part, str):
                 parts.append(part)
-                linked += len(part) if links else 0
-                continue
-            if part.dropped or id(part) in template:
-                if part.tag in BLOCKS:
-                    close()
                 continue
             block = part.tag in BLOCKS
             if block:
                 close()
-            home = part.tag in ("article", "main") or "article" in part.label or "main" == part.label.partition(".")[2]
-            articles += home
-            walk(part, links + (part.tag == "a"))
-            if block:
-                close()
-            articles -= home
+            if not (part.dropped or by_name and part.named or id(part) in template):
+                walk(part)
+                if block:
+                    close()
 
-    walk(node, 0)
+    walk(root)
     close()
     return found
 
 
 def main_text(html: str | None, template_paths: set[str] | None = None, ref: list | None = None) -> str:
-    """The article's text: blocks in page order, one space between them."""
+    """The page's text without template and boilerplate: blocks in page order, one space between them."""
     if not html:
         return ""
     root = parse(html)
@@ -266,12 +292,10 @@ def main_text(html: str | None, template_paths: set[str] | None = None, ref: lis
         for path, _, node in aligned(ref, page):
             if path in template_paths and not node[1]:
                 template.update(id(n) for n in order[id(node)])
-    for skip in (template, set()):  # a page that is all template is read without it
-        blocks = _blocks(root, skip, [])
-        inside = [b for b in blocks if b[2]]
-        chosen = inside or [b for b in blocks if b[1] <= LINK_SHARE]
-        if chosen:
-            return " ".join(b[0] for b in chosen)
+    # a page that is all template is read without it, and one with nothing else than named roles with these
+    for skip, by_name in ((template, True), (set(), True), (template, False), (set(), False)):
+        if blocks := _blocks(root, skip, by_name):
+            return " ".join(blocks)
     return ""
 
 
@@ -323,8 +347,8 @@ def extract(pages: DataFrame) -> DataFrame:
     at least (copies of one page count once). Only references and counts meet by host; pages
     stay where they are read but for one join with their host's small wrapper.
 
-    A null or empty page, and one of boilerplate only, has empty text; pages without a host
-    share one; repeated rows are extracted each on their own; no rows give no rows.
+    A null or empty page, and one of boilerplate elements only, has empty text; classes and ids
+    do not count on a page with no other text; pages without a host share one; repeated rows are extracted each on their own; no rows give no rows.
     """
     rows = pages.select("page_id", "url", "html").withColumn("host", host(F.col("url")))
     shape_schema = "host string, page_id long, digest long, tree string"

@@ -152,6 +152,26 @@ def test_extraction(spark):
     assert extraction.match(a, b) == 2
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ('<article class="post category-legal"><p>Long text</p></article>', "Long text"),
+        ('<div class="layout has-sidebar"><p>Long text</p><div class="sidebar">side</div></div>', "Long text"),
+        ('<div id="page" class="with-sidebar"><p>Long text</p></div><div class="related-posts">x</div>', "Long text"),
+        ('<div class="post legal"><p>Long text</p></div><div id="commentary">More</div>', "Long text More"),
+        ('<div class="sidebar"><article><p>Long text</p></article></div><p>More</p>', "Long text More"),
+        ('<div class="widget"><main><p>Long text</p></main></div><article>More</article>', "Long text More"),
+        ('<div class="article-teaser"><p>Card</p></div><p>Long text</p>', "Card Long text"),
+        ('<p>Long text</p><ul><li><a href="/1">A book</a></li><li><a href="/2">A paper</a></li></ul>', "Long text A book A paper"),
+        ('<div class="notice"><p>Long text</p></div><nav>m</nav>', "Long text"),
+        ('<article><p>Long text</p></article><div id="comments"><article class="comment-body">Me</article></div><div class="ad">x</div>', "Long text"),
+        ('<div class="site-nav">m</div><div class="share-buttons">s</div><div class="cookie_notice">c</div><p>Long text</p>', "Long text"),
+    ],
+)
+def test_only_boilerplate_goes(html, text):
+    assert extraction.main_text(f"<html><body>{html}<footer>f</footer></body></html>") == text
+
+
 def test_packing_is_an_exact_round_trip(docs, texts):
     from tokenizers import Tokenizer
 
