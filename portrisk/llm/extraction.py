@@ -1,14 +1,15 @@
 """Main text of web pages by wrapper induction.
 
-Pages of one host are aligned with a reference page of the host by simple tree matching.
-Nodes whose text stays the same over the host's pages are template; slots whose text varies
-are content. Roles that no reader takes for the article (menus, adverts, forms, comments ...)
+Pages of one host are aligned with a reference page of the host by simple tree matching; what
+the reference lacks is known by its place in the page. Nodes whose text stays the same over the
+host's pages are template; slots whose text varies are content. Roles that no reader takes for the article (menus, adverts, forms, comments ...)
 are known by element, or by a whole class or id, and go. All other text stays, inside an article
 element or not.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -63,6 +64,7 @@ _MARKUP = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _TELLING = re.compile(r"class|id|role|hidden", re.I)
+_CONTROL = re.compile("[\x00-\x03]")
 _ENDS: dict[str, re.Pattern] = {}
 
 
@@ -128,7 +130,7 @@ class _Builder:
         names, named, drop = "", False, tag in UNSEEN or tag in BOILERPLATE or tag == "header" and not any(n.tag in ("article", "main") for n in self.open)
         if attributes and _TELLING.search(attributes):
             known = _attributes(attributes)
-            names = f"{known.get('class', '')} {known.get('id', '')}".strip()
+            names = _CONTROL.sub("", f"{known.get('class', '')} {known.get('id', '')}").strip()
             drop = drop or known.get("role", "").lower() in ROLES or "hidden" in known or known.get("aria-hidden") == "true"
             named = bool(names) and tag not in ("article", "main") and _no_article(names)
         self.named |= named
@@ -188,20 +190,29 @@ def _decoded(text: str) -> str:
     return unescape(text) if "&" in text else text
 
 
-def folded(node: Node) -> list:
-    """The aligned form: [label, children, text hash]; neighbours of one label count as one node."""
+def folded(node: Node, order: dict[int, list[Node]] | None = None) -> list:
+    """The aligned form: [label, children, text hash]; neighbours of one label count as one node.
+
+    order: gets the page nodes each folded node stands for.
+    """
     children: list = []
     for child in node.children:
         if child.tag in BLOCKS and child.tag != "br" or child.tag in UNSEEN:
-            if children and children[-1][0] == child.label:
-                same = folded(child)
-                if same[2] or children[-1][2]:
-                    children[-1][2] = zlib.crc32(str(same[2]).encode(), children[-1][2])
-                children[-1][1] = children[-1][1] or same[1]
+            made = folded(child, order)
+            if children and children[-1][0] == made[0]:
+                same = children[-1]
+                if made[2] or same[2]:
+                    same[2] = zlib.crc32(str(made[2]).encode(), same[2])
+                same[1] = same[1] or made[1]
+                if order is not None:
+                    order[id(same)].append(child)
                 continue
-            children.append(folded(child))
+            children.append(made)
     own = "".join(" ".join(_strings(node)).split())
-    return [node.label, children, zlib.crc32(own.encode("utf-8", "replace"))]
+    made = [node.label, children, zlib.crc32(own.encode("utf-8", "replace"))]
+    if order is not None:
+        order[id(made)] = [node]
+    return made
 
 
 def _strings(node: Node) -> Iterator[str]:
@@ -229,10 +240,10 @@ def match(a: list, b: list, memo: dict | None = None) -> int:
     return memo[key]
 
 
-def aligned(ref: list, page: list, path: str = "", memo: dict | None = None) -> Iterator[tuple[str, list, list]]:
-    """(path in the reference, its node, the page's node) of every matched pair."""
+def aligned(ref: list, page: list, memo: dict | None = None) -> Iterator[tuple[list, list]]:
+    """(the reference's node, the page's node) of every matched pair."""
     memo = {} if memo is None else memo
-    yield path, ref, page
+    yield ref, page
     a, b = ref[1], page[1]
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):
@@ -248,7 +259,43 @@ def aligned(ref: list, page: list, path: str = "", memo: dict | None = None) ->
             i, j = i - 1, j - 1
             pairs.append((i, j))
     for i, j in reversed(pairs):
-        yield from aligned(a[i], b[j], f"{path}/{i}", memo)
+        yield from aligned(a[i], b[j], memo)
+
+
+def _hash(*parts) -> int:
+    return int.from_bytes(hashlib.blake2b("\x01".join(map(str, parts)).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def _seen(tree: list) -> list[list]:
+    return [c for c in tree[1] if c[0].partition(".")[0] not in UNSEEN]
+
+
+def layout(tree: list) -> int:
+    """Pages with the same kinds of parts, below wrappers of the whole page, are of one layout."""
+    while len(parts := _seen(tree)) == 1 and parts[0][1]:
+        tree = parts[0]
+    return _hash(*sorted({c[0] for c in parts}))
+
+
+def keys(ref: list | None, page: list) -> Iterator[tuple[int, list]]:
+    """(key, leaf) of what the page's leaves with text are: the reference's matched node, the place in any page, and the place in the page's layout."""
+    if ref is not None:
+        for theirs, own in aligned(ref, page):
+            if own[2] and not own[1] and theirs is not ref:
+                yield theirs[3], own
+    kind = layout(page)
+    todo = [(page, 0)]
+    while todo:
+        node, place = todo.pop()
+        before: dict[str, int] = {}
+        for child in _seen(node):
+            before[child[0]] = nth = before.get(child[0], 0) + 1
+            at = _hash(place, child[0], nth)
+            if child[1]:
+                todo.append((child, at))
+            elif child[2]:
+                yield at, child
+                yield _hash(kind, at), child
 
 
 def _blocks(root: Node, template: set[int], by_name: bool = True) -> list[str]:
@@ -280,18 +327,20 @@ def _blocks(root: Node, template: set[int], by_name: bool = True) -> list[str]:
     return found
 
 
-def main_text(html: str | None, template_paths: set[str] | None = None, ref: list | None = None) -> str:
-    """The page's text without template and boilerplate: blocks in page order, one space between them."""
+def main_text(html: str | None, fixed: set[tuple[int, int]] | None = None, ref: list | None = None) -> str:
+    """The page's text without template and boilerplate: blocks in page order, one space between them.
+
+    fixed: (key, text hash) of what is template.
+    """
     if not html:
         return ""
     root = parse(html)
     template: set[int] = set()
-    if ref is not None and template_paths:
-        order: dict[int, Node] = {}
-        page = _folded_with_nodes(root, order)
-        for path, _, node in aligned(ref, page):
-            if path in template_paths and not node[1]:
-                template.update(id(n) for n in order[id(node)])
+    if fixed:
+        order: dict[int, list[Node]] = {}
+        for key, leaf in keys(ref, folded(root, order)):
+            if (key, leaf[2]) in fixed:
+                template.update(id(n) for n in order[id(leaf)])
     # a page that is all template is read without it, and one with nothing else than named roles with these
     for skip, by_name in ((template, True), (set(), True), (template, False), (set(), False)):
         if blocks := _blocks(root, skip, by_name):
@@ -299,39 +348,29 @@ def main_text(html: str | None, template_paths: set[str] | None = None, ref: lis
     return ""
 
 
-def _folded_with_nodes(node: Node, order: dict[int, list[Node]]) -> list:
-    """folded(), remembering which page nodes each folded node stands for."""
-    children: list = []
-    for child in node.children:
-        if child.tag in BLOCKS and child.tag != "br" or child.tag in UNSEEN:
-            if children and children[-1][0] == child.label:
-                order[id(children[-1])].append(child)
-                children[-1][1] = children[-1][1] or _folded_with_nodes(child, order)[1]
-                continue
-            children.append(_folded_with_nodes(child, order))
-    made = [node.label, children, 0]
-    order[id(made)] = [node]
-    return made
-
-
 def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+_NUMBERS = re.compile("\x01[^\x02]*\x02")
+
+
 def _pack(tree: list) -> str:
     return f"{tree[0]}\x01{tree[2]}\x02" + "".join(_pack(c) for c in tree[1]) + "\x03"
 
 
 def _unpack(text: str) -> list:
-    root: list = ["", [], 0]
-    stack, at = [root], 0
+    """The tree, its nodes numbered."""
+    root: list = ["", [], 0, 0]
+    stack, at, number = [root], 0, 0
     while at < len(text):
         if text[at] == "\x03":
             stack.pop()
             at += 1
             continue
         label, end = text.index("\x01", at), text.index("\x02", at)
-        node = [text[at:label], [], int(text[label + 1 : end])]
+        node = [text[at:label], [], int(text[label + 1 : end]), number]
+        number += 1
         stack[-1][1].append(node)
         stack.append(node)
         at = end + 1
@@ -341,29 +380,37 @@ def _unpack(text: str) -> list:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of `pages` (page_id, url, html).
 
-    Every page of a host is aligned with the host's reference, its first page; what a matched
-    node says is counted over all pages of the host. A node without further blocks is template when one text of it is
-    on TEMPLATE_SHARE of the pages that have the node, and on TEMPLATE_PAGES different pages
-    at least (copies of one page count once). Only references and counts meet by host; pages
-    stay where they are read but for one join with their host's small wrapper.
+    Every page of a host is aligned with the host's reference, a page of the commonest tree shape
+    (the largest of these) among pages with anything to align. What a node says is counted over
+    all pages of the host, by the reference's node it matches, by its place in the page, and by its
+    place among pages of its layout; so neither what the reference lacks nor a second layout goes
+    uncounted. A text is template there when it is on TEMPLATE_SHARE of the pages that have the
+    node, and on TEMPLATE_PAGES different pages at least (copies of one page count once); only
+    nodes without further blocks are, and only where they say that text. Only references and counts
+    meet by host; pages stay where they are read but for one join with their host's small wrapper.
 
     A null or empty page, and one of boilerplate elements only, has empty text; classes and ids
-    do not count on a page with no other text; pages without a host share one; repeated rows are extracted each on their own; no rows give no rows.
+    do not count on a page with no other text; pages without a host share one; repeated rows are
+    extracted each on their own; no rows give no rows.
     """
     rows = pages.select("page_id", "url", "html").withColumn("host", host(F.col("url")))
-    shape_schema = "host string, page_id long, digest long, tree string"
+    shape_schema = "host string, digest long, tree string, shape long, nodes long"
 
     def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for name, page, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out.append((name, page, zlib.crc32((html or "").encode("utf-8", "replace")), _pack(folded(parse(html or "")))))
+            for name, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (tree := folded(parse(html or "")))[1]:  # others have nothing to align
+                    packed = _pack(tree)
+                    out.append((name, zlib.crc32(html.encode("utf-8", "replace")), packed, _hash(_NUMBERS.sub("", packed)), packed.count("\x03")))
             if out:
                 yield textkit.batch(shape_schema, *(list(x) for x in zip(*out, strict=True)))
 
-    trees = freeze(rows.select("host", "page_id", "html").mapInArrow(shapes, shape_schema))
-    refs = trees.groupBy("host").agg(F.min_by("tree", F.struct("page_id", "tree")).alias("ref"))
-    count_schema = "host string, path string, said long, digest long"
+    trees = freeze(rows.select("host", "html").mapInArrow(shapes, shape_schema))
+    different = trees.groupBy("host", "shape", "nodes", "digest").agg(F.min("tree").alias("tree"))
+    common = different.groupBy("host", "shape", "nodes").agg(F.count("*").alias("n"), F.min("tree").alias("tree"))
+    refs = freeze(common.groupBy("host").agg(F.max_by("tree", F.struct("n", "nodes", "shape")).alias("ref")))
+    count_schema = "host string, key long, said long, digest long"
 
     def said(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list] = {}
@@ -373,28 +420,33 @@ def extract(pages: DataFrame) -> DataFrame:
                 if ref not in known:
                     known.clear()
                     known[ref] = _unpack(ref)
-                out += [(name, path, node[2], digest) for path, _, node in aligned(known[ref], _unpack(tree)) if node[2] and not node[1]]
+                out += [(name, key, leaf[2], digest) for key, leaf in keys(known[ref], _unpack(tree))]
             if out:
                 yield textkit.batch(count_schema, *(list(x) for x in zip(*out, strict=True)))
 
     paired = trees.join(refs, "host").select("host", "digest", "tree", "ref")
     # a page's copies are one page
-    told = paired.mapInArrow(said, count_schema).distinct().groupBy("host", "path", "said").agg(F.count("*").alias("pages"))
-    shares = told.groupBy("host", "path").agg(F.max("pages").alias("most"), F.sum("pages").alias("all_pages"))
-    fixed = shares.where((F.col("most") >= TEMPLATE_PAGES) & (F.col("most") >= TEMPLATE_SHARE * F.col("all_pages")) & (F.col("path") != ""))
-    wrappers = freeze(refs.join(fixed.groupBy("host").agg(F.collect_set("path").alias("paths")), "host", "left").select("host", "ref", F.array_join("paths", " ").alias("paths")))
+    told = paired.mapInArrow(said, count_schema).distinct().groupBy("host", "key", "said").agg(F.count("*").alias("pages"))
+    shares = told.groupBy("host", "key").agg(F.max(F.struct("pages", "said")).alias("most"), F.sum("pages").alias("all_pages"))
+    fixed = shares.where((F.col("most.pages") >= TEMPLATE_PAGES) & (F.col("most.pages") >= TEMPLATE_SHARE * F.col("all_pages")))
+    named = fixed.groupBy("host").agg(F.collect_set(F.struct("key", "most.said")).alias("fixed"))
+    wrappers = freeze(refs.join(named, "host").select("host", "ref", "fixed"))
     schema = "page_id long, url string, text string, n_chars long"
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list] = {}
+        known: dict[str, tuple] = {}
         for batch in batches:
-            ids, urls, htmls, refs, paths = (c.to_pylist() for c in batch.columns)
+            ids, urls, htmls = (c.to_pylist() for c in batch.columns[:3])
             out = []
-            for html, ref, path in zip(htmls, refs, paths, strict=True):
-                if ref not in known:
+            for html, ref, pairs in zip(htmls, *batch.columns[3:], strict=True):
+                if (name := ref.as_py()) is None:
+                    out.append(main_text(html))
+                    continue
+                if name not in known:
                     known.clear()
-                    known[ref] = _unpack(ref)
-                out.append(main_text(html, set((path or "").split()), known[ref]))
+                    known[name] = _unpack(name), {(x["key"], x["said"]) for x in pairs.as_py()}
+                ref, fixed = known[name]
+                out.append(main_text(html, fixed, ref))
             yield textkit.batch(schema, ids, urls, out, [len(x) for x in out])
 
-    return rows.join(wrappers, "host").select("page_id", "url", "html", "ref", "paths").mapInArrow(texts, schema)
+    return rows.join(wrappers, "host", "left").select("page_id", "url", "html", "ref", "fixed").mapInArrow(texts, schema)

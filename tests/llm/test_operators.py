@@ -172,6 +172,16 @@ def test_only_boilerplate_goes(html, text):
     assert extraction.main_text(f"<html><body>{html}<footer>f</footer></body></html>") == text
 
 
+@pytest.mark.parametrize("first", [None, "", "<h1>Error 404</h1>", "<table><tr><td>other</table>"])
+def test_template_is_found_whatever_the_first_page(spark, first):
+    page = "<div><p>Read us daily</p></div><section><p>story number {0} here</p></section>"
+    second = "<section><p>tale number {0} there</p></section><center>Printed at night</center>"
+    rows = [(0, first)] + [(i, page.format(i)) for i in range(1, 9)] + [(i, second.format(i)) for i in range(9, 14)]
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame([(i, "http://h/", h) for i, h in rows], "page_id long, url string, html string")).collect()}
+    assert got.pop(0) == ("" if not first else "Error 404" if "404" in first else "other")
+    assert got == {i: f"story number {i} here" if i < 9 else f"tale number {i} there" for i in range(1, 14)}
+
+
 def test_packing_is_an_exact_round_trip(docs, texts):
     from tokenizers import Tokenizer
 
