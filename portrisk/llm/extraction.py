@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -110,6 +111,7 @@ class _Builder:
     def __init__(self) -> None:
         self.root = Node("html", "html", False)
         self.open = [self.root]
+        self.count: Counter[str] = Counter()  # open elements of each tag
         self.named = self.articles = False  # whether there is any
 
     def start(self, tag: str, attributes: str) -> None:
@@ -127,7 +129,7 @@ class _Builder:
                 self._end_open(cell, {"table", "tr"} if tag != "tr" else {"table"})
             if tag == "tr":
                 self._end_open("tr", {"table"})
-        names, named, drop = "", False, tag in UNSEEN or tag in BOILERPLATE or tag == "header" and not any(n.tag in ("article", "main") for n in self.open)
+        names, named, drop = "", False, tag in UNSEEN or tag in BOILERPLATE or tag == "header" and not (self.count["article"] or self.count["main"])
         if attributes and _TELLING.search(attributes):
             known = _attributes(attributes)
             names = _CONTROL.sub("", f"{known.get('class', '')} {known.get('id', '')}").strip()
@@ -141,19 +143,28 @@ class _Builder:
         parent.text.append(node)
         if tag not in VOID and not attributes.endswith("/"):
             self.open.append(node)
+            self.count[tag] += 1
+
+    def _close(self, at: int) -> None:
+        self.count.subtract(n.tag for n in self.open[at:])
+        del self.open[at:]
 
     def end(self, tag: str) -> None:
+        if not self.count[tag]:
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag == tag:
-                del self.open[at:]
+                self._close(at)
                 return
             if tag not in BLOCKS and self.open[at].tag in ("article", "main", "table"):
                 return  # a stray inline end does not close the article
 
     def _end_open(self, tag: str, within) -> None:
+        if not self.count[tag]:
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag == tag:
-                del self.open[at:]
+                self._close(at)
                 return
             if self.open[at].tag in within:
                 return
@@ -195,71 +206,100 @@ def folded(node: Node, order: dict[int, list[Node]] | None = None) -> list:
 
     order: gets the page nodes each folded node stands for.
     """
-    children: list = []
-    for child in node.children:
-        if child.tag in BLOCKS and child.tag != "br" or child.tag in UNSEEN:
-            made = folded(child, order)
-            if children and children[-1][0] == made[0]:
+    nodes, below = [node], []
+    for node in nodes:  # grows meanwhile
+        inner = [c for c in node.children if c.tag in BLOCKS and c.tag != "br" or c.tag in UNSEEN]
+        below.append((len(nodes), len(nodes) + len(inner)))
+        nodes += inner
+    made: list = [None] * len(nodes)
+    for at in range(len(nodes) - 1, -1, -1):  # children come after their parents
+        children: list = []
+        for k in range(*below[at]):
+            child = made[k]
+            if children and children[-1][0] == child[0]:
                 same = children[-1]
-                if made[2] or same[2]:
-                    same[2] = zlib.crc32(str(made[2]).encode(), same[2])
-                same[1] = same[1] or made[1]
+                if child[2] or same[2]:
+                    same[2] = zlib.crc32(str(child[2]).encode(), same[2])
+                same[1] = same[1] or child[1]
                 if order is not None:
-                    order[id(same)].append(child)
+                    order[id(same)].append(nodes[k])
                 continue
-            children.append(made)
-    own = "".join(" ".join(_strings(node)).split())
-    made = [node.label, children, zlib.crc32(own.encode("utf-8", "replace"))]
-    if order is not None:
-        order[id(made)] = [node]
-    return made
+            children.append(child)
+        own = "".join(" ".join(_strings(nodes[at])).split())
+        made[at] = [nodes[at].label, children, zlib.crc32(own.encode("utf-8", "replace"))]
+        if order is not None:
+            order[id(made[at])] = [nodes[at]]
+    return made[0]
 
 
 def _strings(node: Node) -> Iterator[str]:
-    for part in node.text:
-        if isinstance(part, str):
-            yield part
-        elif part.tag not in BLOCKS and part.tag not in UNSEEN:
-            yield from _strings(part)
+    open_ = [iter(node.text)]
+    while open_:
+        for part in open_[-1]:
+            if isinstance(part, str):
+                yield part
+            elif part.tag not in BLOCKS and part.tag not in UNSEEN:
+                open_.append(iter(part.text))
+                break
+        else:
+            open_.pop()
 
 
 def match(a: list, b: list, memo: dict | None = None) -> int:
     """Simple tree matching: nodes of the largest order-keeping match of two trees, roots matched."""
+    if a[0] != b[0]:
+        return 0
+    if not a[1] or not b[1]:
+        return 1
     memo = {} if memo is None else memo
-    key = id(a), id(b)
-    if key not in memo:
-        if a[0] != b[0]:
-            memo[key] = 0
+    todo, begun = [(a, b)], set()
+    while todo:
+        x, y = todo[-1]
+        key = id(x), id(y)
+        if key in memo:
+            todo.pop()
+        elif key not in begun:  # children first
+            begun.add(key)
+            todo += [(u, v) for u in x[1] if u[1] for v in y[1] if v[1] and u[0] == v[0] and (id(u), id(v)) not in memo]
         else:
-            row = [0] * (len(b[1]) + 1)
-            for x in a[1]:
-                before, row = row, [0]
-                for j, y in enumerate(b[1]):
-                    row.append(max(row[-1], before[j + 1], before[j] + (match(x, y, memo) if x[0] == y[0] else 0)))
-            memo[key] = row[-1] + 1
-    return memo[key]
+            todo.pop()
+            memo[key] = _table(x[1], y[1], memo)[-1][-1] + 1
+    return memo[id(a), id(b)]
+
+
+def _table(a: list[list], b: list[list], memo: dict) -> list[list[int]]:
+    """Matched nodes below the first i of a and the first j of b."""
+    table = [[0] * (len(b) + 1)]
+    for x in a:
+        before, row = table[-1], [0]
+        for j, y in enumerate(b):
+            both = 0 if x[0] != y[0] else memo[id(x), id(y)] if x[1] and y[1] else 1
+            row.append(max(row[-1], before[j + 1], before[j] + both))
+        table.append(row)
+    return table
 
 
 def aligned(ref: list, page: list, memo: dict | None = None) -> Iterator[tuple[list, list]]:
     """(the reference's node, the page's node) of every matched pair."""
     memo = {} if memo is None else memo
-    yield ref, page
-    a, b = ref[1], page[1]
-    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i, x in enumerate(a):
-        for j, y in enumerate(b):
-            table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + match(x, y, memo))
-    i, j, pairs = len(a), len(b), []
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
-            i -= 1
-        elif table[i][j] == table[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            pairs.append((i, j))
-    for i, j in reversed(pairs):
-        yield from aligned(a[i], b[j], memo)
+    match(ref, page, memo)
+    todo = [(ref, page)]
+    while todo:
+        ref, page = todo.pop()
+        yield ref, page
+        a, b = ref[1], page[1]
+        if not a or not b:
+            continue
+        table = _table(a, b, memo)
+        i, j = len(a), len(b)
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                todo.append((a[i], b[j]))
 
 
 def _hash(*parts) -> int:
@@ -309,8 +349,9 @@ def _blocks(root: Node, template: set[int], by_name: bool = True) -> list[str]:
             found.append(text)
         parts.clear()
 
-    def walk(node: Node) -> None:
-        for part in node.text:
+    open_ = [(iter(root.text), False)]
+    while open_:
+        for part in open_[-1][0]:
             if isinstance(part, str):
                 parts.append(part)
                 continue
@@ -318,11 +359,11 @@ def _blocks(root: Node, template: set[int], by_name: bool = True) -> list[str]:
             if block:
                 close()
             if not (part.dropped or by_name and part.named or id(part) in template):
-                walk(part)
-                if block:
-                    close()
-
-    walk(root)
+                open_.append((iter(part.text), block))
+                break
+        else:
+            if open_.pop()[1]:
+                close()
     close()
     return found
 
@@ -356,7 +397,17 @@ _NUMBERS = re.compile("\x01[^\x02]*\x02")
 
 
 def _pack(tree: list) -> str:
-    return f"{tree[0]}\x01{tree[2]}\x02" + "".join(_pack(c) for c in tree[1]) + "\x03"
+    out: list[str] = []
+    todo: list = [tree]
+    while todo:
+        node = todo.pop()
+        if node is None:
+            out.append("\x03")
+            continue
+        out.append(f"{node[0]}\x01{node[2]}\x02")
+        todo.append(None)
+        todo += reversed(node[1])
+    return "".join(out)
 
 
 def _unpack(text: str) -> list:

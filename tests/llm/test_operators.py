@@ -182,6 +182,14 @@ def test_template_is_found_whatever_the_first_page(spark, first):
     assert got == {i: f"story number {i} here" if i < 9 else f"tale number {i} there" for i in range(1, 14)}
 
 
+@pytest.mark.parametrize("tag", ["div", "span", "font", "article", "ul><li"])
+def test_pages_without_end_tags(spark, tag):
+    deep = "".join(f"<{tag}>t{i} " for i in range(6000))
+    rows = [(i, "http://h/", f"<div><p>Read us daily</p></div><section>{deep} number {i}") for i in range(4)]
+    got = {r.page_id: r.text for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: " ".join([f"t{n}" for n in range(6000)]) + f" number {i}" for i in range(4)}
+
+
 def test_packing_is_an_exact_round_trip(docs, texts):
     from tokenizers import Tokenizer
 
