@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from portrisk.llm import textkit
 from portrisk.llm.graph import components
@@ -290,6 +291,16 @@ def jaccard_join(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int = D
     under their doc_id); equal texts link; rows repeated under one id give one row each; no
     rows give no rows; further columns do not matter.
     """
+    base, by_root = _rooted(docs, k, num, den)
+    least_of = by_root.groupBy("root").agg(F.min("low").alias("component_id"))
+    named = by_root.join(least_of, "root").select("id", "component_id")
+    out = base.join(named, "id")
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def _rooted(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n_shingles and id (of the set) of every row; id, low (its smallest doc_id) and root of every set."""
     spark = docs.sparkSession
     reach = Reach(num, den)
     schema = "doc_id long, n_shingles long, id long, counts array<long>"
@@ -355,15 +366,37 @@ def jaccard_join(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int = D
     links = links.unionByName(compare(pairs).where("link").select(F.col("x").alias("a"), F.col("q").alias("b")))
     roots = freeze(components(links))
     lowest = base.groupBy("id").agg(F.min("doc_id").alias("low"))
-    by_root = lowest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    least_of = by_root.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = by_root.join(least_of, "root").select("id", "component_id")
-    out = base.join(named, "id")
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"))
+    return base, lowest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def keep_first(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int = DENOMINATOR) -> DataFrame:
+    """The rows of `docs` whose document has its component's smallest id.
+
+    Rows without an id stand behind those with one: a component in which no row has an id keeps
+    one of its rows, any other none of those without. Null, empty and blank texts without an id
+    are no copies of each other; all stay.
+    """
+    base, by_root = _rooted(docs, k, num, den)
+    first = freeze(by_root.groupBy("root").agg(F.min("low").alias("low"), F.min("id").alias("id")))
+    blank = base.where((F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()).select("doc_id")
+    kept = first.where("low is not null").select(F.col("low").alias("doc_id")).unionByName(blank).select(F.col("doc_id").alias("_id")).distinct()
+    named = docs.join(kept, docs["doc_id"] == F.col("_id"), "left_semi")
+    nameless = _with_sets(docs.where("doc_id is null"), k)
+    alone = first.where("low is null").select(F.col("id").alias("_set"))
+    one = nameless.where("_size > 0").join(alone, "_set", "left_semi").dropDuplicates(["_set"])
+    return named.unionByName(one.select(*docs.columns)).unionByName(nameless.where("_size = 0").select(*docs.columns))
+
 
+def _with_sets(docs: DataFrame, k: int) -> DataFrame:
+    """The rows of `docs` with the size and the id of their set of shingles, _size and _set."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in textkit.text_chunks(batch.column(at)):
+                doc, value = textkit.shingles(data, offsets, k)
+                sizes, names = set_ids(doc, value, j - i)
+                columns = [*batch.slice(i, j - i).columns, pa.array(sizes, pa.int64()), pa.array(names, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "_size", "_set"])
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` whose document has its component's smallest id."""
-    found = jaccard_join(docs, **options).where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, docs["doc_id"] == F.col("_id"), "left_semi")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_size", LongType()), StructField("_set", LongType())]))

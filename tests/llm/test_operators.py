@@ -64,6 +64,20 @@ def test_jaccard_components(docs, texts, k, num):
     assert got == {(i, len(s), find(i)) for i, s in enumerate(sets)}
 
 
+def test_keep_first_keeps_texts_without_id(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    near, other, lone = text + " x", text.replace("w", "v"), text.replace("w", "u")
+    rows = [(3, text), (5, near), (None, near), (None, other), (None, other), (None, other + " y"), (None, lone), (7, "a b"), (None, None), (None, " "), (8, ""), (9, None)]
+    got = jaccard.keep_first(spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")).collect()
+    others = [r.text for r in got if r.doc_id is None and r.text and r.text.startswith("v")]
+    assert len(others) == 1 and others[0] in (other, other + " y")
+    left = [(r.doc_id, r.text) for r in got if r.text not in others]
+    assert sorted(left, key=repr) == sorted([(3, text), (None, lone), (7, "a b"), (None, None), (None, " "), (8, ""), (9, None)], key=repr)
+    assert {r.source for r in got} == {"s"}
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert jaccard.keep_first(empty).count() == 0
+
+
 def test_linked_sets_share_a_cell():
     rng = np.random.default_rng(3)
     reach = jaccard.Reach(85, 100)
