@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from portrisk.llm import extraction, fingerprints, jaccard, line_dedup, mixing, packing, quality, suffixes, textkit, topk, toxicity
+from portrisk.llm import extraction, fingerprints, jaccard, line_dedup, minmax, mixing, packing, phrases, quality, suffixes, textkit, topk, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -156,3 +156,43 @@ _MIX = r"""with d as (select doc_id, source, len(regexp_extract_all(coalesce(tex
 @query("op10_mixing", _MIX)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+_PHRASES = r"""with p as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+  w as (select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as words from p),
+  g1 as (select lang, word, count(*) as f from (select lang, unnest(words) as word from w) group by all),
+  g2 as (select lang, two.x as x, two.y as y, count(*) as f from (select lang, unnest(list_transform(range(1, len(words)),
+    lambda i: {'x': words[i], 'y': words[i + 1]})) as two from w) group by all),
+  g3 as (select lang, three.x as x, three.y as y, three.z as z, count(*) as f from (select lang, unnest(list_transform(range(1, len(words) - 1),
+    lambda i: {'x': words[i], 'y': words[i + 1], 'z': words[i + 2]})) as three from w) group by all),
+  c as (select g2.lang, g2.x || ' ' || g2.y as phrase, g2.f as a, [{'k': 1, 'l': u.f, 'r': v.f}] as cuts from g2
+      join g1 u on u.lang = g2.lang and u.word = g2.x join g1 v on v.lang = g2.lang and v.word = g2.y
+      where g2.f >= 10 and not exists (select 1 from g3 where g3.lang = g2.lang and g3.f >= 10 and 100 * g3.f >= 50 * g2.f
+        and (g3.x = g2.x and g3.y = g2.y or g3.y = g2.x and g3.z = g2.y))
+    union all select g3.lang, g3.x || ' ' || g3.y || ' ' || g3.z, g3.f, [{'k': 1, 'l': u.f, 'r': t.f}, {'k': 2, 'l': s.f, 'r': v.f}] from g3
+      join g1 u on u.lang = g3.lang and u.word = g3.x join g1 v on v.lang = g3.lang and v.word = g3.z
+      join g2 s on s.lang = g3.lang and s.x = g3.x and s.y = g3.y join g2 t on t.lang = g3.lang and t.x = g3.y and t.y = g3.z where g3.f >= 10),
+  s as (select lang, phrase, a, cut.k as k, cut.l as l, cut.r as r, (1000000::hugeint * a * a // (cut.l::hugeint * cut.r))::bigint as score
+    from (select lang, phrase, a, unnest(cuts) as cut from c)),
+  b as (select * from (select *, row_number() over (partition by lang, phrase order by score, k) as place from s) where place = 1),
+  o as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from b)
+  select lang, rank, phrase, a, l, r, (select sum(f)::bigint from g1 where g1.lang = o.lang) as n, score from o where rank <= 2000"""
+
+
+@query("op12_phrase_collocations", _PHRASES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+_NEAR = _JACCARD.replace("len(words) < 4", "len(words) < 5").replace("len(words) - 2", "len(words) - 3").replace("i + 3", "i + 4")
+
+
+@query("op13_minhash_near_dedup", f"select doc_id, n_shingles, component_id, doc_id = component_id as kept from ({_NEAR})")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"))

@@ -100,12 +100,12 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
         yield i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text number of each maximal run without white space."""
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each maximal run of bytes that `space` does not mark."""
     n = len(data)
     if not n:
         return (np.zeros(0, np.int64),) * 3
-    solid = ~SPACE[data]
+    solid = ~space[data]
     before = np.zeros(n, bool)
     before[1:] = solid[:-1]
     first = offsets[:-1]
