@@ -1,98 +1,93 @@
-"""Next-day forecasts: one small model per profile, fitted side by side."""
+"""Next-day forecasts: one small model per profile, all fitted by the same aggregations."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portrisk import profiles as P
+from portrisk.operators import linear
 from portrisk.operators.stats import minmax_inverse
 from portrisk.operators.windows import by_date, shift_prediction
+from portrisk.session import freeze
 
-MODEL_SCHEMA = "profile string, intercept double, coefficients array<double>"
-
-
-# strengths of regularisation to choose from
-RIDGES = (0.1, 1.0, 10.0, 100.0, 1e6)
+# strengths of regularisation to choose from, the strongest first
+RIDGES = (1e6, 100.0, 10.0, 1.0, 0.1)
 SEASON = 7
+OWN = ("NegativeNews", "Diff")
+_VARIANT = ("scope", "prior", "strength")
 
 
-def _seasonal_prior(width: int) -> np.ndarray:
-    """Weights that repeat the change of the same weekday a week earlier."""
-    prior = np.zeros(width)
-    days = width // len(P.FEATURES)
-    if days >= SEASON:
-        prior[(days - SEASON + 1) * len(P.FEATURES) - 1] = 1.0
-    return prior
+def _variants() -> Column:
+    """What is tried, in order of preference when errors are equal.
 
-
-def _own_history(width: int) -> np.ndarray:
-    """Which inputs are earlier news counts and changes, not tones or themes."""
-    own = [name in ("NegativeNews", "Diff") for name in P.FEATURES]
-    return np.tile(own, width // len(P.FEATURES))
+    Scope: the series' own earlier news and changes, or all inputs. Prior: no effect, which tends
+    to the mean, or the change of the same weekday a week earlier, which tends to the naive forecast.
+    """
+    tried = [(scope, prior, s) for prior in ("none", "season") for scope in ("own", "all") for s in RIDGES]
+    return F.array(*(F.struct(F.lit(i).alias("choice"), F.lit(a).alias("scope"), F.lit(b).alias("prior"), F.lit(c).alias("strength")) for i, (a, b, c) in enumerate(tried)))
 
 
-def _ridge(x: np.ndarray, y: np.ndarray, penalty: np.ndarray, prior: np.ndarray) -> tuple[float, np.ndarray]:
-    """Linear model whose weights are drawn towards ``prior``."""
-    x_mean, y_mean = x.mean(axis=0), y.mean()
-    centred = x - x_mean
-    normal = centred.T @ centred + np.diag(penalty)
-    weights = prior + np.linalg.solve(normal, centred.T @ (y - y_mean - centred @ prior))
-    return float(y_mean - x_mean @ weights), weights
+def _fitted(systems: DataFrame) -> DataFrame:
+    """Models of systems that name their scope, prior and strength."""
+    width = len(P.FEATURES)
+    own = F.array(*(F.lit(name in OWN) for name in P.FEATURES))
+    days = (F.size("mean") / width).cast("int")
+    weekday = F.when(days >= SEASON, (days - SEASON + 1) * width - 1)  # Diff closes a day's inputs
+    chosen = lambda i: (F.col("scope") == "all") | F.get(own, (i % width).cast("int"))
+    prior = lambda i: F.when((F.col("prior") == "season") & (i == weekday), 1.0).otherwise(0.0)
+    return linear.ridge(systems, F.col("strength"), chosen, prior)
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-    """The variant with the least error on the last fifth, fitted again on all rows.
+def training_moments(windows: DataFrame) -> DataFrame:
+    """profile, part, width, sums: summed products of the training rows; the latest fifth of a profile is part `tail`."""
+    train = windows.where(F.col("split") == "train").select("profile", "Date", "window", "target")
+    return linear.moments(_parted(train), ["profile", "part"])
 
-    Variants differ in strength, in the inputs (all, or the series' own history)
-    and in the prior: "no effect", which tends to the mean, or the seasonal one,
-    which tends to the naive forecast.
-    """
-    width = x.shape[1]
-    priors = (np.zeros(width), _seasonal_prior(width))
-    scopes = (np.where(_own_history(width), 1.0, 1e9), np.ones(width))
-    cut = len(y) - max(1, len(y) // 5)
-    if cut < 2:
-        return _ridge(x, y, RIDGES[-1] * scopes[1], priors[0])
 
-    def error(choice):
-        intercept, weights = _ridge(x[:cut], y[:cut], *choice)
-        return np.abs(intercept + x[cut:] @ weights - y[cut:]).mean()
+def _parted(train: DataFrame) -> DataFrame:
+    """Training rows with their part: `head`, or `tail` for the latest fifth of the profile, one row at least.
 
-    variants = [(s * scope, p) for p in priors for scope in scopes for s in reversed(RIDGES)]
-    return _ridge(x, y, *min(variants, key=error))
+    A profile has one row per day, so its dates are few.
+    """
+    dates = train.groupBy("profile").agg(F.array_sort(F.collect_list("Date")).alias("dates"))
+    cut = F.get("dates", F.size("dates") - F.greatest(F.lit(1), F.floor(F.size("dates") / 5).cast("int")))
+    border = dates.select("profile", cut.alias("_cut"))
+    return train.join(border, "profile").withColumn("part", F.when(F.col("Date") < F.col("_cut"), "head").otherwise("tail")).drop("_cut")
 
 
 def fit_forecaster(windows: DataFrame) -> DataFrame:
-    """Regularised linear model of the target on the window, per profile.
+    """profile, intercept, coefficients: regularised linear model of the target on the window.
 
-    A profile's training rows are one per day, so a group is bounded by the
-    calendar. Models are rows of a table: thousands of profiles fit in one job.
+    Of each profile the variant counts that errs least on the latest fifth of its training rows
+    when fitted on the rest; it is fitted again on all of them. Profiles with fewer than two rows
+    in the first part get the mean with hardly any effect. Sums of products are Spark aggregates,
+    and the systems, as large as a window, are solved by column expressions.
     """
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("Date")
-        intercept, weights = _fit(np.stack(rows["window"].to_numpy()), rows["target"].to_numpy())
-        return pd.DataFrame(
-            {
-                "profile": [rows["profile"].iloc[0]],
-                "intercept": [intercept],
-                "coefficients": [weights.tolist()],
-            }
-        )
-
     train = windows.where(F.col("split") == "train").select("profile", "Date", "window", "target")
-    return train.groupBy("profile").applyInPandas(fit, MODEL_SCHEMA)
+    parts = freeze(training_moments(windows))
+    head = linear.centred(parts.where("part = 'head'")).where("n >= 2")
+    tried = freeze(_fitted(head.withColumn("_v", F.explode(_variants())).select("*", "_v.*")).select("profile", "choice", *_VARIANT, "intercept", "coefficients"))
+    tail = _parted(train).where("part = 'tail'").select("profile", "window", "target")
+    error = F.abs(predicted() - F.col("target"))
+    errors = tail.join(tried, "profile").groupBy("profile", "choice", *_VARIANT).agg(F.avg(error).alias("error"))
+    best = errors.groupBy("profile").agg(F.min_by(F.struct(*_VARIANT), F.struct("error", "choice")).alias("best"))
+    whole = linear.centred(linear.added(parts, ["profile"])).join(best, "profile", "left")
+    fallback = {"scope": "all", "prior": "none", "strength": RIDGES[0]}
+    named = whole.select("*", *(F.coalesce(F.col(f"best.{c}"), F.lit(v)).alias(c) for c, v in fallback.items()))
+    return _fitted(named).select("profile", "intercept", "coefficients")
+
+
+def predicted() -> Column:
+    """The value of a model (intercept, coefficients) for a window."""
+    return F.aggregate(F.zip_with("window", "coefficients", lambda a, b: a * b), F.col("intercept"), lambda sum_, v: sum_ + v)
 
 
 def score(windows: DataFrame, models: DataFrame) -> DataFrame:
     """Scaled prediction of every window by the model of its profile."""
-    products = F.zip_with("window", "coefficients", lambda a, b: a * b)
-    total = F.aggregate(products, F.col("intercept"), lambda sum_, v: sum_ + v)
     return (
         windows.join(models, "profile")
-        .withColumn("prediction", total)
+        .withColumn("prediction", predicted())
         .drop("intercept", "coefficients")
     )
 
