@@ -6,6 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from portrisk import profiles as P
 from portrisk.functions.parse import root_code
@@ -41,19 +42,35 @@ def negative_only(df: DataFrame) -> DataFrame:
     return df.where(F.col("AverageTone") < 0)
 
 
-def period(df: DataFrame, low: str | None = None, high: str | None = None) -> DataFrame:
-    """Rows with low <= Date < high; either bound may be left out."""
+def _bound(df: DataFrame, column: str, day: str | Column) -> Column:
+    """A day in the column's own type: a date, or the number yyyymmdd.
+
+    The bound is converted, not the column, so the comparison reaches the file
+    scan and prunes partitions.
+    """
+    date = F.lit(day).cast("date") if isinstance(day, str) else day.cast("date")
+    stored = df.schema[column].dataType
+    return F.date_format(date, "yyyyMMdd").cast(stored) if isinstance(stored, IntegralType) else date
+
+
+def period(
+    df: DataFrame, low: str | None = None, high: str | None = None, column: str = "Date"
+) -> DataFrame:
+    """Rows with low <= day < high; either bound may be left out.
+
+    ``column`` holds dates, or numbers such as DATE of the raw news.
+    """
     if low is not None:
-        df = df.where(F.col("Date") >= F.lit(low).cast("date"))
+        df = df.where(F.col(column) >= _bound(df, column, low))
     if high is not None:
-        df = df.where(F.col("Date") < F.lit(high).cast("date"))
+        df = df.where(F.col(column) < _bound(df, column, high))
     return df
 
 
-def since(df: DataFrame, days: int, today: str | Column) -> DataFrame:
+def since(df: DataFrame, days: int, today: str | Column, column: str = "Date") -> DataFrame:
     """Rows of the last ``days`` days before ``today``, which the caller names."""
     day = F.lit(today).cast("date") if isinstance(today, str) else today
-    return df.where(F.col("Date") >= F.date_sub(day, days))
+    return df.where(F.col(column) >= _bound(df, column, F.date_sub(day, days)))
 
 
 def event_scope(

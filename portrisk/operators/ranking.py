@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from portrisk.session import freeze
 
-# A group above this many rows is numbered by many tasks instead of one.
-HOT_GROUP_ROWS = 5_000_000
-
 
 def top_rows(
     df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, name: str = "rank"
@@ -26,37 +23,19 @@ def top_rows(
 
 
 def rank_rows(
-    df: DataFrame,
-    by: Sequence[str],
-    order: Sequence[Column],
-    name: str = "rank",
-    hot_rows: int = HOT_GROUP_ROWS,
-) -> DataFrame:
-    """Number all rows of each group.
-
-    A plain window sorts each group in one task. If counting shows a group above
-    ``hot_rows``, the rows are range-partitioned over the whole sort key instead.
-    """
-    largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if largest <= hot_rows:
-        window = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window))
-    return _rank_by_ranges(df, by, order, name)
-
-
-def _rank_by_ranges(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str
+    df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "rank", parts: int | None = None
 ) -> DataFrame:
-    """Position inside a range partition + rows of the group in earlier partitions.
+    """Number all rows of each group: position inside a range + rows of the group in earlier ranges.
 
     The row id closes the sort key, so even a group of identical rows is cut into
-    even ranges. The partition numbers are frozen in storage before anything is
+    even ranges (``parts`` of them, by default as many as a shuffle has). The
+    sorted rows are frozen in storage when this is called, before anything is
     counted: rows and counts can then not disagree, also after a lost executor.
     """
     keys = [F.col(c).asc_nulls_first() for c in by] + [*order, F.col("_id").asc()]
     placed = (
         df.withColumn("_id", F.monotonically_increasing_id())
-        .repartitionByRange(*keys)
+        .repartitionByRange(*([parts] if parts else []), *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())

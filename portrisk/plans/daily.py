@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrisk import profiles as P
 from portrisk.functions.parse import dateadded_between
 from portrisk.operators.aggregates import daily_features
+from portrisk.operators.filters import period, since
 from portrisk.operators.joins import route_members
+from portrisk.operators.ranking import rank_negative
 from portrisk.operators.stats import minmax_transform
 from portrisk.operators.windows import sliding_windows
 from portrisk.plans.features import daily_changes, feature_frame, feature_news, scaled_windows
 from portrisk.plans.forecast import fit_forecaster, next_day_news, real_units, score
-from portrisk.plans.report import REPORT_KEYS, build_silver, weighted_report
+from portrisk.plans.report import REPORT_KEYS, build_silver, route_news, weighted_report, with_worst_pages
 from portrisk.session import freeze
-from portrisk.sources.merge import insert_only_into, latest_rows, upsert_into
+from portrisk.sources.control import next_date_to_process, store_control, stored_control
+from portrisk.sources.merge import exists, latest_rows, replace_days, rows_of_days, unmatched, upsert_into
 from portrisk.sources.raw import DAY, read_raw, scan_range
 from portrisk.sources.readers import normalise_null_strings, stamp_lineage
 
@@ -25,13 +31,14 @@ EVENT_KEY = ("GlobalEventID",)
 def bronze_events(spark: SparkSession, raw_path: str, table_path: str, low: str, high: str | None = None) -> None:
     """Upsert the landed events of a day or range by event id.
 
-    The table is partitioned by the day of the event, which a later delivery of
-    the event repeats. In a range the latest delivery of an event counts.
+    The table is partitioned by the day of the event. A later delivery may name
+    another day; an index of the ids tells where the earlier row is, and it goes.
+    In a range the latest delivery of an event counts.
     """
     rows = read_raw(spark, raw_path, low, high)
     if high not in (None, low):
         rows = latest_rows(rows, EVENT_KEY, DAY)
-    upsert_into(spark, table_path, stamp_lineage(rows, F.col(DAY)).drop(DAY), EVENT_KEY, "Day")
+    upsert_into(spark, table_path, freeze(stamp_lineage(rows, F.col(DAY)).drop(DAY)), EVENT_KEY, "Day", moving=True)
 
 
 def bronze_news(spark: SparkSession, raw_path: str, table_path: str, low: str, high: str | None = None) -> None:
@@ -43,20 +50,35 @@ def bronze_news(spark: SparkSession, raw_path: str, table_path: str, low: str, h
     rows = normalise_null_strings(read_raw(spark, raw_path, low, high))
     if high not in (None, low):
         rows = latest_rows(rows, P.NEWS_KEY, DAY, null_safe=True)
-    rows = stamp_lineage(rows, F.col(DAY)).drop(DAY)
+    rows = freeze(stamp_lineage(rows, F.col(DAY)).drop(DAY))
     upsert_into(spark, table_path, rows, P.NEWS_KEY, "DATE", null_safe=True)
 
 
 def silver_news(
     spark: SparkSession, bronze_path: str, table_path: str, low: str, high: str | None = None,
-    pages: DataFrame | None = None,
+    pages: DataFrame | None = None, k: int = 3,
 ) -> None:
-    """Add the port news of a day or range of news dates to the silver table."""
+    """Add the port news of a day or range of news dates to the silver table.
+
+    Late news change the ranks of their day and place only: the stored rows of these groups and the
+    new ones are ranked together, and their days are written again. Other days, and days without
+    new news, are not. A row keeps the page text it has; rows that become one of the ``k`` worst get
+    theirs, and rows that no longer are lose it, as if all news had come at once.
+    """
     raw = dateadded_between(spark.read.parquet(bronze_path), low, high or low, "DATE")
-    keys = ["Date", *[k for k in P.NEWS_KEY if k != "DATE"]]
-    insert_only_into(
-        spark, table_path, freeze(build_silver(raw, pages)), keys, "Date", null_safe=True
-    )
+    if not exists(spark, table_path):
+        replace_days(freeze(build_silver(raw, pages, k)), table_path, "Date")
+        return
+    keys, group = ["Date", *[c for c in P.NEWS_KEY if c != "DATE"]], ["Date", "LocationCode"]
+    found = freeze(route_news(raw))
+    new = freeze(unmatched(found, rows_of_days(spark, table_path, found, "Date"), keys, null_safe=True))
+    stored = rows_of_days(spark, table_path, new, "Date")
+    touched = new.select(*group).distinct()
+    again = stored.join(touched, group, "left_semi")
+    apart = stored.join(touched, group, "left_anti")
+    texts = again.where("contenturl is not null").select(*keys, F.col("contenturl").alias("_text"))
+    ranked = rank_negative(again.drop("rank", "contenturl").unionByName(new))
+    replace_days(freeze(apart.unionByName(with_worst_pages(ranked, pages, k, texts, keys))), table_path, "Date")
 
 
 def gold_report(
@@ -78,21 +100,46 @@ def train_models(
 
 
 def gold_predictions(
-    spark: SparkSession, bronze_path: str, model_path: str, table_path: str, today: str
+    spark: SparkSession, bronze_path: str, model_path: str, table_path: str, today: str, days: int = 60
 ) -> None:
-    """Forecast from the latest days with the stored models; one row per profile and day.
+    """Forecast for ``today`` with the stored models and store its row of each profile.
 
-    Reads as many days before ``today`` as the longest window and its first
-    change need.
+    A series has a row for each day with news, so ``days`` calendar days are read to find the rows of
+    the longest window and those of the row before, whose published figure is moved on to today. Later days are
+    not looked at, and earlier predictions are left as they were published.
     """
-    history = max(P.lags_for(p) for p in P.PROFILES) + 1
-    raw = spark.read.parquet(bronze_path)
-    last = F.date_sub(F.lit(today).cast("date"), history)
-    recent = raw.where(F.col("DATE") >= F.date_format(last, "yyyyMMdd").cast("int"))
+    raw = period(since(spark.read.parquet(bronze_path), days, today, "DATE"), None, _day_after(today), "DATE")
     stored = spark.read.parquet(model_path)
-    frame = freeze(daily_changes(daily_features(feature_news(recent), route_members(spark))))
+    frame = freeze(daily_changes(daily_features(feature_news(raw), route_members(spark))))
     scaled = minmax_transform(frame, stored, P.FEATURES)
     lengths = {p: P.lags_for(p) for p in P.PROFILES}
     windows = sliding_windows(scaled, lengths, P.FEATURES, keys=("profile",))
     predicted = real_units(score(windows, stored.select("profile", "intercept", "coefficients")), stored)
-    upsert_into(spark, table_path, freeze(next_day_news(frame, predicted)), ["profile", "Date"], "Date")
+    news = next_day_news(frame, predicted).where(F.col("Date") == F.lit(today).cast("date"))
+    upsert_into(spark, table_path, freeze(news), ["profile", "Date"], "Date")
+
+
+def _day_after(day: str) -> str:
+    return str(date.fromisoformat(day) + timedelta(days=1))
+
+
+def run_day(
+    spark: SparkSession, control_path: str, name: str, job: Callable[[str], None], until: str | None = None
+) -> list[str]:
+    """Run a pipeline for each day it has not processed yet, up to ``until`` or for one day.
+
+    The stored control table tells the next day and is advanced after the job of a day has
+    succeeded; a job that fails leaves it as it was, so the day is tried again. Returns the days
+    that were run. A pipeline without a control row is an error: it was not initialised.
+    """
+    done = []
+    while True:
+        row = next_date_to_process(stored_control(spark, control_path), name).first()
+        if row is None:
+            raise LookupError(f"no control row for {name}")
+        day = str(row["next_date_to_process"])
+        if done and (until is None or day > until) or until is not None and day > until:
+            return done
+        job(day)
+        store_control(spark, control_path, name, day)
+        done.append(day)

@@ -67,7 +67,10 @@ def fit_forecaster(windows: DataFrame) -> DataFrame:
     train = windows.where(F.col("split") == "train").select("profile", "Date", "window", "target")
     parts = freeze(training_moments(windows))
     head = linear.centred(parts.where("part = 'head'")).where("n >= 2")
-    tried = freeze(_fitted(head.withColumn("_v", F.explode(_variants())).select("*", "_v.*")).select("profile", "choice", *_VARIANT, "intercept", "coefficients"))
+    # few rows, but each is a system to solve: they are dealt to all tasks by number, not by size
+    tasks = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    systems = head.withColumn("_v", F.explode(_variants())).select("*", "_v.*").repartition(tasks, "profile", "choice")
+    tried = freeze(_fitted(systems).select("profile", "choice", *_VARIANT, "intercept", "coefficients"))
     tail = _parted(train).where("part = 'tail'").select("profile", "window", "target")
     error = F.abs(predicted() - F.col("target"))
     errors = tail.join(tried, "profile").groupBy("profile", "choice", *_VARIANT).agg(F.avg(error).alias("error"))
@@ -75,7 +78,7 @@ def fit_forecaster(windows: DataFrame) -> DataFrame:
     whole = linear.centred(linear.added(parts, ["profile"])).join(best, "profile", "left")
     fallback = {"scope": "all", "prior": "none", "strength": RIDGES[0]}
     named = whole.select("*", *(F.coalesce(F.col(f"best.{c}"), F.lit(v)).alias(c) for c, v in fallback.items()))
-    return _fitted(named).select("profile", "intercept", "coefficients")
+    return _fitted(named.repartition(tasks, "profile")).select("profile", "intercept", "coefficients")
 
 
 def predicted() -> Column:

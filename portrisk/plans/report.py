@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,12 +45,28 @@ def build_silver(raw: DataFrame, pages: DataFrame | None = None, k: int = 3, **o
     null. Only these few rows meet the page table, and pages are parsed after the
     match, so no text is extracted for nothing.
     """
-    ranked = rank_negative(route_news(raw), **options)
-    if pages is None:
-        return ranked.withColumn("contenturl", F.lit(None).cast("string"))
-    worst = attach_pages(ranked.where(F.col("rank") <= k), pages, extract_paragraphs)
-    rest = ranked.where(F.col("rank") > k).withColumn("contenturl", F.lit(None).cast("string"))
-    return worst.unionByName(rest)
+    return with_worst_pages(rank_negative(route_news(raw), **options), pages, k)
+
+
+def with_worst_pages(
+    ranked: DataFrame, pages: DataFrame | None, k: int = 3, texts: DataFrame | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Ranked news with the page text of the ``k`` worst of each group, null for the others.
+
+    ``texts`` (keys, _text) are texts that were attached before; they are kept where there is one,
+    and only the other rows look for a page.
+    """
+    missing = F.lit(None).cast("string")
+    worst, rest = ranked.where(F.col("rank") <= k), ranked.where(F.col("rank") > k).withColumn("contenturl", missing)
+    if texts is None:
+        return (worst.withColumn("contenturl", missing) if pages is None else attach_pages(worst, pages, extract_paragraphs)).unionByName(rest)
+    one = texts.groupBy(*keys).agg(F.first("_text").alias("_text")).withColumnsRenamed({c: f"_{c}" for c in keys})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    known = worst.join(one, same, "left").select(*worst.columns, "_text")
+    kept = known.where("_text is not null").withColumnRenamed("_text", "contenturl")
+    open_ = known.where("_text is null").drop("_text")
+    found = open_.withColumn("contenturl", missing) if pages is None else attach_pages(open_, pages, extract_paragraphs)
+    return kept.unionByName(found).unionByName(rest)
 
 
 def scored_news(news: DataFrame) -> DataFrame:

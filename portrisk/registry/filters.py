@@ -49,6 +49,15 @@ _register(
     "d >= date '2024-01-30' - 8",
     lambda df: filters.since(df, 8, "2024-01-30"),
 )
+
+
+@query("f06_period_stored", f"{_ROW}news where d >= date '2024-01-10' and d < date '2024-01-20'", ("news",))
+def _(spark, sf):
+    """The same period cut from raw news by their stored day number, before anything is parsed."""
+    raw = filters.period(X.gkg(spark, sf), "2024-01-10", "2024-01-20", "DATE")
+    return parse.parse_news(raw).select(*_SHOWN)
+
+
 _register(
     "f11_drill_down",
     "loc = 'CA02' and d = date '2024-01-23'",

@@ -129,8 +129,8 @@ def _(spark, sf):
 
 @query("w01_rank_negative_ranges", _RANK_SQL, ("ranked",))
 def _(spark, sf):
-    """The same ranks by range partitions, as used when a group is too large for a task."""
-    return ranking.rank_negative(route_news(X.gkg(spark, sf)), hot_rows=0).select(*_RANK_SHOWN)
+    """The same ranks from many small ranges, which cut most groups."""
+    return ranking.rank_negative(route_news(X.gkg(spark, sf)), parts=64).select(*_RANK_SHOWN)
 
 
 @query("w01_top_negative", f"{_RANK_SQL} where rnk <= 3", ("ranked",))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from portrisk import fixtures as X
 from portrisk import profiles as P
-from portrisk.operators import aggregates, joins, stats, windows
+from portrisk.operators import aggregates, joins, linear, stats, windows
 from portrisk.plans import features, forecast
 from portrisk.registry.base import SPLIT, _COUNT_NAMES, query, rounded
 from portrisk.session import freeze
@@ -238,6 +238,47 @@ def _model_scores(frame):
     return forecast.real_units(forecast.score(made, forecast.fit_forecaster(made)), limits)
 
 
+_WINDOW_VALUES = ", ".join(f'{{pos: 1 + step * {len(P.FEATURES)} + {i}, v: "{c}"::double}}' for i, c in enumerate(P.FEATURES))
+_LAST = 7 * len(P.FEATURES) + 1
+
+
+@query(
+    "t03_normal_equations",
+    "with z as (select profile, d, x.pos as pos, x.v as v from (select profile, d, unnest([" + _WINDOW_VALUES + "]) as x from window_rows where split = 'train') "
+    f"union all select profile, d, unnest([0, {_LAST}]), unnest([1.0, target]) from window_rows where split = 'train' and step = 0) "
+    "select a.profile, a.pos::int as i, b.pos::int as j, round(sum(a.v * b.v) + 1e-7, 5) as value from z a join z b on a.profile = b.profile and a.d = b.d and a.pos <= b.pos group by all",
+    ("window_rows",),
+)
+def _(spark, sf):
+    """Sums of products of (1, window, target), the entries of each profile's normal equations.
+
+    The small addend keeps exact halves, which scaled counts often are, off the border of rounding.
+    """
+    made, _limits = features.scaled_windows(_frame(spark, sf), 7)
+    sums = linear.added(forecast.training_moments(made), ["profile"])
+    return linear.entries(sums, ["profile"]).select("profile", "i", "j", F.round(F.col("value") + 1e-7, 5).alias("value"))
+
+
+@query(
+    "t03_fit_check",
+    f"select profile, unnest(range({_LAST - 1}))::int as i, 0.0::double as residual from (select distinct profile from window_rows where split = 'train')",
+    ("window_rows",),
+)
+def _(spark, sf):
+    """What is left of the normal equations at the fitted coefficients, from the training rows themselves.
+
+    At the minimum, the errors times each centred input sum up to strength * coefficient.
+    """
+    made, _limits = features.scaled_windows(_frame(spark, sf), 7)
+    made = freeze(made.where("split = 'train'"))
+    system = linear.centred(linear.moments(made, ["profile"]))
+    models = freeze(linear.ridge(system, F.lit(1.0), lambda i: i >= 0, lambda i: F.lit(0.0)).select("profile", "mean", "intercept", "coefficients"))
+    scored = made.join(models, "profile").withColumn("error", F.col("target") - forecast.predicted())
+    parts = scored.select("profile", "error", F.posexplode(F.arrays_zip("window", "mean", "coefficients")).alias("i", "x"))
+    left = F.sum(F.col("error") * (F.col("x.window") - F.col("x.mean"))) - F.first("x.coefficients")
+    return parts.groupBy("profile", "i").agg(F.abs(F.round(left, 6)).alias("residual"))
+
+
 @query("t03_fit_forecaster")
 def _(spark, sf):
     made, _limits = features.scaled_windows(freeze(_frame(spark, sf)))

@@ -306,6 +306,25 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
+_MOVED_DAY = "cast(Day as bigint) + case when GlobalEventID % 10 = 0 then 100 else 0 end"
+
+
+@query(
+    "a16_moved_event",
+    f"select GlobalEventID, ({_MOVED_DAY})::int as Day, case when GlobalEventID % 10 < 3 then 'again' else 'first' end as value from geo",
+    ("geo",),
+)
+def _(spark, sf):
+    """A third of the events is delivered again, some of them under another day: one row of each stays."""
+    first = X.geo_events(spark, sf).select("GlobalEventID", "Day", F.lit("first").alias("value"))
+    again = first.where("GlobalEventID % 10 < 3").withColumns({"Day": F.expr(f"cast({_MOVED_DAY} as int)"), "value": F.lit("again")})
+    path = new_folder(spark, "moved-events")
+    merge.upsert_into(spark, path, first, ["GlobalEventID"], "Day", moving=True)
+    for _ in range(2):  # the second delivery changes nothing
+        merge.upsert_into(spark, path, again, ["GlobalEventID"], "Day", moving=True)
+    return spark.read.parquet(path)
+
+
 _NEWS_COLUMNS = (*P.NEWS_KEY, "COUNTS", "extraction_date")
 
 
@@ -335,6 +354,46 @@ def _(spark, sf):
     return merge.insert_only_merge(old, new, P.NEWS_KEY).select("CAMEOEVENTIDS", "COUNTS")
 
 
+@query(
+    "a18_silver_late_news",
+    'select d as "Date", loc as "LocationCode", CAMEOEVENTIDS, neg as "ToneNegativeScore", rnk::int as rank from ranked',
+    ("ranked",),
+)
+def _(spark, sf):
+    """News that arrive in three deliveries of the same days have the ranks of a single one."""
+    from portrisk.plans import daily
+
+    news = X.gkg(spark, sf).withColumn("_part", F.pmod(F.crc32("CAMEOEVENTIDS"), F.lit(3))).drop("extraction_date")
+    bronze, silver = (new_folder(spark, layer) for layer in ("late-bronze", "late-silver"))
+    for part in range(3):
+        news.where(F.col("_part") == part).drop("_part").write.mode("append").partitionBy("DATE").parquet(bronze)
+        daily.silver_news(spark, bronze, silver, "2024-01-01", "2024-12-31")
+    return spark.read.parquet(silver).select("Date", "LocationCode", "CAMEOEVENTIDS", "ToneNegativeScore", "rank")
+
+
+@query(
+    "a14_control_run",
+    "select 'news' as TABLE_NAME, date '2024-01-07' as next_date_to_process, extraction_date as day, count(*) as rows from gkg "
+    "where extraction_date between date '2024-01-04' and date '2024-01-06' group by all",
+    ("gkg",),
+)
+def _(spark, sf):
+    """Three days run by the stored control table, one of them in a run of its own."""
+    from portrisk.plans import daily
+
+    landed = _landed(spark, sf)
+    states, bronze = new_folder(spark, "control"), new_folder(spark, "controlled")
+    control.store_control(spark, states, "events", "2024-02-01")
+    control.store_control(spark, states, "news", "2024-01-03")
+    job = lambda day: daily.bronze_news(spark, landed, bronze, day)
+    daily.run_day(spark, states, "news", job)
+    daily.run_day(spark, states, "news", job, "2024-01-06")
+    daily.run_day(spark, states, "news", job, "2024-01-06")  # nothing is left to do
+    due = control.next_date_to_process(control.stored_control(spark, states), "news")
+    counts = spark.read.parquet(bronze).groupBy(F.col("extraction_date").alias("day")).agg(F.count("*").alias("rows"))
+    return counts.join(due)
+
+
 @query(
     "e1_daily_tables",
     "select d as \"Date\", total as \"Total\", loc as \"LocationCode\", n as \"NumberOfNews\" from weighted",
@@ -394,3 +453,22 @@ def _(spark, sf):
             spark, landing, delivery.schema, table, progress, ["GlobalEventID"], "extraction_date"
         )
     return spark.read.parquet(table)
+
+
+@query(
+    "st01_replayed_batch",
+    "select GlobalEventID, extraction_date, GoldsteinScale from "
+    f"(select GlobalEventID, {_DAY_OF} as extraction_date, GoldsteinScale, unnest(range(case when GlobalEventID % 7 = 0 then 2 else 1 end)) as copy from geo) "
+    "where extraction_date <= date '2024-01-20'",
+    ("geo",),
+)
+def _(spark, sf):
+    """A batch that holds keys twice, merged, refused as done, and replayed as if its end had been lost."""
+    rows, _ = _versions(_dated_events(spark, sf), "GoldsteinScale", F.col("GoldsteinScale"))
+    batch = rows.unionByName(rows.where("GlobalEventID % 7 = 0"))
+    path, keys, day = new_folder(spark, "replayed"), ["GlobalEventID"], "extraction_date"
+    merge.merge_batch(spark, path, batch, keys, day, "feed", 0)
+    merge.merge_batch(spark, path, batch, keys, day, "feed", 0)
+    merge.note_batch(spark, path, "feed", 1, "started")  # the driver was lost after this
+    merge.merge_batch(spark, path, batch, keys, day, "feed", 1)
+    return spark.read.parquet(path)

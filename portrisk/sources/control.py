@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrisk import schemas
-from portrisk.sources.merge import upsert
+from portrisk.session import freeze
+from portrisk.sources.merge import exists, upsert
 
 
 def next_date_to_process(control: DataFrame, name: str | None = None) -> DataFrame:
@@ -39,3 +40,19 @@ def advance_control(control: DataFrame, name: str, date: str, modified=None) ->
 
 def empty_control(spark) -> DataFrame:
     return spark.createDataFrame([], schemas.CONTROL)
+
+
+def stored_control(spark: SparkSession, path: str) -> DataFrame:
+    """The stored control rows; none if the table is not there."""
+    return spark.read.schema(schemas.CONTROL).parquet(path) if exists(spark, path) else empty_control(spark)
+
+
+def store_control(spark: SparkSession, path: str, name: str, date: str, modified=None) -> None:
+    """Advance the stored row of a pipeline, or initialise it.
+
+    Each pipeline has a partition of its own, so pipelines do not write over each other, and the
+    new row is computed before the old one is replaced.
+    """
+    rows = advance_control(stored_control(spark, path), name, date, modified)
+    own = freeze(rows.where(F.col("TABLE_NAME") == name))
+    own.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("TABLE_NAME").parquet(path)

@@ -102,26 +102,56 @@ def latest_rows(
     return kept if null_safe else kept.unionByName(df.where(_any_null(keys)))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """Is there a folder at ``path`` on whatever file system it names?"""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def _touched(spark: SparkSession, path: str, source: DataFrame, day: str) -> DataFrame:
-    """Target rows of the days in the source.
+def _days(spark: SparkSession, path: str, days: list) -> DataFrame:
+    """The stored rows of the given days; other partitions are not even listed."""
+    day, values = days[0], days[1]
+    chosen = F.col(day).isin([d for d in values if d is not None])
+    return spark.read.parquet(path).where(chosen | F.col(day).isNull() if None in values else chosen)
 
-    The list of days is read to the driver so that other partitions are not even
-    listed; it is bounded by the calendar.
-    """
-    days = [r[0] for r in source.select(day).distinct().collect()]
-    touched = F.col(day).isin([d for d in days if d is not None])
-    if None in days:
-        touched = touched | F.col(day).isNull()
-    return spark.read.parquet(path).where(touched)
+
+def rows_of_days(spark: SparkSession, path: str, source: DataFrame, day: str) -> DataFrame:
+    """Target rows of the days in the source; the list of days is bounded by the calendar."""
+    return _days(spark, path, [day, [r[0] for r in source.select(day).distinct().collect()]])
+
+
+def key_index(path: str) -> str:
+    """Where the days of the keys of the table at ``path`` are noted."""
+    return f"{path.rstrip('/')}.keys"
+
+
+def _note_keys(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], day: str) -> None:
+    """Append the (key, day) pairs that the index lacks, sorted, so that ranges of keys can be skipped."""
+    index, pairs = key_index(path), rows.where(~_any_null(keys)).select(*keys, day).distinct()
+    if exists(spark, index):
+        pairs = unmatched(pairs, _between(spark.read.parquet(index), pairs, keys), [*keys, day], null_safe=True)
+    pairs.sort(*keys).write.mode("append").parquet(index)
+
+
+def _between(index: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Index rows between the least and the greatest key of the source, which the scan can skip to."""
+    ends = source.agg(*(f(k).alias(f"{n}{i}") for i, k in enumerate(keys) for n, f in (("low", F.min), ("high", F.max)))).first()
+    for i, k in enumerate(keys):
+        index = index.where(F.col(k).between(F.lit(ends[f"low{i}"]), F.lit(ends[f"high{i}"])))
+    return index
 
 
-def _replace_days(rows: DataFrame, path: str, day: str) -> None:
+def _days_of_keys(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], day: str) -> list:
+    """Days of the source and of the stored rows with its keys; the index is made if the table has none."""
+    days = {r[0] for r in source.select(day).distinct().collect()}
+    if not exists(spark, key_index(path)):
+        _note_keys(spark, path, spark.read.parquet(path), keys, day)
+    known = source.where(~_any_null(keys)).select(*keys).distinct()
+    index = _between(spark.read.parquet(key_index(path)), known, keys)
+    return [day, list(days | {r[0] for r in index.join(known, list(keys), "left_semi").select(day).distinct().collect()})]
+
+
+def replace_days(rows: DataFrame, path: str, day: str) -> None:
     (
         spread_by(rows, day)
         .write.mode("overwrite")
@@ -133,20 +163,107 @@ def _replace_days(rows: DataFrame, path: str, day: str) -> None:
 
 def upsert_into(
     spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], day: str,
-    null_safe: bool = False,
+    null_safe: bool = False, moving: bool = False, replay: bool = False,
 ) -> None:
-    """Upsert into the stored table at ``path``, rewriting only the source's days.
+    """Upsert into the stored table at ``path``, rewriting only the days it touches.
+
+    Without ``moving``, ``day`` must stay the same when a row is delivered again (an event date, not
+    a date of extraction), as it tells where the earlier version is. With it, an index of the keys
+    beside the table tells: keys may then come back with another day, and the old row goes. The
+    index is written first; what it names too much only costs a day's rewriting.
 
-    ``day`` must stay the same when a row is delivered again (an event date, not
-    a date of extraction), as it tells where the earlier version is. A dynamic partition overwrite stages the
-    new files and swaps the days at commit, after every task has read the old
-    ones; a task that is repeated before that still finds them. The source is
-    read three times (days, keys, rows): freeze it if it is more than a scan.
+    A dynamic partition overwrite stages the new files and swaps the days at commit, after every
+    task has read the old ones; a task that is repeated before that still finds them. A ``replay`` of
+    a merge that may have been applied replaces all rows of its keys and finds no update ambiguous.
+    The source is read several times (days, keys, rows): freeze it if it is more than a scan.
     """
-    if not _exists(spark, path):
-        _replace_days(source, path, day)
+    if not exists(spark, path):
+        if moving:
+            _note_keys(spark, path, source, keys, day)
+        replace_days(source, path, day)
         return
-    _replace_days(upsert(_touched(spark, path, source, day), source, keys, null_safe), path, day)
+    if moving:
+        days = _days_of_keys(spark, path, source, keys, day)
+        _note_keys(spark, path, source, keys, day)
+    else:
+        days = [day, [r[0] for r in source.select(day).distinct().collect()]]
+    target = _days(spark, path, days)
+    source = source.select(*target.columns)
+    emptied = _emptied(target, source, keys, days, null_safe) if moving else []
+    merged = unmatched(target, source, keys, null_safe).unionByName(source) if replay else upsert(target, source, keys, null_safe)
+    replace_days(merged, path, day)
+    for value in emptied:
+        _remove_day(spark, path, day, value)
+
+
+def _emptied(target: DataFrame, source: DataFrame, keys: Sequence[str], days: list, null_safe: bool) -> list:
+    """Days whose rows all move away; an overwrite leaves partitions alone that it writes nothing to."""
+    day, values = days
+    new = {r[0] for r in source.select(day).distinct().collect()}
+    left = unmatched(target.select(*dict.fromkeys([*keys, day])), source, keys, null_safe)
+    return list(set(values) - new - {r[0] for r in left.select(day).distinct().collect()})
+
+
+def _remove_day(spark: SparkSession, path: str, day: str, value) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{day}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def ambiguous_keys(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], day: str, null_safe: bool = False) -> DataFrame:
+    """Keys with several source rows that the stored table holds on the source's days."""
+    repeated = source.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    if not exists(spark, path):
+        return repeated.limit(0)
+    held = _renamed(rows_of_days(spark, path, source, day).select(*keys).distinct(), keys)
+    same = _same_key(keys) if null_safe else reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_{k}") for k in keys])
+    return repeated.join(held, same, "left_semi")
+
+
+_LEDGER = "stream string, batch long, state string"
+
+
+def ledger(path: str) -> str:
+    """Where the batches that were merged into the table at ``path`` are noted."""
+    return f"{path.rstrip('/')}.batches"
+
+
+def _noted(spark: SparkSession, path: str, stream: str, batch: int) -> set[str]:
+    if not exists(spark, ledger(path)):
+        return set()
+    rows = spark.read.schema(_LEDGER).parquet(ledger(path))
+    return {r.state for r in rows.where((F.col("stream") == stream) & (F.col("batch") == batch)).collect()}
+
+
+def note_batch(spark: SparkSession, path: str, stream: str, batch: int, state: str) -> None:
+    spark.createDataFrame([(stream, batch, state)], _LEDGER).coalesce(1).write.mode("append").parquet(ledger(path))
+
+
+def merge_batch(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], day: str, stream: str, batch: int,
+    insert_only: bool = False, null_safe: bool = False,
+) -> bool:
+    """Merge a numbered batch of a stream once; False if the ledger says that it is in the table.
+
+    Before the merge the batch is noted as started, after it as done. A batch that was started and
+    not done may be in the table or not; it is merged as a replay, which leaves the same rows in both
+    cases, repeated keys included. An ambiguous update is found before the batch is noted as
+    started, so it stays an error however often it is tried.
+    """
+    noted = _noted(spark, path, stream, batch)
+    if "done" in noted:
+        return False
+    if not noted and not insert_only:
+        found = ambiguous_keys(spark, path, source, keys, day, null_safe).first()
+        if found is not None:
+            raise ValueError(f"several source rows update the target row with key {', '.join(map(str, found))}")
+    if not noted:
+        note_batch(spark, path, stream, batch, "started")
+    if insert_only:
+        insert_only_into(spark, path, source, keys, day, null_safe)
+    else:
+        upsert_into(spark, path, source, keys, day, null_safe, replay="started" in noted)
+    note_batch(spark, path, stream, batch, "done")
+    return True
 
 
 def insert_only_into(
@@ -154,9 +271,9 @@ def insert_only_into(
     null_safe: bool = False,
 ) -> None:
     """Append the rows whose key the stored table does not hold yet; nothing is rewritten."""
-    if not _exists(spark, path):
-        _replace_days(source, path, day)
+    if not exists(spark, path):
+        replace_days(source, path, day)
         return
-    target = _touched(spark, path, source, day)
+    target = rows_of_days(spark, path, source, day)
     new = unmatched(source.select(*target.columns), target, keys, null_safe)
     spread_by(new, day).write.mode("append").partitionBy(day).parquet(path)

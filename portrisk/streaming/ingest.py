@@ -1,8 +1,9 @@
 """New raw files into a merged table, as an incremental stream.
 
 The stream's checkpoint remembers which files are done, so late files of an old
-day are picked up and a rerun does not repeat work. Writing is idempotent: a
-batch that is replayed after a failure merges to the same table.
+day are picked up and a rerun does not repeat work. A ledger beside the table
+notes each batch before and after its merge: a batch that is replayed after a
+failure leaves the same table, also when it holds a key several times.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from portrisk.session import freeze
-from portrisk.sources.merge import insert_only_into, latest_rows, upsert_into
+from portrisk.sources.merge import latest_rows, merge_batch
 
 
 def incremental_ingest(
@@ -41,14 +42,13 @@ def incremental_ingest(
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.parquet(source_path)
-    merge = insert_only_into if insert_only else upsert_into
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         rows = latest_rows(batch, keys, latest_by) if latest_by else batch
         if transform or latest_by:
             # the merge reads its source several times
             rows = freeze(transform(rows) if transform else rows)
-        merge(batch.sparkSession, table_path, rows, keys, day)
+        merge_batch(batch.sparkSession, table_path, rows, keys, day, checkpoint, number, insert_only)
 
     query = (
         stream.writeStream.foreachBatch(write)

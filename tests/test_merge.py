@@ -195,3 +195,103 @@ def test_stream_batch_with_two_deliveries_keeps_the_latest(spark, rows):
     struct = spark.createDataFrame([], schema).schema
     assert incremental_ingest(spark, landing, struct, table, progress, ["id"], "day", latest_by="sent", timeout=120)
     assert rows(spark.read.parquet(table), "id", "value") == [(1, "v2")]
+
+
+def test_moved_key_leaves_one_row_and_emptied_days_go(spark, rows):
+    path = new_folder(spark, "t")
+    first = spark.createDataFrame([(1, D1, "a"), (2, D2, "b"), (None, D2, "n"), (3, None, "c")], SCHEMA)
+    merge.upsert_into(spark, path, first, ["id"], "day", moving=True)
+    moved = spark.createDataFrame([(1, D2, "A"), (3, D2, "C")], SCHEMA)
+    for _ in range(2):
+        merge.upsert_into(spark, path, moved, ["id"], "day", moving=True)
+        assert rows(spark.read.parquet(path), "id", "day", "value") == sorted([(1, D2, "A"), (2, D2, "b"), (None, D2, "n"), (3, D2, "C")], key=repr)
+    merge.upsert_into(spark, path, spark.createDataFrame([(1, D1, "back")], SCHEMA), ["id"], "day", moving=True)
+    assert rows(spark.read.parquet(path).where("id = 1"), "day", "value") == [(D1, "back")]
+
+
+def test_index_is_made_for_a_table_without_one(spark, rows):
+    path = new_folder(spark, "t")
+    merge.upsert_into(spark, path, spark.createDataFrame([(1, D1, "a"), (2, D1, "b")], SCHEMA), ["id"], "day")
+    merge.upsert_into(spark, path, spark.createDataFrame([(1, D2, "A")], SCHEMA), ["id"], "day", moving=True)
+    assert rows(spark.read.parquet(path), "id", "day") == [(1, D2), (2, D1)]
+    found = merge._between(spark.read.parquet(merge.key_index(path)), spark.createDataFrame([(2,)], "id long"), ["id"])
+    assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id,2), LessThanOrEqual(id,2)]" in plan_of(found)
+
+
+def test_batch_is_merged_once_and_replayed_safely(spark, rows):
+    path, twice = new_folder(spark, "t"), spark.createDataFrame([(1, D1, "x"), (1, D1, "y"), (2, D1, "z")], SCHEMA)
+    again = lambda batch: merge.merge_batch(spark, path, twice, ["id"], "day", "s", batch)
+    want = [(1, "x"), (1, "y"), (2, "z")]
+    assert again(0) and rows(spark.read.parquet(path), "id", "value") == want
+    assert not again(0)
+    merge.note_batch(spark, path, "s", 1, "started")  # lost between the merge and its last note
+    assert again(1) and rows(spark.read.parquet(path), "id", "value") == want
+    for _ in range(2):  # a real ambiguity stays an error
+        with pytest.raises(ValueError, match="several source rows update the target row with key 1"):
+            again(2)
+    assert rows(spark.read.parquet(path), "id", "value") == want
+
+
+def test_replayed_stream_batch_changes_nothing(spark, rows, tmp_path):
+    """The stream forgets that a batch was committed and runs it again."""
+    import shutil
+
+    landing, table, progress = (new_folder(spark, n) for n in ("l", "t", "p"))
+    df = spark.createDataFrame([(1, D1, "x"), (1, D1, "y")], SCHEMA)
+    df.coalesce(1).write.parquet(landing)
+    run = lambda: incremental_ingest(spark, landing, df.schema, table, progress, ["id"], "day", timeout=120)
+    assert run()
+    folder = progress.removeprefix("file:")
+    shutil.move(f"{folder}/commits/0", tmp_path / "commit")
+    shutil.move(f"{folder}/commits/.0.crc", tmp_path / "crc")
+    assert run()
+    assert rows(spark.read.parquet(table), "id", "value") == [(1, "x"), (1, "y")]
+
+
+def test_control_run_advances_only_after_success(spark):
+    from portrisk.plans import daily
+
+    path, seen = new_folder(spark, "control"), []
+    with pytest.raises(LookupError):
+        daily.run_day(spark, path, "news", seen.append)
+    control.store_control(spark, path, "news", "2024-01-30")
+    assert daily.run_day(spark, path, "news", seen.append) == ["2024-01-31"]
+
+    def broken(day):
+        raise OSError(day)
+
+    with pytest.raises(OSError, match="2024-02-01"):
+        daily.run_day(spark, path, "news", broken)
+    assert daily.run_day(spark, path, "news", seen.append, "2024-02-02") == ["2024-02-01", "2024-02-02"]
+    assert daily.run_day(spark, path, "news", seen.append, "2024-02-02") == []
+    assert seen == ["2024-01-31", "2024-02-01", "2024-02-02"]
+
+
+def test_late_news_rank_again_only_their_groups(spark, rows):
+    """News in two deliveries give the silver rows of one, page texts included, and leave other days alone."""
+    from portrisk.plans import daily
+    from portrisk.plans.report import build_silver
+
+    def news(*values):
+        made = spark.createDataFrame(values, "DATE int, CAMEOEVENTIDS string, place string, tone double")
+        location = F.concat(F.lit("1#x#US#"), F.col("place"), F.lit("#0#0#f"))
+        tone = F.concat(F.lit("-1,0,"), F.col("tone").cast("string"), F.lit(",1,0,0"))
+        made = made.withColumns({"LOCATIONS": location, "TONE": tone, "THEMES": F.lit("PORT;MARITIME"), "SOURCEURLS": F.concat(F.lit("http://u/"), "CAMEOEVENTIDS")})
+        fields = {f.name: f.dataType for f in schemas.GKG.fields}
+        return made.select(*[(F.col(c) if c in made.columns else F.lit(None)).cast(t).alias(c) for c, t in fields.items()])
+
+    first = [(20240101, f"a{i}", "USCA", float(i)) for i in range(4)] + [(20240101, "b0", "CA02", 1.0), (20240102, "c0", "USCA", 1.0)]
+    late = [(20240101, "a9", "USCA", 2.5), (20240101, "a8", "USCA", 9.0)]
+    pages = spark.createDataFrame([(f"http://u/{x}", f"<p>text {x}</p>") for x in ("a0", "a1", "a2", "a3", "a8", "a9", "b0", "c0")], "url string, html string")
+    bronze, silver = new_folder(spark, "b"), new_folder(spark, "s")
+    for part in (first, late):
+        news(*part).write.mode("append").partitionBy("DATE").parquet(bronze)
+        daily.silver_news(spark, bronze, silver, "2024-01-01", "2024-01-02", pages)
+        if part is first:
+            quiet = {f for f in spark.read.parquet(silver).inputFiles() if "2024-01-02" in f}
+    shown = ("Date", "LocationCode", "CAMEOEVENTIDS", "rank", "contenturl")
+    assert rows(spark.read.parquet(silver), *shown) == rows(build_silver(news(*first, *late), pages), *shown)
+    files = set(spark.read.parquet(silver).inputFiles())
+    assert quiet and quiet <= files
+    daily.silver_news(spark, bronze, silver, "2024-01-01", "2024-01-02", pages)
+    assert set(spark.read.parquet(silver).inputFiles()) == files  # nothing new, nothing written

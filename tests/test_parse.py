@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from portrisk import profiles as P
@@ -163,11 +164,20 @@ def _ranked_input(spark):
     ).repartition(4)
 
 
-def test_split_ranks_equal_plain_ranks(spark, rows):
+def test_ranks_equal_a_window_and_spread_equal_rows(spark, rows):
     df = _ranked_input(spark)
-    plain, split = ranking.rank_negative(df), ranking.rank_negative(df, hot_rows=10)
-    assert rows(plain) == rows(split)
-    assert "Window" in plan_of(plain)
+    window = Window.partitionBy("Date", "LocationCode").orderBy(
+        F.col("ToneNegativeScore").desc_nulls_last(), F.col("CAMEOEVENTIDS").asc_nulls_last(), F.col("SOURCEURLS").asc_nulls_last()
+    )
+    plain = df.withColumn("rank", F.row_number().over(window))
+    for parts in (None, 1, 16):
+        assert rows(ranking.rank_negative(df, parts=parts)) == rows(plain)
+    assert ranking.rank_negative(df.limit(0)).count() == 0
+    same = spark.range(4000).select(F.lit("a").alias("g"), F.lit(1).alias("v"))
+    ranked = ranking.rank_rows(same, ["g"], [F.col("v").asc()], parts=8)
+    assert [r["rank"] for r in ranked.orderBy("rank").collect()] == list(range(1, 4001))
+    written = [spark.read.parquet(f).count() for f in ranked.inputFiles()]
+    assert max(written) < 1500  # no task has sorted the whole group
 
 
 def test_top_k_limits_before_the_shuffle(spark, rows):
@@ -199,3 +209,17 @@ def test_row_width_audit_takes_any_separator(spark, rows):
 
 def test_scored_news_has_no_python(spark):
     assert "Python" not in plan_of(scored_news(route_news(news(spark, {}))))
+
+
+def test_day_bounds_reach_the_scan(spark, tmp_path, rows):
+    days = [20240101 + i for i in range(20)]
+    df = spark.createDataFrame([(d, i) for i, d in enumerate(days)], "DATE int, id long")
+    df.write.parquet(str(tmp_path / "plain"))
+    df.write.partitionBy("DATE").parquet(str(tmp_path / "parted"))
+    for name, shown in (("plain", "PushedFilters: ["), ("parted", "PartitionFilters: [")):
+        stored = spark.read.parquet(str(tmp_path / name))
+        found = filters.period(stored, "2024-01-05", "2024-01-08", "DATE")
+        assert rows(found, "DATE") == [(20240105,), (20240106,), (20240107,)]
+        assert rows(filters.since(stored, 2, "2024-01-20", "DATE"), "DATE") == [(20240118,), (20240119,), (20240120,)]
+        plan = plan_of(found)
+        assert "20240105" in plan.split(shown)[1].split("]")[0] and "cast" not in plan.split(shown)[1].split("]")[0]
