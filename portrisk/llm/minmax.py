@@ -3,9 +3,12 @@
 Under each permutation of the shingles a set keeps its smallest and its largest hash, so a
 signature needs half as many permutations as it has values, and its share of equal values
 estimates the Jaccard similarity without bias. Values are cut into bands; sets that agree on a
-whole band meet in its bucket. In each bucket all sets are checked against the first one; where
-that leaves more than one component, the others are compared as well, unless the estimate is far
-below the threshold. Every link is confirmed on the full sets.
+whole band meet in its bucket. Shingles of such sets that only one of them has are in no
+intersection: a set with too many has no link, and the set with the least share of them, the one
+that the others are copies of, is the centre of its bucket. All sets of the bucket are checked
+against it; where that leaves more than one component, the rest is compared pair by pair, unless
+lone shingles rule a pair out or the estimate is far below the threshold. Every link is confirmed
+on the full sets.
 """
 
 from __future__ import annotations
@@ -115,7 +118,7 @@ def _texts(docs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """x, q of the pairs (x, q, size_x, size_q, marks_x, marks_q) that may link by sizes and estimate."""
+    """x, q of the pairs (x, q and the size, shared and marks of both) that may link."""
     least = least_agreement(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +126,8 @@ def _likely(pairs: DataFrame, num: int, den: int) -> DataFrame:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, VALUES) for c in (2, 3))
             yield batch.select([0, 1]).filter(pa.array((a == b).sum(axis=1) >= least))
 
-    near = pairs.where(den * F.least("size_x", "size_q") >= num * F.greatest("size_x", "size_q"))
+    most = F.least("shared_x", "shared_q")  # of their intersection
+    near = pairs.where(den * most >= num * (F.col("size_x") + F.col("size_q") - most))
     return near.select("x", "q", "marks_x", "marks_q").mapInArrow(run, "x long, q long")
 
 
@@ -145,7 +149,21 @@ def confirmed(pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return pairs.select("x", "q", "text_x", "text_q").mapInArrow(run, "a long, b long")
 
 
-_OPEN = ["band", "a", "b", "side", "id", "root", "low", "size", "marks", "bands"]
+def _alone(texts: DataFrame, k: int) -> DataFrame:
+    """id, alone: how many shingles of each set of `texts` (id, text) no other one of them has; no row for none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in textkit.text_chunks(batch.column(1)):
+                doc, value = textkit.shingles(data, offsets, k)
+                yield textkit.batch("id long, shingle long", batch.column(0).to_numpy()[i:j][doc], value.view(np.int64))
+
+    rows = texts.select("id", "text").mapInArrow(run, "id long, shingle long")
+    single = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    return single.groupBy("id").agg(F.count("*").alias("alone"))
+
+
+_OPEN = ["band", "a", "b", "side", "id", "root", "centre", "size", "shared", "marks", "bands"]
 
 
 def _compared(open_rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -154,21 +172,22 @@ def _compared(open_rows: DataFrame, num: int, den: int) -> DataFrame:
     cut = open_rows.join(n, "band").withColumn("own", F.pmod(F.xxhash64("id"), F.col("n")))
     two = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda y: F.struct(F.least(y, F.col("own")).alias("a"), F.greatest(y, F.col("own")).alias("b")))
     dealt = cut.withColumn("two", F.explode(two)).withColumn("side", F.when(F.col("two.a") == F.col("two.b"), -1).when(F.col("own") == F.col("two.a"), 0).otherwise(1))
-    dealt = dealt.select("band", F.col("two.a").alias("a"), F.col("two.b").alias("b"), "side", "id", "root", "low", "size", "marks", "bands")
+    dealt = dealt.select("band", F.col("two.a").alias("a"), F.col("two.b").alias("b"), "side", "id", "root", "centre", "size", "shared", "marks", "bands")
     tasks = int(open_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     least = least_agreement(num, den)
 
     def block(table: pa.Table) -> np.ndarray:
         band = table.column("band")[0].as_py()
-        side, ids, root, low, size = (table.column(c).to_numpy() for c in ("side", "id", "root", "low", "size"))
+        side, ids, root, centre, size, shared = (table.column(c).to_numpy() for c in _OPEN[3:9])
         mark = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, VALUES)
         keys = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
         before = int(np.flatnonzero(keys[0] == band)[0])
         found = [np.zeros((2, 0), np.int64)]
         for i in range(len(ids) - 1):
             k = i + 1 + np.flatnonzero((root[i + 1 :] != root[i]) & ((side[i + 1 :] != side[i]) | (side[i] < 0)))
-            k = k[(ids[k] != low[k]) & (ids[i] != low[i])]  # those with the first set have been checked
-            k = k[den * np.minimum(size[k], size[i]) >= num * np.maximum(size[k], size[i])]
+            k = k[(ids[k] != centre[i]) & (ids[i] != centre[i])]  # those with the centre have been checked
+            most = np.minimum(shared[k], shared[i])  # of their intersection
+            k = k[den * most >= num * (size[k] + size[i] - most)]
             k = k[(mark[k] == mark[i]).sum(axis=1) >= least]
             k = k[~(keys[k, :before] == keys[i, :before]).any(axis=1)]
             found.append(np.stack([np.full(len(k), ids[i]), ids[k]]))
@@ -212,26 +231,29 @@ def near_duplicates(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int
     sets = freeze(measured.where("n_shingles > 0").groupBy("id").agg(F.min("doc_id").alias("low_doc"), F.min("text_id").alias("text_id"), F.max("n_shingles").alias("size")))
     first = measured.where("bands is not null").select("id", "n_shingles", "bands", "marks").dropDuplicates(["id"])
     rows = first.select(F.explode("bands").alias("band"), "id")
-    shared = rows.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("band", "low")
+    shared = rows.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("band")
     members = freeze(rows.join(shared, "band"))
-    near = freeze(first.join(members.select("id").distinct(), "id", "left_semi").select("id", F.col("n_shingles").alias("size"), "bands", "marks"))
+    met = members.select("id").distinct()
+    texts = _texts(docs, sets.join(met, "id", "left_semi"))
+    # what a set shares with others bounds its intersections
+    near = first.join(met, "id", "left_semi").join(_alone(texts, k), "id", "left").withColumn("shared", F.col("n_shingles") - F.coalesce("alone", F.lit(0)))
+    near = freeze(near.where(den * F.col("shared") >= num * F.col("n_shingles")).select("id", F.col("n_shingles").alias("size"), "shared", "marks", "bands"))
+    rows = members.join(near.select("id", (F.col("shared") / F.col("size")).alias("share")), "id")
+    centres = rows.groupBy("band").agg(F.max_by("id", F.struct("share", "id")).alias("centre"), F.count("*").alias("n")).where("n > 1").select("band", "centre")
+    rows = freeze(rows.drop("share").join(centres, "band"))
 
     def side(name: str) -> DataFrame:
-        return near.select(F.col("id").alias(name), F.col("size").alias(f"size_{name}"), F.col("marks").alias(f"marks_{name}"))
-
-    star = members.where("id != low").select(F.col("id").alias("x"), F.col("low").alias("q")).distinct()
-    star = freeze(_likely(star.join(side("x"), "x").join(side("q"), "q"), num, den))
-    texts = _texts(docs, sets.join(near.select("id"), "id", "left_semi"))
+        return near.select(F.col("id").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("size", "shared", "marks")))
 
     def check(pairs: DataFrame) -> DataFrame:
         x, q = texts.select(F.col("id").alias("x"), F.col("text").alias("text_x")), texts.select(F.col("id").alias("q"), F.col("text").alias("text_q"))
         return freeze(confirmed(pairs.join(x, "x").join(q, "q"), k, num, den))
 
-    links = check(star)
-    roots = freeze(components(links))
-    rooted = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = rooted.groupBy("band").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one < other").select("band")
-    pairs = freeze(_compared(rooted.join(mixed, "band").join(near, "id"), num, den).distinct())
+    star = rows.where("id != centre").select(F.col("id").alias("x"), F.col("centre").alias("q")).distinct()
+    links = check(freeze(_likely(star.join(side("x"), "x").join(side("q"), "q"), num, den)))
+    rooted = rows.join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = rooted.groupBy("band").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one < other")
+    pairs = freeze(_compared(rooted.join(mixed.select("band"), "band").join(near, "id"), num, den).distinct())
     roots = freeze(components(links.unionByName(check(pairs))))
 
     by_root = sets.join(roots, "id", "left").select("id", "low_doc", F.coalesce("root", "id").alias("root"))
