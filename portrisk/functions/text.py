@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portrisk import profiles as P
-from portrisk.session import BROADCAST_BYTES, freeze
+from portrisk.session import freeze
 
 # --- fixed values: page markup ------------------------------------------------
 # parts of a page that are not text
@@ -25,6 +25,8 @@ _SENTENCE_END = r"[.!?]+[ \t\r\n]+|[\r\n]+"
 _NOT_WORD = r"[ \t\r\n.,;:!?\"'()\[\]{}<>|&%$#*/=+_-]+"
 
 _OPEN, _CLOSE = "\u0001", "\u0002"
+# words above this part of all tokens are at most as many, and their list is broadcast
+HEAVY_SHARE = 1000
 
 
 def extract_paragraphs(html: str | Column) -> Column:
@@ -71,32 +73,31 @@ def words(text: str | Column) -> Column:
 
 
 def _with_frequency(tokens: DataFrame) -> DataFrame:
-    """Add the corpus frequency of the word to every token.
+    """Add the corpus frequency of the word to every token row (word, n).
 
-    The word list is counted once and stored, so its size is known. A list of up
-    to ``BROADCAST_BYTES`` is broadcast. A long one is joined in two parts, since words follow a steep
-    law: words above one thousandth of all tokens are at most a thousand, so they
-    can be broadcast and their tokens never shuffle by word; the rest, which is
-    shuffled, holds no heavy word.
+    Words follow a steep law, so the rows are joined in two parts at every size: words above one
+    thousandth of all tokens are at most a thousand, so they are broadcast and their rows never
+    meet in a task; the rest, which is shuffled by word, holds no heavy word.
     """
-    frequency = freeze(tokens.groupBy("word").agg(F.count(F.lit(1)).alias("frequency")))
-    size, every = frequency.agg(F.sum(F.octet_length("word") + 32), F.sum("frequency")).first()
-    if (size or 0) <= BROADCAST_BYTES:
-        return tokens.join(F.broadcast(frequency), "word")
-    is_heavy = F.col("frequency") * 1000 > every
+    frequency = freeze(tokens.groupBy("word").agg(F.sum("n").alias("frequency")))
+    every = frequency.agg(F.sum("frequency")).first()[0] or 0
+    is_heavy = F.col("frequency") * HEAVY_SHARE > every
     heavy = F.broadcast(frequency.where(is_heavy))
-    return tokens.join(heavy, "word").unionByName(
-        tokens.join(heavy.select("word"), "word", "left_anti").join(frequency.where(~is_heavy), "word")
-    )
+    rest = tokens.join(heavy.select("word"), "word", "left_anti")
+    return tokens.join(heavy, "word").unionByName(rest.join(frequency.where(~is_heavy), "word"))
 
 
 def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Mean corpus frequency of the words of every sentence that has words."""
+    """Mean corpus frequency of the words of every sentence that has words.
+
+    Texts are split once: what is joined is the stored number of each word in each sentence.
+    """
     tokens = df.select(
         key, F.posexplode(split_sentences(text)).alias("position", "sentence")
     ).select(key, "position", F.explode(words("sentence")).alias("word"))
-    total, n = F.sum("frequency"), F.count(F.lit(1))
-    return _with_frequency(tokens).groupBy(key, "position").agg((total / n).alias("score"))
+    counted = freeze(tokens.groupBy(key, "position", "word").agg(F.count("*").alias("n")))
+    total, n = F.sum(F.col("frequency") * F.col("n")), F.sum("n")
+    return _with_frequency(counted).groupBy(key, "position").agg((total / n).alias("score"))
 
 
 def extractive_summary(

@@ -76,13 +76,14 @@ def attach_pages(news: DataFrame, pages: DataFrame, text: Callable[[str], Column
     """Add the text of the page a news row points to (null if it is not stored).
 
     The stored pages are the large side: they are first reduced to the addresses
-    in demand, and only those are parsed.
+    in demand, and only those are parsed. Of several pages under one address the
+    greatest text counts, so a news row stays one row.
     """
     keyed = news.withColumn("_url", first_url())
     wanted = keyed.select(F.col("_url").alias("url")).where(F.col("url").isNotNull()).distinct()
     contents = pages.join(wanted, "url", "left_semi").select(
         F.col("url").alias("_url"), text("html").alias("contenturl")
-    )
+    ).groupBy("_url").agg(F.max("contenturl").alias("contenturl"))
     return keyed.join(contents, "_url", "left").drop("_url")
 
 

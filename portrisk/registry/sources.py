@@ -93,8 +93,7 @@ def _(spark, sf):
         F.concat_ws("\t", *[F.col(c).cast("string") for c in _GKG_COLUMNS]).alias("value")
     )
     archives = lines.mapInPandas(_zip_batches, "path string, content binary")
-    rows = readers.parse_lines(readers.unzip_lines(archives), schemas.GKG)
-    return rows.withColumn("COUNTS", F.nullif("COUNTS", F.lit("")))
+    return readers.parse_lines(readers.unzip_lines(archives), schemas.GKG)
 
 
 _LINE = {
@@ -219,7 +218,7 @@ def _(spark, sf):
     table = _table_name(path)
     tables.create_events_table(spark, table, path)
     rows = readers.stamp_lineage(_wide_events(spark, sf), int_date("DATEADDED"))
-    tables.create_or_append(rows, table, path, "extraction_date")
+    tables.create_or_append(rows, table, path, "Day")
     return _event_values(spark.table(table))
 
 

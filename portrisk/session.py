@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 # Upper bound on rows sent to every executor; a dimension row here is well under
 # 1 KB, so a broadcast stays below about 200 MB.
 BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf) -> SparkSession:

@@ -13,15 +13,13 @@ from pyspark.sql import types as T
 
 from portrisk import schemas
 
-# The feeds do not quote fields; a quotation mark is an ordinary character.
-_TSV = {"sep": "\t", "quote": "", "mode": "PERMISSIVE"}
 # lines handed to Spark at a time while one archive is unpacked
 _LINES_PER_BATCH = 50_000
 
 
 def read_tsv(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    """Short rows are padded with nulls and bad numbers are null, as text feeds need."""
-    return spark.read.schema(schema).options(**_TSV).csv(path)
+    """Lines of plain files, parsed as those of archives are."""
+    return parse_lines(spark.read.text(path), schema)
 
 
 def read_events_tsv(spark: SparkSession, path) -> DataFrame:
@@ -51,10 +49,15 @@ def unzip_lines(archives: DataFrame) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Split raw lines into typed columns; bad numbers and missing fields are null."""
-    cells = F.split(F.col("value"), "\t")
-    columns = [F.get(cells, F.lit(i)).alias(f.name) for i, f in enumerate(schema.fields)]
-    return coerce_types(lines.select(*keep, *columns), schema)
+    """Split raw lines into typed columns.
+
+    The feeds do not quote fields: a quotation mark is an ordinary character. Bad
+    numbers, missing fields and empty ones are null. Empty lines hold no row.
+    """
+    filled = lines.where(F.col("value") != "")
+    cells = filled.select(*keep, F.split(F.col("value"), "\t").alias("_cells"))
+    columns = [F.nullif(F.get("_cells", F.lit(i)), F.lit("")).alias(f.name) for i, f in enumerate(schema.fields)]
+    return coerce_types(cells.select(*keep, *columns), schema)
 
 
 def read_zipped_tsv(

@@ -22,7 +22,8 @@ def create_table(
 
 
 def create_events_table(spark: SparkSession, table: str, path: str) -> None:
-    create_table(spark, table, schemas.with_lineage(schemas.EVENTS), path, "extraction_date")
+    """The table that the daily job fills, partitioned by the day of the event."""
+    create_table(spark, table, schemas.with_lineage(schemas.EVENTS), path, "Day")
 
 
 def _stored_schema(spark: SparkSession, path: str, df: DataFrame) -> T.StructType | None:

@@ -132,7 +132,7 @@ def test_readers_pad_short_rows_and_null_bad_numbers(spark, tmp_path):
 def test_zipped_feed_equals_plain_feed(spark, tmp_path, rows):
     import zipfile
 
-    text = "20240101\t3\tc\tPORT;\t\n20240102\t4\td\tTRADE;\t\n"
+    text = "20240101\t3.0\tc\tPORT;\t\n\n20240102\t4\td\tTRADE;\t\n"
     (tmp_path / "plain").mkdir()
     (tmp_path / "plain" / "a.csv").write_text(text)
     for name in ("20240101.zip", "20240102.zip"):
@@ -141,6 +141,8 @@ def test_zipped_feed_equals_plain_feed(spark, tmp_path, rows):
             archive.writestr("ignored.csv", "1\t2\n")
     zipped = readers.read_zipped_tsv(spark, str(tmp_path / "*.zip"), schemas.GKG)
     plain = readers.read_gkg_tsv(spark, str(tmp_path / "plain"))
+    wanted = rows(plain)
+    assert rows(zipped) == sorted(wanted * 2, key=repr)
     wanted = rows(plain, "DATE", "NUMARTS", "THEMES")
     assert rows(zipped, "DATE", "NUMARTS", "THEMES") == sorted(wanted * 2, key=repr)
 

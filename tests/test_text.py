@@ -63,11 +63,10 @@ def brute_summary(k):
     return out
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_summary_equals_brute_force(spark, monkeypatch, limit):
-    """With a broadcast word list and with the split join for long lists."""
-    if limit is not None:
-        monkeypatch.setattr(text, "BROADCAST_BYTES", limit)
+@pytest.mark.parametrize("share", [1000, 10, 1])
+def test_summary_equals_brute_force(spark, monkeypatch, share):
+    """With all words heavy, some of them and none."""
+    monkeypatch.setattr(text, "HEAVY_SHARE", share)
     df = spark.createDataFrame(DOCS, "doc_id int, text string")
     got = {r.doc_id: r.summary for r in text.extractive_summary(df, 2).collect()}
     assert got == brute_summary(2)
@@ -141,3 +140,13 @@ def test_daily_jobs_can_be_repeated(spark, rows):
     daily.silver_news(spark, bronze, silver, "2024-01-01")
     daily.gold_report(spark, silver, gold, "2024-01-01")
     assert rows(spark.read.parquet(gold), "Total", "NumberOfNews") == [(0, 2), (1, 1)]
+
+
+def test_a_page_stored_twice_leaves_one_news_row(spark):
+    from portrisk.functions.text import extract_paragraphs
+    from portrisk.operators.joins import attach_pages
+
+    news = spark.createDataFrame([("u", 1), ("v", 2), (None, 3)], "SOURCEURLS string, id int")
+    pages = spark.createDataFrame([("u", "<p>a</p>"), ("u", "<p>b</p>"), ("u", None), (None, "<p>c</p>")], "url string, html string")
+    got = sorted((r.id, r.contenturl) for r in attach_pages(news, pages, extract_paragraphs).collect())
+    assert got[0] == (1, "b") and got[1:] == [(2, None), (3, None)]
