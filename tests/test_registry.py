@@ -48,3 +48,11 @@ def test_query_equals_statement(spark, duck, name):
 
 def test_entry_has_rows(spark, duck):
     assert entry.entry(spark).count() > 0
+
+
+def test_daily_predictions_are_of_the_day_and_complete(spark, duck):
+    """Only the days asked for are stored, and the figure moved on from the day before is there."""
+    got = entry.queries()["e3_daily_predictions"](spark, SF).collect()
+    assert got and {str(r.Date) for r in got} == {"2024-01-29", "2024-01-30"}
+    assert len({(r.profile, r.Date) for r in got}) == len(got)
+    assert all(r.NextDayNewsPredAdjusted is not None and r.NextDayNegativeNewsPredictions is not None for r in got)
