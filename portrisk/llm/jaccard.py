@@ -1,15 +1,19 @@
 """N-gram Jaccard join: exact links between documents by pivots and triangle-inequality windows.
 
-Jaccard distance is a metric, and so is the size of the symmetric difference, whose distance to
-the empty set is a document's size. That first pivot cuts the documents into rings of sizes; a
-document within reach of the next ring's documents is replicated into it. Nearly all documents
-of a corpus are at distance 1 from any document, so document pivots alone would leave windows
-that hold everything. Each ring is therefore first cut by shingle-space pivots: a document has a
-cell for each part of a hash partition of the shingles, with as many parts that two documents
-within reach must agree on one. A cell is a region; its documents are compared with a pivot
-document of the region, those within reach of the pivot are linked through it, and only what
-the triangle inequality leaves open goes on: blocks of an open region are joined exactly, after
-the numbers of parts on which two documents agree.
+Jaccard distance is a metric, but nearly all documents of a corpus are at distance 1 from any
+document, so document pivots alone would leave windows that hold everything. The first pivots are
+therefore single shingles: in one order of all shingles, rare ones first, a document's home is its
+first shingle, and its window holds the next ones, as many as the threshold lets a partner miss.
+It is replicated into the region of each shingle of its window, and linked documents meet in the
+region of the first shingle that they share. Documents with too many shingles that no other one of
+those that met has are linked with nothing and leave.
+
+Regions are then joined recursively. The pivot of a region is its document with the largest share
+of shingles that others have; each document of the region is compared with it on full sets. What
+has linked with the pivot is settled among itself. Of the rest, and of those whose distance to the
+pivot allows a link with it, regions above a block choose the next pivot, as long as that halves
+what is open. The blocks that remain are joined exactly: windows of distance and size, numbers of
+equal parts of a hash partition, bounds from shared shingles, and full sets in the end.
 """
 
 from __future__ import annotations
@@ -27,98 +31,46 @@ from portrisk.llm.graph import components
 from portrisk.session import freeze
 
 K, NUMERATOR, DENOMINATOR = 4, 85, 100
-RING = 1.5  # ratio of a ring's bounds
-SKETCH = 1 << 16  # counters of shingle frequency
+RING = 1.5  # least ratio of the bounds of a size ring
+SKETCH = 1 << 18  # counters of shingle frequency
 COMMON = 4  # a counter this many times the mean holds a common shingle
-SCHEMES = 8
 BLOCK = 1024  # documents of an open region that are compared in one task
 FILTER_BITS = 1 << 24
 _VALUE = np.uint64(0x5DEECE66D5DEECE7)
 
 
 class Reach:
-    """What follows from the threshold num / den alone."""
+    """What follows from the threshold num / den alone: rings of sizes, linked sets in one or in neighbours, and parts for each."""
 
     def __init__(self, num: int, den: int) -> None:
         self.num, self.den = num, den
-        self.least = next(s for s in range(1, 10**6) if self.apart(2 * s + 1) >= 1)  # smaller sets link only with equal ones
-        self.tiny = next(s for s in range(1, 10**6) if self.apart(2 * s + 2) >= 2)  # up to it, one shingle more or less
-        bounds = [self.tiny + 1]
+        bounds = [1]
         while bounds[-1] < 1 << 40:
-            bounds.append(int(bounds[-1] * RING) + 1)
+            bounds.append(int(bounds[-1] * max(RING, den / num)) + 1)
         self.bounds = np.array(bounds)
         far = np.array([self.apart(2 * (b - 1)) for b in bounds[1:]])
-        self.spare = np.maximum(1, (far + 1) // 14)
-        self.parts = far + 1 + self.spare
+        self.parts = far + 1 + np.maximum(1, (far + 1) // 14)
 
     def apart(self, total: int) -> int:
         """The largest symmetric difference of linked sets of `total` shingles together."""
         return (self.den - self.num) * total // (self.den + self.num)
 
 
-def cells(doc: np.ndarray, value: np.ndarray, n_docs: int, reach: Reach, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, cell) for sets given as sorted (text number, shingle).
+def cells(doc: np.ndarray, value: np.ndarray, n_docs: int, reach: Reach, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, cell) for sets given as sorted (text number, shingle): the first shingles of each.
 
-    Linked texts that differ share a cell. Two sets with `parts` parts in their ring differ in
-    at most parts - spare - 1 of them, so they agree on more than `spare`. A set with at most
-    `spare` parts that say little (empty, or of common shingles only) agrees with each partner
-    on one that says more. Sets with more such parts also get the cells of further partitions,
-    and after the last one those that say little.
+    The order of shingles is by whether their counter is common, then by value. A set of n
+    shares at least ceil(num * n / den) with each partner, so all but one less of its shingles
+    hold the first shared one, on both sides.
     """
     sizes = np.bincount(doc, minlength=n_docs)
-    found = []
-    weight = textkit.mix(value ^ _VALUE)
-    rare = np.ones(len(value), np.int64) if common is None else 1 - common[(value & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.int64)
-    total = np.zeros(n_docs, np.uint64)
-    some = sizes > 0
     starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    if some.any():
-        total[some] = np.add.reduceat(weight, starts[some])
-    # up to reach.tiny: the set itself, and the set without each of its shingles
-    small = (sizes >= reach.least) & (sizes <= reach.tiny)
-    found.append((np.flatnonzero(small), textkit.mix(total[small])))
-    of_small = small[doc]
-    found.append((doc[of_small], textkit.mix(total[doc[of_small]] - weight[of_small])))
-    ring = np.searchsorted(reach.bounds, sizes, side="right") - 1
-    next_ring = ring + 1
-    near = (sizes * reach.den >= reach.num * reach.bounds[next_ring]) & (sizes >= reach.least)
-    for rings, chosen in ((ring, ring >= 0), (next_ring, near)):
-        which = np.flatnonzero(chosen)
-        for scheme in range(SCHEMES):
-            if not len(which):
-                break
-            which = _parts(doc, value, weight, rare, rings, which, n_docs, scheme, reach, found)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-
-
-def _parts(doc, value, weight, rare, rings, which, n_docs, scheme, reach, found) -> np.ndarray:
-    """Add the cells of one partition for the texts in `which`; returns those that need another."""
-    member = np.zeros(n_docs, bool)
-    member[which] = True
-    rows = np.flatnonzero(member[doc])
-    d, parts = doc[rows], reach.parts[np.maximum(rings, 0)]
-    spread = value[rows] if scheme == 0 else textkit.mix(value[rows] + np.uint64(scheme))
-    part = ((spread >> np.uint64(32)) * parts[d].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-    w, r = weight[rows], rare[rows]
-    if scheme:
-        order = np.lexsort((part, d))
-        d, part, w, r = d[order], part[order], w[order], r[order]
-    first = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (part[1:] != part[:-1])]))
-    sums, says = np.add.reduceat(w, first), np.add.reduceat(r, first) > 0
-    cell_doc, cell_part = d[first], part[first]
-    tag = (rings[cell_doc].astype(np.uint64) << np.uint64(40)) + (cell_part.astype(np.uint64) << np.uint64(4)) + np.uint64(scheme)
-    cell = textkit.mix(sums ^ textkit.mix(tag + np.uint64(1)))
-    found.append((cell_doc[says], cell[says]))
-    silent = parts - np.bincount(cell_doc[says], minlength=n_docs)
-    lacking = which[silent[which] > reach.spare[rings[which]]]
-    if scheme == SCHEMES - 1 and len(lacking):
-        weak = np.isin(cell_doc, lacking) & ~says
-        found.append((cell_doc[weak], cell[weak]))
-        for x in lacking:  # parts without shingles
-            empty = np.setdiff1d(np.arange(parts[x]), cell_part[cell_doc == x])
-            tag = (np.uint64(rings[x]) << np.uint64(40)) + (empty.astype(np.uint64) << np.uint64(4)) + np.uint64(scheme)
-            found.append((np.full(len(empty), x), textkit.mix(textkit.mix(tag + np.uint64(1)))))
-    return lacking
+    often = common[(value & np.uint64(SKETCH - 1)).astype(np.int64)]
+    order = np.lexsort((often, doc))  # stable: values stay sorted
+    doc, value = doc[order], value[order]
+    window = sizes + 1 + (-reach.num * sizes) // reach.den
+    chosen = np.arange(len(doc)) - starts[doc] < window[doc]
+    return doc[chosen], value[chosen]
 
 
 def part_marks(doc: np.ndarray, value: np.ndarray, rings: np.ndarray, reach: Reach) -> list[bytes]:
@@ -136,17 +88,18 @@ def part_marks(doc: np.ndarray, value: np.ndarray, rings: np.ndarray, reach: Rea
     return [marks[a:b].tobytes() for a, b in zip(base[:-1], base[1:], strict=True)]
 
 
-_OPEN = ["cell", "a", "b", "side", "id", "size", "root", "free", "distance", "own_marks", "next_marks"]
+_OPEN = ["cell", "a", "b", "side", "id", "size", "shared", "root", "free", "distance", "own_marks", "next_marks", "regions"]
 
 
 def _may_link(reach: Reach):
-    """x, q: pairs of a region's block that agree on as many parts as linked sets of their sizes must.
+    """x, q: pairs of a region's block that the windows, the bounds and the equal parts leave, each in its first common region.
 
     Rows come sorted by block; a block may go on in the next batch.
     """
-    near = (reach.den - reach.num) / reach.den + 1e-9
+    num, den = reach.num, reach.den
+    near = (den - num) / den + 1e-9
 
-    def pairs(side, ids, size, root, free, distance, own, following) -> list[np.ndarray]:
+    def pairs(cell, side, ids, size, shared, root, free, distance, own, following, regions) -> list[np.ndarray]:
         ring = np.searchsorted(reach.bounds, size, side="right") - 1
         found = []
         for r in np.unique(ring):
@@ -154,31 +107,33 @@ def _may_link(reach: Reach):
             both = np.concatenate([upper, lower])
             if len(both) < 2:
                 continue
-            marks = None
-            if r >= 0:
-                rows = [own[i] for i in upper] + [following[i] for i in lower]
-                marks = np.frombuffer(b"".join(rows), np.uint16).reshape(len(both), -1)
+            rows = [own[i] for i in upper] + [following[i] for i in lower]
+            marks = np.frombuffer(b"".join(rows), np.uint16).reshape(len(both), -1)
             for at, i in enumerate(upper):
                 others = both[at + 1 :]
+                most = np.minimum(shared[others], shared[i])  # of their intersection
                 keep = (root[others] != root[i]) & (free[others] | free[i]) & (np.abs(distance[others] - distance[i]) <= near)
                 keep &= (side[i] != side[others]) | (side[i] < 0)
-                keep &= reach.den * np.minimum(size[i], size[others]) >= reach.num * np.maximum(size[i], size[others])
+                keep &= den * most >= num * (size[others] + size[i] - most)
                 k = np.flatnonzero(keep)
-                if marks is not None and len(k):
-                    agree = (marks[at + 1 + k] == marks[at]).sum(axis=1)
-                    k = k[agree >= marks.shape[1] - (reach.den - reach.num) * (size[i] + size[others[k]]) // (reach.den + reach.num)]
                 if len(k):
-                    found.append(np.stack([np.full(len(k), ids[i]), ids[others[k]]]))
+                    agree = (marks[at + 1 + k] == marks[at]).sum(axis=1)
+                    k = k[agree >= marks.shape[1] - (den - num) * (size[i] + size[others[k]]) // (den + num)]
+                q = [j for j in others[k].tolist() if min(regions[i] & regions[j]) == cell]
+                if q:
+                    found.append(np.stack([np.full(len(q), ids[i]), ids[q]]))
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(table: pa.Table, until: int, cuts: np.ndarray) -> pa.RecordBatch:
-            flat = [table.column(c).to_numpy() for c in _OPEN[3:9]]
-            marks = [table.column(c).slice(0, until).to_pylist() for c in _OPEN[9:]]
+            flat = [table.column(c).to_numpy() for c in _OPEN[3:10]]
+            marks = [table.column(c).slice(0, until).to_pylist() for c in _OPEN[10:12]]
+            where, region = table.column("cell").to_numpy(), table.column("regions").slice(0, until)
             found = []
             for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 if j - i > 1:
-                    found += pairs(*(x[i:j] for x in flat), *(m[i:j] for m in marks))
+                    sets = [set(x) for x in region.slice(i, j - i).to_pylist()]
+                    found += pairs(where[i], *(x[i:j] for x in flat), *(m[i:j] for m in marks), sets)
             out = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
             return textkit.batch("x long, q long", out.max(axis=0), out.min(axis=0))
 
@@ -279,6 +234,21 @@ def _texts_of(docs: DataFrame, ids: DataFrame, k: int, reach: Reach) -> DataFram
     return found.join(ids.select("id"), "id", "left_semi").dropDuplicates(["id"])
 
 
+def _alone(texts: DataFrame, k: int) -> DataFrame:
+    """id, alone: how many shingles of each set of `texts` (id, text) no other one of them has; no row for none."""
+    schema = "id long, shingle long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in textkit.text_chunks(batch.column(1)):
+                doc, value = textkit.shingles(data, offsets, k)
+                yield textkit.batch(schema, batch.column(0).to_numpy()[i:j][doc], value.view(np.int64))
+
+    rows = texts.select("id", "text").mapInArrow(run, schema)
+    single = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("id").alias("id")).where("n = 1")
+    return single.groupBy("id").agg(F.count("*").alias("alone"))
+
+
 def jaccard_join(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int = DENOMINATOR) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of `docs` (doc_id, text).
 
@@ -335,36 +305,59 @@ def _rooted(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Dat
                 yield textkit.batch(cell_schema, cell[own].view(np.int64), names[which[own]])
 
     rows = freeze(docs.select("text").mapInArrow(cut, cell_schema))
-    shared = rows.groupBy("cell").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
-    members = freeze(rows.join(shared.select("cell"), "cell").distinct())
+    several = rows.groupBy("cell").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    members = freeze(rows.join(several.select("cell"), "cell").distinct())
+    wanted = freeze(members.select("id").distinct())
+    texts = freeze(_texts_of(docs, wanted, k, reach))
+    # what a set shares with others bounds its intersections
+    met = texts.select("id", "size").join(_alone(texts, k), "id", "left").withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0)))
+    met = freeze(met.where(den * F.col("shared") >= num * F.col("size")).select("id", "size", "shared"))
+    members = members.join(met.select("id", (F.col("shared") / F.col("size")).alias("share")), "id")
     # cells with the same documents are one region
-    alike = members.groupBy("cell").agg(F.count("*").alias("n"), F.sum(F.col("id").cast("decimal(38,0)")).alias("s"), F.bit_xor("id").alias("x"), F.min("id").alias("pivot"))
-    regions = alike.groupBy("n", "s", "x", "pivot").agg(F.min("cell").alias("cell")).select("cell", "pivot")
+    alike = members.groupBy("cell").agg(
+        F.count("*").alias("n"), F.sum(F.col("id").cast("decimal(38,0)")).alias("s"), F.bit_xor("id").alias("x"), F.max_by("id", F.struct("share", "id")).alias("pivot")
+    )
+    regions = alike.where("n > 1").groupBy("n", "s", "x", "pivot").agg(F.min("cell").alias("cell")).select("cell", "pivot")
     region = freeze(members.join(regions, "cell"))
-    wanted = freeze(region.select("id").distinct())
-    texts = freeze(_texts_of(docs, wanted, k, reach))
 
     def compare(pairs: DataFrame) -> DataFrame:
         x, q = texts.select(F.col("id").alias("x"), F.col("text").alias("text_x")), texts.select(F.col("id").alias("q"), F.col("text").alias("text_q"))
         return freeze(linked(pairs.distinct().join(x, "x").join(q, "q"), k, num, den))
 
-    # first pivot of each region: its smallest member
-    checked = compare(region.where("id != pivot").select(F.col("id").alias("x"), F.col("pivot").alias("q")))
-    links = checked.where("link").select(F.col("x").alias("a"), F.col("q").alias("b"))
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.where("link").select(F.col("x").alias("a"), F.col("q").alias("b"))
+
     near = (den - num) / den + 1e-9
-    far = region.where("id != pivot").join(checked, (F.col("id") == F.col("x")) & (F.col("pivot") == F.col("q"))).select("cell", "id", "distance", "link")
-    least = far.where("not link").groupBy("cell").agg(F.min("distance").alias("least"))
-    # what stays: those beyond reach of the pivot, and those whose distance allows a link with one of them
-    state = freeze(far.join(least, "cell").where(~F.col("link") | (F.col("distance") >= F.col("least") - near)).select("cell", "id", "distance", (~F.col("link")).alias("free")))
-    roots = freeze(components(links))
-    root = state.join(roots.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").select("cell", "id", "distance", "free", F.coalesce("root", "id").alias("root"))
-    mixed = root.groupBy("cell").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("cell")
-    open_rows = root.join(mixed, "cell").join(texts.drop("text"), "id")
+    open_rows, links, settled, before = region, None, [], None
+    while True:
+        # all documents of a region against its pivot
+        checked = compare(open_rows.where("id != pivot").select(F.col("id").alias("x"), F.col("pivot").alias("q")))
+        links = ends(checked) if links is None else links.unionByName(ends(checked))
+        roots = freeze(components(links))
+        far = open_rows.where("id != pivot").join(checked, (F.col("id") == F.col("x")) & (F.col("pivot") == F.col("q")))
+        far = far.select("cell", "id", "share", "distance", (~F.col("link")).alias("free"))
+        # what stays: those beyond reach of the pivot, and those whose distance allows a link with one of them
+        least = far.where("free").groupBy("cell").agg(F.min("distance").alias("least"))
+        state = far.join(least, "cell").where(F.col("free") | (F.col("distance") >= F.col("least") - near)).drop("least")
+        state = state.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        next_pivot = F.max_by(F.when(F.col("free"), F.col("id")), F.struct("free", "share", "id"))
+        left = state.groupBy("cell").agg(F.min("root").alias("one"), F.max("root").alias("other"), F.count("*").alias("rows"), next_pivot.alias("pivot"))
+        state = freeze(state.join(left.where("one < other").select("cell", "rows", "pivot"), "cell"))
+        large = state.where(F.col("rows") > BLOCK)
+        n = large.count()
+        if not n or (before is not None and 2 * n > before):
+            break
+        settled.append(state.where(F.col("rows") <= BLOCK))
+        open_rows, before = large.select("cell", "id", "share", "pivot"), n
+    for earlier in settled:
+        state = state.unionByName(earlier)
+    state = state.select("cell", "id", "distance", "free").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    together = state.groupBy("id").agg(F.collect_set("cell").alias("regions"))
+    state = state.join(together, "id").join(met, "id").join(texts.select("id", "own_marks", "next_marks"), "id")
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _blocks(open_rows, BLOCK).select(*_OPEN).repartition(tasks, "cell", "a", "b").sortWithinPartitions("cell", "a", "b")
-    pairs = dealt.mapInArrow(_may_link(reach), "x long, q long")
-    links = links.unionByName(compare(pairs).where("link").select(F.col("x").alias("a"), F.col("q").alias("b")))
-    roots = freeze(components(links))
+    dealt = _blocks(state, BLOCK).select(*_OPEN).repartition(tasks, "cell", "a", "b").sortWithinPartitions("cell", "a", "b")
+    pairs = freeze(dealt.mapInArrow(_may_link(reach), "x long, q long"))
+    roots = freeze(components(links.unionByName(ends(compare(pairs)))))
     lowest = base.groupBy("id").agg(F.min("doc_id").alias("low"))
     return base, lowest.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
