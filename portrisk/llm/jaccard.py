@@ -4,9 +4,10 @@ Jaccard distance is a metric, but nearly all documents of a corpus are at distan
 document, so document pivots alone would leave windows that hold everything. The first pivots are
 therefore single shingles: in one order of all shingles, rare ones first, a document's home is its
 first shingle, and its window holds the next ones, as many as the threshold lets a partner miss.
-It is replicated into the region of each shingle of its window, and linked documents meet in the
-region of the first shingle that they share. Documents with too many shingles that no other one of
-those that met has are linked with nothing and leave.
+The window is a quarter longer than that, so that linked documents share not one but several
+shingles of it. A document is replicated into the region of each shingle of its window; one whose
+window has too few shared shingles is linked with nothing and leaves before any text moves, and so
+do, afterwards, those with too many shingles that no other one of those that met has.
 
 Regions are then joined recursively. The pivot of a region is its document with the largest share
 of shingles that others have; each document of the region is compared with it on full sets. What
@@ -55,21 +56,28 @@ class Reach:
         """The largest symmetric difference of linked sets of `total` shingles together."""
         return (self.den - self.num) * total // (self.den + self.num)
 
+    def window(self, size):
+        """How many first shingles of a set hold the first one that it shares with a partner."""
+        return size + 1 + (-self.num * size) // self.den
+
+    def common(self, size):
+        """How many shared shingles the longer windows of linked sets of at least `size` shingles have."""
+        return np.maximum(1, self.window(size) // 4)
+
 
 def cells(doc: np.ndarray, value: np.ndarray, n_docs: int, reach: Reach, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text number, cell) for sets given as sorted (text number, shingle): the first shingles of each.
 
     The order of shingles is by whether their counter is common, then by value. A set of n
-    shares at least ceil(num * n / den) with each partner, so all but one less of its shingles
-    hold the first shared one, on both sides.
+    shares at least ceil(num * n / den) with each partner, so the first shared shingle is among
+    the first n + 1 - ceil(num * n / den) of both, and each one more holds one more shared one.
     """
     sizes = np.bincount(doc, minlength=n_docs)
     starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     often = common[(value & np.uint64(SKETCH - 1)).astype(np.int64)]
     order = np.lexsort((often, doc))  # stable: values stay sorted
     doc, value = doc[order], value[order]
-    window = sizes + 1 + (-reach.num * sizes) // reach.den
-    chosen = np.arange(len(doc)) - starts[doc] < window[doc]
+    chosen = np.arange(len(doc)) - starts[doc] < (reach.window(sizes) + reach.common(sizes) - 1)[doc]
     return doc[chosen], value[chosen]
 
 
@@ -291,28 +299,29 @@ def _rooted(docs: DataFrame, k: int, num: int, den: int) -> tuple[DataFrame, Dat
     counts = np.zeros(SKETCH, np.int64)
     counts[sketch.column("at").to_numpy()] = sketch.column("n").to_numpy()
     common = spark.sparkContext.broadcast(counts > max(64, COMMON * counts.mean()))
-    cell_schema = "cell long, id long"
+    cell_schema = "cell long, id long, least long"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = set()
         for batch in batches:
             for i, j, data, offsets in textkit.text_chunks(batch.column(0)):
                 doc, value = textkit.shingles(data, offsets, k)
-                _, names = set_ids(doc, value, j - i)
+                sizes, names = set_ids(doc, value, j - i)
                 fresh = np.array([not (x in known or known.add(x)) for x in names.tolist()], bool)
                 which, cell = cells(doc, value, j - i, reach, common.value)
                 own = fresh[which]
-                yield textkit.batch(cell_schema, cell[own].view(np.int64), names[which[own]])
+                least = reach.common(-(-num * sizes // den))  # of its smallest partner
+                yield textkit.batch(cell_schema, cell[own].view(np.int64), names[which[own]], least[which[own]])
 
-    rows = freeze(docs.select("text").mapInArrow(cut, cell_schema))
+    rows = docs.select("text").mapInArrow(cut, cell_schema)
     several = rows.groupBy("cell").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
     members = freeze(rows.join(several.select("cell"), "cell").distinct())
-    wanted = freeze(members.select("id").distinct())
+    wanted = freeze(members.groupBy("id").agg(F.count("*").alias("n"), F.max("least").alias("least")).where("n >= least").select("id"))
     texts = freeze(_texts_of(docs, wanted, k, reach))
     # what a set shares with others bounds its intersections
     met = texts.select("id", "size").join(_alone(texts, k), "id", "left").withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0)))
     met = freeze(met.where(den * F.col("shared") >= num * F.col("size")).select("id", "size", "shared"))
-    members = members.join(met.select("id", (F.col("shared") / F.col("size")).alias("share")), "id")
+    members = members.drop("least").join(met.select("id", (F.col("shared") / F.col("size")).alias("share")), "id")
     # cells with the same documents are one region
     alike = members.groupBy("cell").agg(
         F.count("*").alias("n"), F.sum(F.col("id").cast("decimal(38,0)")).alias("s"), F.bit_xor("id").alias("x"), F.max_by("id", F.struct("share", "id")).alias("pivot")
