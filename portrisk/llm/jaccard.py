@@ -29,6 +29,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from portrisk.llm import textkit
 from portrisk.llm.graph import components
+from portrisk.llm.names import private
 from portrisk.session import freeze
 
 K, NUMERATOR, DENOMINATOR = 4, 85, 100
@@ -376,21 +377,22 @@ def keep_first(docs: DataFrame, k: int = K, num: int = NUMERATOR, den: int = DEN
 
     Rows without an id stand behind those with one: a component in which no row has an id keeps
     one of its rows, any other none of those without. Null, empty and blank texts without an id
-    are no copies of each other; all stay.
+    are no copies of each other; all stay. Columns stay as they are, whatever their names.
     """
+    key, size, name = private(docs, "id", "size", "set")
     base, by_root = _rooted(docs, k, num, den)
     first = freeze(by_root.groupBy("root").agg(F.min("low").alias("low"), F.min("id").alias("id")))
     blank = base.where((F.col("n_shingles") == 0) & F.col("doc_id").isNotNull()).select("doc_id")
-    kept = first.where("low is not null").select(F.col("low").alias("doc_id")).unionByName(blank).select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(kept, docs["doc_id"] == F.col("_id"), "left_semi")
-    nameless = _with_sets(docs.where("doc_id is null"), k)
-    alone = first.where("low is null").select(F.col("id").alias("_set"))
-    one = nameless.where("_size > 0").join(alone, "_set", "left_semi").dropDuplicates(["_set"])
-    return named.unionByName(one.select(*docs.columns)).unionByName(nameless.where("_size = 0").select(*docs.columns))
+    kept = first.where("low is not null").select(F.col("low").alias("doc_id")).unionByName(blank).select(F.col("doc_id").alias(key)).distinct()
+    named = docs.join(kept, docs["doc_id"] == F.col(key), "left_semi")
+    nameless = _with_sets(docs.where("doc_id is null"), k, size, name)
+    alone = first.where("low is null").select(F.col("id").alias(name))
+    one = nameless.where(F.col(size) > 0).join(alone, name, "left_semi").dropDuplicates([name])
+    return named.unionByName(one.select(*docs.columns)).unionByName(nameless.where(F.col(size) == 0).select(*docs.columns))
 
 
-def _with_sets(docs: DataFrame, k: int) -> DataFrame:
-    """The rows of `docs` with the size and the id of their set of shingles, _size and _set."""
+def _with_sets(docs: DataFrame, k: int, size: str, name: str) -> DataFrame:
+    """The rows of `docs` with the size and the id of their set of shingles under the names given."""
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,6 +401,6 @@ def _with_sets(docs: DataFrame, k: int) -> DataFrame:
                 doc, value = textkit.shingles(data, offsets, k)
                 sizes, names = set_ids(doc, value, j - i)
                 columns = [*batch.slice(i, j - i).columns, pa.array(sizes, pa.int64()), pa.array(names, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "_size", "_set"])
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, size, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_size", LongType()), StructField("_set", LongType())]))
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(size, LongType()), StructField(name, LongType())]))

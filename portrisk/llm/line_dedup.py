@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from portrisk.llm.mixing import SPACE
+from portrisk.llm.names import private
 from portrisk.session import freeze
 
 MIN_WORDS = 20
@@ -104,19 +105,22 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return found.select(*KEY, F.explode("run").alias("line")).distinct()
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, counts: tuple[str, str] = ("n_lines", "n_deleted")) -> DataFrame:
     """All rows of `docs` with `text` rid of repeated runs, and n_lines, n_deleted (of the row's text).
 
-    Other columns stay as they are, whatever their names. A null text stays null and has no
+    Other columns stay as they are, whatever their names; columns that bear the names of the two
+    `counts` are replaced by them. A null text stays null and has no
     lines; an empty text has one empty line; rows without an id stay whole; equal rows are one
     document and lose the same lines.
     """
-    gone = repeated_lines(docs, min_words).groupBy(*KEY).agg(F.collect_set("line").alias("_gone")).select(
-        F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "_gone"
+    key, version, lost = private(docs, "id", "version", "lost")
+    gone = repeated_lines(docs, min_words).groupBy(*KEY).agg(F.collect_set("line").alias(lost)).select(
+        F.col("doc_id").alias(key), F.col("version").alias(version), lost
     )
-    out = docs.join(gone, (docs["doc_id"] == F.col("_id")) & (_version(docs["text"]) == F.col("_version")), "left")
-    hit = F.col("_gone").isNotNull()
-    kept = F.array_join(F.filter(F.transform(_lines(docs["text"]), lambda x, i: F.when(~F.array_contains("_gone", i), x)), lambda x: x.isNotNull()), "\n")
-    columns = [F.when(hit, kept).otherwise(docs[c]).alias(c) if c == "text" else docs[c] for c in docs.columns]
+    out = docs.join(gone, (docs["doc_id"] == F.col(key)) & (_version(docs["text"]) == F.col(version)), "left")
+    hit = F.col(lost).isNotNull()
+    kept = F.array_join(F.filter(F.transform(_lines(docs["text"]), lambda x, i: F.when(~F.array_contains(lost, i), x)), lambda x: x.isNotNull()), "\n")
+    others = [c for c in docs.columns if c.lower() not in {x.lower() for x in counts}]
+    columns = [F.when(hit, kept).otherwise(docs[c]).alias(c) if c == "text" else docs[c] for c in others]
     count = F.when(docs["text"].isNull(), 0).otherwise(F.size(_lines(docs["text"])))
-    return out.select(*columns, count.cast("long").alias("n_lines"), F.when(hit, F.size("_gone")).otherwise(0).cast("long").alias("n_deleted"))
+    return out.select(*columns, count.cast("long").alias(counts[0]), F.when(hit, F.size(lost)).otherwise(0).cast("long").alias(counts[1]))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from portrisk.llm.names import private
 from portrisk.session import freeze
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -118,12 +119,11 @@ def mix(docs: DataFrame, weight: Column | None = None, cap: int = MAX_REPEATS, s
 
 
 def take(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that the mix takes, each as often as it takes them, with their columns."""
-    names = docs.columns
-    chosen = mix(docs, **options).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"))
-    chosen = chosen.groupBy("_id").agg(F.max("_copies").alias("_copies"))
-    out = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_id"]))
-    return out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*[out[c] for c in names])
+    """The rows of `docs` that the mix takes, each as often as it takes them, with their columns, whatever their names."""
+    key, times, turn = private(docs, "id", "copies", "turn")
+    chosen = mix(docs, **options).where("copies > 0").groupBy(F.col("doc_id").alias(key)).agg(F.max("copies").alias(times))
+    out = docs.join(chosen, docs["doc_id"].eqNullSafe(F.col(key)))
+    return out.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)
 
 
 def case_weight(weights: dict[str, float], default: float) -> Column:

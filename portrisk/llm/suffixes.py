@@ -288,7 +288,7 @@ def _strings(docs: DataFrame, filters, buckets: Buckets, shards: int, length: in
                 x = left[a:b]
                 rows.append((
                     int(shard[a]), bool(shard[a] & 1), (value[x] & _LOW).astype(np.uint32).tobytes(), doc[x].tobytes(), _narrow(start[x]),
-                    sizes[x].astype(np.uint8).tobytes(), text[_spread(at[x], sizes[x])].tobytes(),
+                    sizes[x].astype(_size_kind(length)).tobytes(), text[_spread(at[x], sizes[x])].tobytes(),
                 ))
             return textkit.batch(OPEN, *(list(c) for c in zip(*rows, strict=True)))
 
@@ -313,6 +313,11 @@ def _strings(docs: DataFrame, filters, buckets: Buckets, shards: int, length: in
     return docs.mapInArrow(run, OPEN)
 
 
+def _size_kind(length: int):
+    """The type that holds the size of any string around an anchor, which is below twice `length`."""
+    return np.uint8 if 2 * length <= 256 else np.uint32
+
+
 def _narrow(x: np.ndarray) -> bytes:
     return x.astype(np.uint32 if x.max(initial=0) < 1 << 32 else np.int64).tobytes()
 
@@ -335,7 +340,7 @@ def _resolve(length: int):
         salted = bool(group["salted"].iloc[0])
         start = np.concatenate([_wide(x, len(d) // 8) for x, d in zip(group["start"], group["doc"], strict=True)])
         # half of an anchor's hash: within a shard more never parts equal anchors
-        value, size = _unpacked(group, "hash", np.uint32), _unpacked(group, "size", np.uint8).astype(np.int64)
+        value, size = _unpacked(group, "hash", np.uint32), _unpacked(group, "size", _size_kind(length)).astype(np.int64)
         text = _unpacked(group, "text", np.uint8)
         at = np.concatenate([[0], np.cumsum(size)])
         sums = textkit.prefix_sums(textkit.BYTE_VALUES[text])
