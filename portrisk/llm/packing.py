@@ -8,10 +8,11 @@ cutting a piece. Work is done partition by partition without a shuffle.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,59 +22,152 @@ from pyspark.sql import DataFrame
 from portrisk.llm import textkit
 
 TOKENS, END_ID = 2048, 1
-SEGMENTS = 256
 POOL = 512
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
+SLICE = 1 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, loss_tokens long, sequence_id long, offset long"
 _state: dict = {}
 
+# fixed values: letters and digits among ASCII and the Latin letters from U+00C0 to U+00FF, none of which composes with another
+PLAIN_CLASSES = {r"\p{L}": r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", r"\p{N}": "0-9"}
+PLAIN = r"\x21-\x7e\xc0-\xff"
 
-# fixed values: how the tokenizer file cuts lower-case ASCII text, and what is left to the file itself
-ASCII_PIECES = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[a-z]+|[0-9]|[^\x00-\x20a-z0-9]+")
-NOT_PLAIN = re.compile(rb"[^\x09-\x0d\x20-\x7e]|<\|")
+
+def _rules(path: str) -> tuple[re.Pattern, re.Pattern, str] | None:
+    """How the file cuts plain words, what makes a word other than plain, and the mark of a piece's last id.
+
+    None if the file does not say that case and white space are dropped and that text is cut
+    at matches of one pattern without looking around; its texts are then encoded whole.
+    """
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    steps = {x["type"]: x for x in (told["normalizer"] or {}).get("normalizers", [])}
+    cuts = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+    split = cuts[0] if [x["type"] for x in cuts] == ["Split", "ByteLevel"] else {}
+    pattern = split.get("pattern", {}).get("Regex", "")
+    for name, plain in PLAIN_CLASSES.items():
+        pattern = pattern.replace(name, plain)
+    special = told["added_tokens"]
+    known = (
+        set(steps) == {"NFC", "Replace", "Lowercase"} and steps["Replace"]["pattern"] == {"Regex": r"\s+"} and steps["Replace"]["content"] == " "
+        and pattern and "\\p" not in pattern and "(?" not in pattern and split["invert"] and split["behavior"] == "Removed"
+        and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"] and told["model"].get("end_of_word_suffix") and not told["post_processor"]
+        and not any(x["normalized"] or x["lstrip"] or x["rstrip"] or x["single_word"] or x["content"].split() != [x["content"]] for x in special)
+    )
+    if not known:
+        return None
+    odd = "|".join([f"[^{PLAIN}]", *(re.escape(x["content"]) for x in special)])
+    return re.compile(pattern), re.compile(odd), told["model"]["end_of_word_suffix"]
+
+
+def _slices(text: bytes) -> Iterator[bytes]:
+    """The text in slices of about SLICE bytes, cut at ASCII white space only."""
+    start = 0
+    while len(text) - start > SLICE:
+        space = _SPACE.search(text, start + SLICE)
+        if not space:
+            break
+        yield text[start : space.start()]
+        start = space.start()
+    yield text[start:] if start else text
+
+
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
+
+
+class Recent:
+    """Values by key of what was asked for lately: half of `most` entries, and as many that were before them."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.now, self.old = most, {}, {}
+
+    def missing(self, wanted: set) -> list:
+        """What the caller must add to `now`, which then holds all that is wanted."""
+        fresh = wanted.difference(self.now)
+        if len(self.now) + len(fresh) > self.most // 2:
+            self.old, self.now, fresh = self.now, {}, wanted
+        old = self.old
+        self.now.update([(x, old[x]) for x in fresh if x in old])
+        return [x for x in fresh if x not in old]
 
 
 class WordTokenizer:
-    """Ids by a tokenizer that drops white space and case, piece by piece.
+    """Ids by a tokenizer that drops white space and case, word by word.
 
-    Such a tokenizer never joins what ASCII white space separates, nor two of its own pieces.
-    So each distinct piece of a plain word is encoded once, and each distinct other word (not
-    ASCII, control characters, a possible special token) as a whole. A full cache is emptied,
-    which costs time but changes nothing.
+    Such a tokenizer never joins what ASCII white space separates, nor two of its own pieces. So
+    each distinct word is looked up, the pieces of new plain words are encoded once, many at a
+    time, and other new words (other letters, control characters, special tokens) as a whole.
+    A cache that is full forgets what was not asked for lately, which changes no result.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker for each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def pieces(self, text: bytes) -> list[bytes]:
-        if not NOT_PLAIN.search(text):
-            return ASCII_PIECES.findall(text.lower())
-        parts: list[bytes] = []
-        for word in text.split():
-            if NOT_PLAIN.search(word):
-                parts.append(word)
+        self.rules = _rules(path)
+        self.words, self.pieces = Recent(CACHE_WORDS), Recent(CACHE_WORDS)
+        if self.rules:
+            vocabulary = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for x, i in vocabulary.items() if x.endswith(self.rules[2])]] = True
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in found]
+
+    def _learn_pieces(self, fresh: list[str]) -> None:
+        """Many pieces are encoded as one text; each ends with an id that bears the mark."""
+        for at in range(0, len(fresh), 4096):
+            part = fresh[at : at + 4096]
+            raw = self._ids([" ".join(part)])[0]
+            ends = (4 * (np.flatnonzero(self.last[np.frombuffer(raw, "<u4")]) + 1)).tolist()
+            if len(ends) == len(part):
+                self.pieces.now.update([(x, raw[a:b]) for x, a, b in zip(part, [0, *ends], ends)])
             else:
-                parts += ASCII_PIECES.findall(word.lower())
-        return parts
+                self.pieces.now.update(zip(part, self._ids(part), strict=True))
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        cut, odd, _ = self.rules
+        texts = [x.decode("utf-8", "replace") for x in fresh]
+        parts = [None if odd.search(x) else cut.findall(x.lower()) for x in texts]
+        self._learn_pieces(self.pieces.missing({x for p in parts if p is not None for x in p}))
+        known = self.pieces.now.__getitem__
+        self.words.now.update([(x, b"".join(map(known, p))) for x, p in zip(fresh, parts, strict=True) if p is not None])
+        whole = [i for i, p in enumerate(parts) if p is None]
+        self.words.now.update(zip((fresh[i] for i in whole), self._ids([texts[i] for i in whole]), strict=True))
+
+    def encode_all(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each UTF-8 text."""
+        if not self.rules:
+            return [np.frombuffer(x, "<u4") for x in self._ids([t.decode("utf-8", "replace") for t in texts])]
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, size = [], 0
+
+        def flush() -> None:
+            fresh = self.words.missing(set().union(*(x for _, x in held)))
+            if fresh:
+                self._learn(fresh)
+            known = self.words.now.__getitem__
+            for i, words in held:
+                out[i].append(b"".join(map(known, words)))
+
+        for i, text in enumerate(texts):
+            for part in _slices(text):
+                held.append((i, part.split()))
+                size += len(part)
+                if size >= SLICE:
+                    flush()
+                    held, size = [], 0
+        flush()
+        return [np.frombuffer(b"".join(x), "<u4") for x in out]
 
     def encode(self, text: bytes) -> np.ndarray:
-        parts = self.pieces(text)
-        known = self.known
-        fresh = [w for w in set(parts) if w not in known]
-        if len(known) + len(fresh) > CACHE_WORDS:
-            known.clear()
-            fresh = list(set(parts))
-        if fresh:
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
-            known.update((w, tuple(e.ids)) for w, e in zip(fresh, found, strict=True))
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, parts)), np.uint32)
+        return self.encode_all([text])[0]
 
 
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer and cache for each Python worker."""
+    """One tokenizer and its caches for each Python worker."""
     if path not in _state:
         _state[path] = WordTokenizer(path)
     return _state[path]
@@ -83,12 +177,18 @@ def _loss(start: int, length: int, prompt: int) -> int:
     return min(length, max(0, start + length - prompt))
 
 
+def _most(start: int, prompt: int, tokens: float, loss: float) -> int:
+    """How many ids from `start` on reach a limit of tokens or of those that bear loss."""
+    return int(min(tokens, max(0, prompt - start) + loss))
+
+
 class Packer:
-    """Packs pieces as they come; holds at most POOL waiting pieces."""
+    """Packs pieces as they come; holds POOL waiting pieces, or as many more as two sequences need."""
 
     def __init__(self, tokens: int, segments: int, loss: int, first_id: int) -> None:
         self.capacity = np.array([tokens, segments, loss], float)
         self.next_id, self.waiting, self.rows = first_id, [], []
+        self.held = 0  # tokens that wait
 
     def _emit(self, content: list[tuple]) -> None:
         offset = 0
@@ -100,41 +200,54 @@ class Packer:
 
     def add(self, doc: int, ids: np.ndarray, prompt: int = 0) -> None:
         """`prompt`: how many of the first ids bear no loss."""
-        whole, start = int(min(self.capacity[0], self.capacity[2])), 0
-        while len(ids) - start >= whole:
+        start = 0
+        while len(ids) - start >= (whole := _most(start, prompt, self.capacity[0], self.capacity[2])):
             self._emit([(doc, start, ids[start : start + whole], len(ids), prompt)])
             start += whole
         if start < len(ids):
-            self.waiting.append((doc, start, ids[start:], len(ids), prompt))
-        if len(self.waiting) >= POOL:
-            while len(self.waiting) > POOL // 2:
+            self._wait(doc, start, ids[start:], len(ids), prompt)
+            self.held += len(ids) - start
+        if len(self.waiting) >= POOL and self.held >= 2 * self.capacity[0]:
+            while len(self.waiting) > POOL // 2 and self.held >= self.capacity[0]:
                 self._fill()
 
+    def _wait(self, doc: int, start: int, ids: np.ndarray, total: int, prompt: int) -> None:
+        """Demands of a piece are one number: tokens in the high bits, tokens that bear loss in the low ones."""
+        self.waiting.append((doc, start, ids, total, prompt, len(ids) << 32 | _loss(start, len(ids), prompt)))
+
     def _fill(self, room: int | None = None) -> None:
         """Close one sequence of `room` tokens: whole pieces by dot product, then one cut to fit."""
         pool = self.waiting
-        demand = np.array([[len(p[2]), 1, _loss(p[1], len(p[2]), p[4])] for p in pool], float)
+        demand = np.array([p[5] for p in pool], np.int64)
         left = self.capacity.copy()
         left[0] = room or left[0]
+        # pieces of equal demand are one kind
+        queue = np.argsort(demand, kind="stable")
+        told, ahead, number = np.unique(demand[queue], return_index=True, return_counts=True)
+        kinds = np.stack([told >> 32, np.ones_like(told), told & 0xFFFFFFFF], 1).astype(float)
+        weight = kinds / self.capacity
         free, content = np.ones(len(pool), bool), []
         while True:
-            fits = free & (demand <= left).all(axis=1)
+            fits = (number > 0) & (kinds <= left).all(axis=1)
             if not fits.any():
                 break
-            scores = np.where(fits, (demand / self.capacity) @ (left / self.capacity), -1.0)
-            best = int(np.argmax(scores))
-            content.append(pool[best])
-            free[best] = False
-            left -= demand[best]
+            best = int(np.argmax(np.where(fits, weight @ (left / self.capacity), -1.0)))
+            piece = int(queue[ahead[best]])
+            ahead[best] += 1
+            number[best] -= 1
+            content.append(pool[piece][:5])
+            free[piece] = False
+            left -= kinds[best]
         kept = [p for p, f in zip(pool, free, strict=True) if f]
-        gap = int(min(left[0], left[2]))
-        if gap > 0 and left[1] >= 1 and kept:
-            doc, start, ids, total, prompt = kept.pop(0)
-            gap = min(gap, len(ids) - 1)
-            if gap:
+        if kept and left[0] >= 1 and left[1] >= 1:
+            doc, start, ids, total, prompt, _ = kept.pop(0)
+            gap = min(_most(start, prompt, left[0], left[2]), len(ids) - 1)
+            if gap > 0:
                 content.append((doc, start, ids[:gap], total, prompt))
-            kept.append((doc, start + gap, ids[gap:], total, prompt))
+            self.waiting = kept
+            self._wait(doc, start + gap, ids[gap:], total, prompt)
         self.waiting = kept
+        self.held -= sum(len(x[2]) for x in content)
         self._emit(content)
 
     def close(self) -> None:
@@ -152,35 +265,37 @@ class Packer:
 
 
 def pack(
-    docs: DataFrame, encode: Callable[[], Callable[[bytes], np.ndarray]], tokens: int = TOKENS, segments: int = SEGMENTS, loss_tokens: int | None = None,
-    end_id: int = END_ID, prompt: str | None = None,
+    docs: DataFrame, encode: Callable[[], Callable[[list[bytes]], list[np.ndarray]]], tokens: int = TOKENS, segments: int | None = None,
+    loss_tokens: int | None = None, end_id: int = END_ID, prompt: str | None = None,
 ) -> DataFrame:
     """Pack all texts of `docs` (doc_id, text) into sequences; one row for each piece.
 
-    `encode` makes, on the worker, a function from UTF-8 bytes to ids; `end_id` closes each
-    document. Limits: `tokens`, `segments` (pieces) and `loss_tokens` of a sequence; the column
+    `encode` makes, on the worker, a function from UTF-8 texts to their ids; `end_id` closes each
+    document. Limits: `tokens`, `segments` (pieces) and `loss_tokens` of a sequence, the last two
+    no tighter than the first unless given; the column
     `prompt`, if named, holds the text before the response, whose ids bear no loss (null: none). A sequence that is not full holds a power of two of tokens, at
     most a few in each task, so there is no padding; only a binding segment limit leaves any.
     A null or empty text is its end id alone; repeated rows are packed each on their own; no
     rows give no rows. Sequence ids are unique and follow from the partition, so a task that
     runs again gives the same rows.
     """
-    loss_limit = tokens if loss_tokens is None else loss_tokens
+    piece_limit, loss_limit = segments or tokens, tokens if loss_tokens is None else loss_tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids = encode()
-        packer = Packer(tokens, segments, loss_limit, TaskContext.get().partitionId() << 36)
+        packer = Packer(tokens, piece_limit, loss_limit, TaskContext.get().partitionId() << 36)
         end = np.array([end_id], np.uint32)
         for rows in batches:
             ids = rows.column(0).to_pylist()
             data, offsets = textkit.byte_column(rows.column(1))
             raw = data.tobytes()
-            prompts = [to_ids(p.encode()) if p else None for p in rows.column(2).to_pylist()] if prompt else [None] * len(ids)
-            for i, doc in enumerate(ids):
-                head = prompts[i] if prompts[i] is not None else end[:0]
-                packer.add(doc, np.concatenate([head, to_ids(raw[offsets[i] : offsets[i + 1]]), end]), len(head))
-                if len(packer.rows) >= 4096:
-                    yield packer.drain()
+            for a, b in textkit.chunks(offsets):
+                heads = to_ids([(p or "").encode() for p in rows.column(2).slice(a, b - a).to_pylist()]) if prompt else [end[:0]] * (b - a)
+                bodies = to_ids([raw[offsets[i] : offsets[i + 1]] for i in range(a, b)])
+                for doc, head, body in zip(ids[a:b], heads, bodies, strict=True):
+                    packer.add(doc, np.concatenate([head, body, end]), len(head))
+                    if len(packer.rows) >= 4096:
+                        yield packer.drain()
         packer.close()
         if (rest := packer.drain()) is not None:
             yield rest
@@ -189,5 +304,5 @@ def pack(
 
 
 def pack_words(docs: DataFrame, path: str, **limits) -> DataFrame:
-    """`pack` with a white-space-dropping tokenizer file, read on each worker."""
-    return pack(docs, lambda: word_tokenizer(path).encode, **limits)
+    """`pack` with a tokenizer file, read on each worker; it is fastest if the file drops white space and case."""
+    return pack(docs, lambda: word_tokenizer(path).encode_all, **limits)
