@@ -13,7 +13,7 @@ from portrisk.functions.geo import with_spherical_km
 from portrisk.functions.parse import first_url, root_code
 from portrisk.functions.themes import fill_zero
 from portrisk.operators.filters import within_radius
-from portrisk.session import broadcast_if_small
+from portrisk.session import broadcast_if_small, freeze
 
 KM_PER_DEGREE = math.pi * P.EARTH_RADIUS_KM / 180
 
@@ -93,20 +93,30 @@ def _cells(km: float) -> tuple[int, float]:
     return count, 360 / count
 
 
-def ports_within_radius(
-    events: DataFrame,
+def _salted_join(left: DataFrame, right: DataFrame, on: Column, salt: int, broadcast_rows: int | None) -> DataFrame:
+    """Inner join with a broadcast right side; a long one is copied per salt and meets the left rows of that ``_salt``."""
+    small = broadcast_if_small(right, *([broadcast_rows] if broadcast_rows is not None else []))
+    if small is not right:
+        return left.join(small, on)
+    copies = right.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    return left.join(copies, on & (F.col("_salt") == F.col("_copy"))).drop("_copy")
+
+
+def ports_near_places(
+    places: DataFrame,
     ports: DataFrame,
     km: float = P.PORT_RADIUS_KM,
     measure: Callable[..., DataFrame] = with_spherical_km,
     salt: int = 16,
     broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """Events and the ports within ``km`` of them, by an equi-join on grid cells.
+    """Places and the port positions within ``km`` of them, by an equi-join on grid cells.
 
-    Each port is listed in every cell its circle can touch: one row of cells up
+    ``places`` has one row per position (ActionGeo_Lat, ActionGeo_Long). Each position
+    of a port, taken once, is listed in every cell its circle can touch: one row of cells up
     and down, and as many left and right as the circle spans at that latitude,
-    around the antimeridian if need be. An event lies in one cell, so a pair is
-    found once; the distance then decides. Should the port list be too long to
+    around the antimeridian if need be. A place lies in one cell, so a pair is
+    found once; the distance then decides. Should the list be too long to
     broadcast, both sides shuffle on cell and salt, so a crowded cell is spread
     over ``salt`` tasks.
     """
@@ -128,25 +138,79 @@ def ports_within_radius(
     cols = F.transform(F.sequence(first_col, last_col), lambda c: F.pmod(c, F.lit(around)))
     listed = (
         ports.where(lat.between(-90, 90) & lon.between(-180, 180))
-        .withColumn("_row", F.explode(rows))
-        .withColumn("_col", F.explode(F.array_distinct(cols)))
+        .select("LATITUDE_CORRECTED", "LONGITUDE_CORRECTED")
+        .distinct()
+        .withColumn("_prow", F.explode(rows))
+        .withColumn("_pcol", F.explode(F.array_distinct(cols)))
     )
-    placed = events.withColumns(
+    placed = places.withColumns(
         {
             "_row": F.floor(F.col("ActionGeo_Lat") / width).cast("int"),
             "_col": F.pmod(
                 F.floor(F.col("ActionGeo_Long") / width).cast("int"), F.lit(around)
             ),
+            "_salt": F.pmod(F.xxhash64("ActionGeo_Lat", "ActionGeo_Long"), F.lit(salt)).cast("int"),
         }
     )
-    keys = ["_row", "_col"]
-    small = broadcast_if_small(listed, *([broadcast_rows] if broadcast_rows is not None else []))
-    if small is listed:
-        small = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        # by position, not by content: copies of one event must spread too
-        spread = F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int")
-        placed = placed.withColumn("_salt", spread)
-        keys = [*keys, "_salt"]
-    paired = placed.join(small, keys).drop(*keys)
+    same_cell = (F.col("_row") == F.col("_prow")) & (F.col("_col") == F.col("_pcol"))
+    paired = _salted_join(placed, listed, same_cell, salt, broadcast_rows)
+    paired = paired.drop("_row", "_col", "_prow", "_pcol", "_salt")
     near = measure(paired, F.col("ActionGeo_Lat"), F.col("ActionGeo_Long"), lat, lon)
     return within_radius(near, F.col("distance_in_kms"), km)
+
+
+_EVENT_PLACE, _PORT_PLACE = ("ActionGeo_Lat", "ActionGeo_Long"), ("LATITUDE_CORRECTED", "LONGITUDE_CORRECTED")
+
+
+def _same_place(columns: Sequence[str], others: Sequence[str]) -> Column:
+    return (F.col(columns[0]) == F.col(others[0])) & (F.col(columns[1]) == F.col(others[1]))
+
+
+def ports_within_radius(
+    events: DataFrame,
+    ports: DataFrame,
+    km: float = P.PORT_RADIUS_KM,
+    measure: Callable[..., DataFrame] = with_spherical_km,
+    salt: int = 16,
+    broadcast_rows: int | None = None,
+) -> DataFrame:
+    """Events and the ports within ``km`` of them.
+
+    Events and ports share positions, so distances are measured once per pair of positions and
+    stored; events and ports are then joined to their positions. What is left to do per pair is to
+    write it. A list that is too long to broadcast is joined by position and salt, so
+    the events of a crowded place are spread over ``salt`` tasks.
+    """
+    places = events.select(*_EVENT_PLACE).distinct()
+    near = freeze(ports_near_places(places, ports, km, measure, salt, broadcast_rows)).select(
+        *[F.col(c).alias(f"_{c}") for c in (*_EVENT_PLACE, *_PORT_PLACE)], F.col("distance_in_kms").alias("_km")
+    )
+    # by position in the table, not by content: copies of one event must spread too
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(salt)).cast("int")
+    at_place, at_port = ([f"_{c}" for c in place] for place in (_EVENT_PLACE, _PORT_PLACE))
+    found = _salted_join(
+        events.withColumn("_salt", spread), near, _same_place(_EVENT_PLACE, at_place), salt, broadcast_rows
+    )
+    paired = _salted_join(found, ports, _same_place(at_port, _PORT_PLACE), salt, broadcast_rows)
+    return paired.withColumn("distance_in_kms", F.col("_km")).drop(*at_place, *at_port, "_km", "_salt")
+
+
+def events_per_port(
+    events: DataFrame,
+    ports: DataFrame,
+    km: float = P.PORT_RADIUS_KM,
+    measure: Callable[..., DataFrame] = with_spherical_km,
+    salt: int = 16,
+    broadcast_rows: int | None = None,
+) -> DataFrame:
+    """Number of events within ``km`` of each port that has any (by name), and the nearest's distance.
+
+    Events are counted by position before they meet the ports, and summed by position of the port
+    before its ports are looked up, so no pair of an event and a port is ever built.
+    """
+    counted = events.groupBy(*_EVENT_PLACE).agg(F.count(F.lit(1)).alias("_n"))
+    near = ports_near_places(counted, ports, km, measure, salt, broadcast_rows)
+    at_place = near.groupBy(*_PORT_PLACE).agg(F.sum("_n").alias("_n"), F.min("distance_in_kms").alias("_km"))
+    return ports.join(at_place, list(_PORT_PLACE)).groupBy("PORT").agg(
+        F.sum("_n").alias("events"), F.min("_km").alias("nearest_km")
+    )

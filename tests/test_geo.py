@@ -92,3 +92,34 @@ def test_sentinel_ports_match_nothing(spark):
     e = spark.createDataFrame([(0, 10.0, 20.0)], "i int, ActionGeo_Lat double, ActionGeo_Long double")
     p = spark.createDataFrame([(0, 999.999, 999.999)], "j int, LATITUDE_CORRECTED double, LONGITUDE_CORRECTED double")
     assert joins.ports_within_radius(e, p).count() == 0
+
+
+def _crowded(spark):
+    e = spark.range(400).selectExpr("cast(id as int) as i", "10.0D as ActionGeo_Lat", "20.0D + id % 2 as ActionGeo_Long")
+    p = spark.range(30).selectExpr("concat('p', id % 20) as PORT", "10.1D as LATITUDE_CORRECTED", "20.0D as LONGITUDE_CORRECTED")
+    return e, p
+
+
+@pytest.mark.parametrize("rows", [None, 0])
+def test_distances_are_measured_once_per_pair_of_positions(spark, rows):
+    measured = []
+
+    def measure(df, *args):
+        measured.append(df)
+        return geo.with_spherical_km(df, *args)
+
+    e, p = _crowded(spark)
+    near = joins.ports_within_radius(e, p, measure=measure, broadcast_rows=rows)
+    assert near.columns == [*e.columns, *p.columns, "distance_in_kms"]
+    assert near.count() == 200 * 30 and near.select("i", "PORT").distinct().count() == 200 * 20
+    assert [df.count() for df in measured] == [1]
+
+
+def test_events_per_port(spark):
+    """Equal to counting the pairs, which are not built; ports of one name count together."""
+    e, p = _crowded(spark)
+    p = p.unionByName(spark.createDataFrame([("p0", 10.0, 21.0), ("far", 50.0, 21.0)], p.schema))
+    pairs = joins.ports_within_radius(e, p).groupBy("PORT").agg(F.count("*").alias("events"), F.min("distance_in_kms").alias("nearest_km"))
+    got = joins.events_per_port(e, p)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pairs.collect()))
+    assert {r.PORT: r.events for r in got.collect()}["p0"] == 600
