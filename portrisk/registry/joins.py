@@ -155,10 +155,8 @@ def _(spark, sf):
 )
 def _(spark, sf):
     ports = geo.clean_port_coordinates(X.ports(spark, sf))
-    near = joins.ports_within_radius(X.geo_events(spark, sf), ports)
-    return near.groupBy("PORT").agg(
-        F.count(F.lit(1)).alias("events"), F.round(F.min("distance_in_kms"), 3).alias("nearest_km")
-    )
+    counts = joins.events_per_port(X.geo_events(spark, sf), ports)
+    return counts.withColumn("nearest_km", F.round("nearest_km", 3))
 
 
 @query(
