@@ -26,7 +26,7 @@ _NOT_WORD = r"[ \t\r\n.,;:!?\"'()\[\]{}<>|&%$#*/=+_-]+"
 
 _OPEN, _CLOSE = "\u0001", "\u0002"
 # words above this part of all tokens are at most as many, and their list is broadcast
-HEAVY_SHARE = 1000
+HEAVY_SHARE = 200_000
 
 
 def extract_paragraphs(html: str | Column) -> Column:
@@ -73,14 +73,15 @@ def words(text: str | Column) -> Column:
 
 
 def _with_frequency(tokens: DataFrame) -> DataFrame:
-    """Add the corpus frequency of the word to every token row (word, n).
+    """Add the corpus frequency of the word to every token row (word).
 
-    Words follow a steep law, so the rows are joined in two parts at every size: words above one
-    thousandth of all tokens are at most a thousand, so they are broadcast and their rows never
-    meet in a task; the rest, which is shuffled by word, holds no heavy word.
+    The list of words is broadcast, or the heavy ones if it is too long: tokens then stay where their text
+    is. The rest, which is shuffled by word, holds no heavy word, so no word's rows fill a task.
     """
-    frequency = freeze(tokens.groupBy("word").agg(F.sum("n").alias("frequency")))
-    every = frequency.agg(F.sum("frequency")).first()[0] or 0
+    frequency = freeze(tokens.groupBy("word").agg(F.count(F.lit(1)).alias("frequency")))
+    distinct, every = frequency.agg(F.count(F.lit(1)), F.sum("frequency")).first()
+    if distinct <= HEAVY_SHARE:
+        return tokens.join(F.broadcast(frequency), "word")
     is_heavy = F.col("frequency") * HEAVY_SHARE > every
     heavy = F.broadcast(frequency.where(is_heavy))
     rest = tokens.join(heavy.select("word"), "word", "left_anti")
@@ -90,14 +91,14 @@ def _with_frequency(tokens: DataFrame) -> DataFrame:
 def sentence_scores(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Mean corpus frequency of the words of every sentence that has words.
 
-    Texts are split once: what is joined is the stored number of each word in each sentence.
+    Texts are split again for every use, which is cheaper than to store or shuffle their words: what
+    is shuffled is a sum per sentence and task, and the few words that are not broadcast.
     """
     tokens = df.select(
         key, F.posexplode(split_sentences(text)).alias("position", "sentence")
     ).select(key, "position", F.explode(words("sentence")).alias("word"))
-    counted = freeze(tokens.groupBy(key, "position", "word").agg(F.count("*").alias("n")))
-    total, n = F.sum(F.col("frequency") * F.col("n")), F.sum("n")
-    return _with_frequency(counted).groupBy(key, "position").agg((total / n).alias("score"))
+    score = F.sum("frequency") / F.count(F.lit(1))
+    return _with_frequency(tokens).groupBy(key, "position").agg(score.alias("score"))
 
 
 def extractive_summary(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from portrisk.functions import text
 from portrisk.plans.detail import news_detail_report
 from portrisk.plans.report import build_silver
+from portrisk.session import freeze
 from tests.conftest import plan_of
 from tests.test_parse import news
 
@@ -72,6 +73,16 @@ def test_summary_equals_brute_force(spark, monkeypatch, share):
     assert got == brute_summary(2)
 
 
+def test_words_of_texts_stay_where_they_are(spark, monkeypatch):
+    """Only the list of words is stored, and one row per sentence and task is shuffled."""
+    stored = []
+    monkeypatch.setattr(text, "freeze", lambda df: stored.append(df.columns) or freeze(df))
+    df = spark.createDataFrame(DOCS, "doc_id int, text string")
+    plan = plan_of(text.sentence_scores(df))
+    assert stored == [["word", "frequency"]]
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+
+
 def _silver(spark):
     rows = [
         {"TONE": f"-{i}.0,1,{i}.0,4", "CAMEOEVENTIDS": str(i), "SOURCEURLS": f"u{i}<UDIV>other", "DATE": 20240101 + i % 2,
