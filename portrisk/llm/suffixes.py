@@ -34,7 +34,10 @@ _LOW = np.uint64(0xFFFFFFFF)
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int = GRAM):
-    """(first start, count, anchor hash, text number, sums): runs of strings that share an anchor."""
+    """(first start, count, anchor hash, text number, sums): runs of strings that share an anchor.
+
+    Anchors are the least of many hashes, so they are mixed once more; parts of the hash space then hold like numbers.
+    """
     n, none = len(data), np.zeros(0, np.int64)
     sums = textkit.prefix_sums(textkit.BYTE_VALUES[data])
     if n < length:
@@ -62,7 +65,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int
     head = np.flatnonzero(fresh[starts])
     first = starts[head]
     count = np.diff(np.append(head, len(starts)))
-    return first, count, gram[at[first]], np.searchsorted(offsets[1:], first, side="right"), sums
+    return first, count, textkit.mix(gram[at[first]]), np.searchsorted(offsets[1:], first, side="right"), sums
 
 
 class Buckets:
@@ -275,7 +278,7 @@ def _strings(docs: DataFrame, filters, buckets: Buckets, shards: int, length: in
             rows = []
             if known.any():
                 spans = np.stack([doc[known], start[known], start[known] + sizes[known]])
-                rows.append((-1 - int(key[order[0]] & np.uint64(0xFFFF)), False, b"", *(x.astype(np.int64).tobytes() for x in spans), b""))
+                rows.append((-1 - int(textkit.mix(doc[:1].astype(np.uint64))[0] & np.uint64(0xFFFF)), False, b"", *(x.astype(np.int64).tobytes() for x in spans), b""))
             at = np.concatenate([[0], np.cumsum(sizes)])
             left = np.flatnonzero(~known)
             is_hot = buckets.holds(sieve, 1, value[left])

@@ -122,6 +122,24 @@ def test_suffix_dedup(docs, texts, hot):
         assert got[doc].kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_suffix_anchors_spread_over_parts():
+    rng = np.random.default_rng(7)
+    data = rng.integers(97, 123, 200_000).astype(np.uint8)
+    _, _, value, _, _ = suffixes.anchors(data, np.array([0, len(data)]))
+    buckets = suffixes.Buckets(128 << 20)
+    held = np.bincount(buckets.of(value), minlength=buckets.n)
+    assert buckets.n == 16 and held.max() < 1.5 * held.mean()
+
+
+def test_known_spans_spread_over_shards(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = spark.createDataFrame([(i, text) for i in range(16)], "doc_id long, text string").repartitionByRange(8, "doc_id")
+    buckets = suffixes.Buckets(1 << 20)
+    filters = spark.sparkContext.broadcast(suffixes._seen_in(rows, buckets, 50, 20, 20_000))
+    known = suffixes._strings(rows, filters, buckets, 8, 50, 20).where("shard < 0")
+    assert known.select("shard").distinct().count() == known.count() > 4
+
+
 def test_suffix_array_is_sorted():
     rng = np.random.default_rng(1)
     for _ in range(100):
