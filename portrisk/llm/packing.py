@@ -34,7 +34,7 @@ PLAIN = r"\x21-\x7e\xc0-\xff"
 
 
 def _rules(path: str) -> tuple[re.Pattern, re.Pattern, str] | None:
-    """How the file cuts plain words, what makes a word other than plain, and the mark of a piece's last id.
+    """How the file cuts plain words that stand in lines, what makes a word other than plain, and the mark of a piece's last id.
 
     None if the file does not say that case and white space are dropped and that text is cut
     at matches of one pattern without looking around; its texts are then encoded whole.
@@ -56,8 +56,8 @@ def _rules(path: str) -> tuple[re.Pattern, re.Pattern, str] | None:
     )
     if not known:
         return None
-    odd = "|".join([f"[^{PLAIN}]", *(re.escape(x["content"]) for x in special)])
-    return re.compile(pattern), re.compile(odd), told["model"]["end_of_word_suffix"]
+    odd = "|".join([f"[^\\n{PLAIN}]", *(re.escape(x["content"]) for x in special)])
+    return re.compile(f"{pattern}|\\n"), re.compile(odd), told["model"]["end_of_word_suffix"]
 
 
 def _slices(text: bytes) -> Iterator[bytes]:
@@ -73,6 +73,7 @@ def _slices(text: bytes) -> Iterator[bytes]:
 
 
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
+_BREAK = b"\xff" * 4  # parts the ids of words; no id looks like it, as the last byte of each is zero
 
 
 class Recent:
@@ -102,7 +103,7 @@ class WordTokenizer:
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a worker for each core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.rules = _rules(path)
@@ -111,16 +112,20 @@ class WordTokenizer:
             vocabulary = self.tokenizer.get_vocab()
             self.last = np.zeros(max(vocabulary.values()) + 1, bool)
             self.last[[i for x, i in vocabulary.items() if x.endswith(self.rules[2])]] = True
+            self.merger = Tokenizer.from_file(path)  # for plain pieces, which are normal and cut already
+            self.merger.normalizer = normalizers.Sequence([])
+            bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytes_only])
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _ids(self, texts: list[str], tokenizer=None) -> list[bytes]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def _learn_pieces(self, fresh: list[str]) -> None:
         """Many pieces are encoded as one text; each ends with an id that bears the mark."""
         for at in range(0, len(fresh), 4096):
             part = fresh[at : at + 4096]
-            raw = self._ids([" ".join(part)])[0]
+            raw = self._ids([" ".join(part)], self.merger)[0]
             ends = (4 * (np.flatnonzero(self.last[np.frombuffer(raw, "<u4")]) + 1)).tolist()
             if len(ends) == len(part):
                 self.pieces.now.update([(x, raw[a:b]) for x, a, b in zip(part, [0, *ends], ends)])
@@ -128,14 +133,27 @@ class WordTokenizer:
                 self.pieces.now.update(zip(part, self._ids(part), strict=True))
 
     def _learn(self, fresh: list[bytes]) -> None:
+        """New plain words are cut and looked up together, one in each line."""
         cut, odd, _ = self.rules
-        texts = [x.decode("utf-8", "replace") for x in fresh]
-        parts = [None if odd.search(x) else cut.findall(x.lower()) for x in texts]
-        self._learn_pieces(self.pieces.missing({x for p in parts if p is not None for x in p}))
-        known = self.pieces.now.__getitem__
-        self.words.now.update([(x, b"".join(map(known, p))) for x, p in zip(fresh, parts, strict=True) if p is not None])
-        whole = [i for i, p in enumerate(parts) if p is None]
-        self.words.now.update(zip((fresh[i] for i in whole), self._ids([texts[i] for i in whole]), strict=True))
+        lines = b"\n".join(fresh).decode("utf-8", "replace")
+        if places := [x.start() for x in odd.finditer(lines)]:
+            texts = lines.split("\n")
+            ends = np.cumsum([len(x) + 1 for x in texts])
+            whole = set(np.searchsorted(ends, places, side="right").tolist())
+            self._learn_whole([fresh[i] for i in whole])
+            fresh, texts = ([x for i, x in enumerate(y) if i not in whole] for y in (fresh, texts))
+            lines = "\n".join(texts)
+        parts = cut.findall(lines.lower())
+        if parts.count("\n") != len(fresh) - 1:  # nothing is left, or pieces go on beyond a line
+            self._learn_whole(fresh)
+            return
+        self._learn_pieces(self.pieces.missing(set(parts) - {"\n"}))
+        known = self.pieces.now
+        known["\n"] = _BREAK
+        self.words.now.update(zip(fresh, b"".join(map(known.__getitem__, parts)).split(_BREAK), strict=True))
+
+    def _learn_whole(self, fresh: list[bytes]) -> None:
+        self.words.now.update(zip(fresh, self._ids([x.decode("utf-8", "replace") for x in fresh]), strict=True))
 
     def encode_all(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each UTF-8 text."""

@@ -75,6 +75,34 @@ def test_a_pattern_is_read_from_the_file(tmp_path):
         assert other.rules and other.encode(text.encode()).tolist() == other.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+class Counted:
+    def __init__(self, pattern):
+        self.pattern, self.calls = pattern, 0
+
+    def findall(self, text):
+        self.calls += 1
+        return self.pattern.findall(text)
+
+
+def test_new_words_are_cut_together():
+    words = packing.WordTokenizer(tokenizer_path())
+    cut = Counted(words.rules[0])
+    words.rules = (cut, *words.rules[1:])
+    text = " ".join(f"word{i}'s,Éa%%" + "本" * (i % 50 == 0) + "<|endoftext|>" * (i % 70 == 0) for i in range(3000))
+    assert words.encode(text.encode()).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert words.encode("本 \u1234".encode()).tolist() == words.tokenizer.encode("本 \u1234", add_special_tokens=False).ids
+    assert cut.calls <= 2
+
+
+def test_pieces_that_go_on_beyond_a_line(tmp_path):
+    told = json.load(open(tokenizer_path(), encoding="utf-8"))
+    told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}]+|[^\p{L} ]+"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(told))
+    other = packing.WordTokenizer(str(path))
+    assert other.rules and other.encode(b"a1. .2b c%% 3").tolist() == other.tokenizer.encode("a1. .2b c%% 3", add_special_tokens=False).ids
+
+
 def test_small_caches_and_slices_change_nothing(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 20)
     monkeypatch.setattr(packing, "SLICE", 50)
