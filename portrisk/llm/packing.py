@@ -73,6 +73,9 @@ def _slices(text: bytes) -> Iterator[bytes]:
 
 
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
+WIDE = 24
+_FILL = np.array([(1 << 64) - (1 << 8 * n) for n in range(9)], np.uint64)  # the bytes after the first n of eight
+_SPACES, _FACTOR = np.uint64(0x2020202020202020), np.uint64(0x9E3779B97F4A7C15)
 _BREAK = b"\xff" * 4  # parts the ids of words; no id looks like it, as the last byte of each is zero
 
 
@@ -92,13 +95,59 @@ class Recent:
         return [x for x in fresh if x not in old]
 
 
+class Known:
+    """Ids of short words, found for many words at once: one place for each hash, taken by the latest word.
+
+    A word of up to WIDE bytes is its own key, filled up with spaces, so nothing is found for another word.
+    """
+
+    def __init__(self, most: int) -> None:
+        self.bits = max(1, most.bit_length() - 1)
+        self.keys = [np.full(1 << self.bits, _SPACES) for _ in range(WIDE // 8)]
+        self.at, self.size = (np.zeros(1 << self.bits, np.int64) for _ in range(2))
+        self.ids, self.end = np.zeros(1 << self.bits, np.uint32), 0
+
+    def keys_of(self, raw: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Keys and places of words in `raw`, which ends with WIDE bytes more."""
+        eight = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+        keys, hashed = [], np.zeros(len(starts), np.uint64)
+        for i in range(0, WIDE, 8):
+            filled = _FILL[np.clip(sizes - i, 0, 8)]
+            keys.append(eight[starts + i] & ~filled | filled & _SPACES)
+            hashed = (hashed ^ keys[-1]) * _FACTOR
+            hashed ^= hashed >> np.uint64(32)
+        return keys, (hashed * _FACTOR >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def hold(self, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Where ids are put, and how many."""
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        at = self.end + np.cumsum(size) - size
+        more = self.end + int(size.sum())
+        if more > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.end], np.zeros(2 * more - self.end, np.uint32)])
+        self.ids[self.end : more] = np.frombuffer(b"".join(ids), "<u4")
+        self.end = more
+        return at, size
+
+    def note(self, keys: list[np.ndarray], place: np.ndarray, at: np.ndarray, size: np.ndarray) -> None:
+        for held, new in zip([*self.keys, self.at, self.size], [*keys, at, size], strict=True):
+            held[place] = new
+
+    def forget(self) -> None:
+        """Begin anew once many ids are held."""
+        if self.end > 8 << self.bits:
+            self.ids, self.end = np.zeros(1 << self.bits, np.uint32), 0
+            for held in self.keys:
+                held[:] = _SPACES
+
+
 class WordTokenizer:
     """Ids by a tokenizer that drops white space and case, word by word.
 
     Such a tokenizer never joins what ASCII white space separates, nor two of its own pieces. So
-    each distinct word is looked up, the pieces of new plain words are encoded once, many at a
+    words are looked up, the pieces of new plain words are encoded once, many at a
     time, and other new words (other letters, control characters, special tokens) as a whole.
-    A cache that is full forgets what was not asked for lately, which changes no result.
+    A cache that is full forgets, which changes no result; words above WIDE bytes are never held.
     """
 
     def __init__(self, path: str) -> None:
@@ -107,7 +156,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.rules = _rules(path)
-        self.words, self.pieces = Recent(CACHE_WORDS), Recent(CACHE_WORDS)
+        self.words, self.pieces = Known(CACHE_WORDS), Recent(CACHE_WORDS)
         if self.rules:
             vocabulary = self.tokenizer.get_vocab()
             self.last = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -132,53 +181,77 @@ class WordTokenizer:
             else:
                 self.pieces.now.update(zip(part, self._ids(part), strict=True))
 
-    def _learn(self, fresh: list[bytes]) -> None:
-        """New plain words are cut and looked up together, one in each line."""
-        cut, odd, _ = self.rules
+    def _learn(self, fresh: list[bytes]) -> list[bytes]:
+        """The ids of new words, in their order."""
         lines = b"\n".join(fresh).decode("utf-8", "replace")
-        if places := [x.start() for x in odd.finditer(lines)]:
-            texts = lines.split("\n")
-            ends = np.cumsum([len(x) + 1 for x in texts])
-            whole = set(np.searchsorted(ends, places, side="right").tolist())
-            self._learn_whole([fresh[i] for i in whole])
-            fresh, texts = ([x for i, x in enumerate(y) if i not in whole] for y in (fresh, texts))
-            lines = "\n".join(texts)
-        parts = cut.findall(lines.lower())
-        if parts.count("\n") != len(fresh) - 1:  # nothing is left, or pieces go on beyond a line
-            self._learn_whole(fresh)
-            return
+        texts = lines.split("\n")
+        places = [x.start() for x in self.rules[1].finditer(lines)]
+        if not places:
+            return self._cut(texts)
+        ends = np.cumsum([len(x) + 1 for x in texts])
+        odd = np.zeros(len(texts), bool)
+        odd[np.searchsorted(ends, places, side="right")] = True
+        whole = iter(self._ids([x for x, o in zip(texts, odd, strict=True) if o]))
+        plain = iter(self._cut([x for x, o in zip(texts, odd, strict=True) if not o]))
+        return [next(whole if o else plain) for o in odd]
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """Plain words are cut and looked up together, one in each line."""
+        parts = self.rules[0].findall("\n".join(texts).lower())
+        if parts.count("\n") != len(texts) - 1:  # no words, or pieces go on beyond a line
+            return self._ids(texts)
         self._learn_pieces(self.pieces.missing(set(parts) - {"\n"}))
         known = self.pieces.now
         known["\n"] = _BREAK
-        self.words.now.update(zip(fresh, b"".join(map(known.__getitem__, parts)).split(_BREAK), strict=True))
-
-    def _learn_whole(self, fresh: list[bytes]) -> None:
-        self.words.now.update(zip(fresh, self._ids([x.decode("utf-8", "replace") for x in fresh]), strict=True))
+        return b"".join(map(known.__getitem__, parts)).split(_BREAK)
+
+    def _words(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts of the words of `raw`, which ends with WIDE spaces; the number of ids of each; the ids."""
+        data = np.frombuffer(raw, np.uint8)
+        starts, ends, _ = textkit.words(data, np.array([0, len(data)]))
+        known, sizes = self.words, ends - starts
+        keys, place = known.keys_of(raw, starts, sizes)
+        there = sizes <= WIDE
+        for held, key in zip(known.keys, keys, strict=True):
+            there &= held[place] == key
+        at, number = known.at[place], known.size[place]
+        new = np.flatnonzero(~there)
+        if len(new):
+            words = [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+            index = {x: i for i, x in enumerate(dict.fromkeys(words))}
+            which = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+            at[new], number[new] = (x[which] for x in known.hold(self._learn(list(index))))
+            short = new[sizes[new] <= WIDE]
+            known.note([x[short] for x in keys], place[short], at[short], number[short])
+        where = np.repeat(at - np.cumsum(number) + number, number)
+        where += np.arange(len(where))
+        ids = known.ids[where]
+        known.forget()
+        return starts, number, ids
 
     def encode_all(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each UTF-8 text."""
         if not self.rules:
             return [np.frombuffer(x, "<u4") for x in self._ids([t.decode("utf-8", "replace") for t in texts])]
-        out: list[list[bytes]] = [[] for _ in texts]
+        out: list[list[np.ndarray]] = [[] for _ in texts]
         held, size = [], 0
 
         def flush() -> None:
-            fresh = self.words.missing(set().union(*(x for _, x in held)))
-            if fresh:
-                self._learn(fresh)
-            known = self.words.now.__getitem__
-            for i, words in held:
-                out[i].append(b"".join(map(known, words)))
+            starts, number, ids = self._words(b" ".join([*(x for _, x in held), b" " * WIDE]))
+            begins = np.cumsum([0, *(len(x) + 1 for _, x in held)])
+            cuts = np.concatenate([[0], np.cumsum(number)])[np.searchsorted(starts, begins)].tolist()
+            for (i, _), a, b in zip(held, cuts[:-1], cuts[1:], strict=True):
+                out[i].append(ids[a:b])
 
         for i, text in enumerate(texts):
             for part in _slices(text):
-                held.append((i, part.split()))
+                held.append((i, part))
                 size += len(part)
                 if size >= SLICE:
                     flush()
                     held, size = [], 0
         flush()
-        return [np.frombuffer(b"".join(x), "<u4") for x in out]
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
 
     def encode(self, text: bytes) -> np.ndarray:
         return self.encode_all([text])[0]

@@ -94,6 +94,19 @@ def test_new_words_are_cut_together():
     assert cut.calls <= 2
 
 
+@pytest.mark.parametrize("most", [1, 4, 1 << 20])
+def test_words_are_their_own_keys(monkeypatch, most):
+    monkeypatch.setattr(packing, "CACHE_WORDS", most)
+    words = packing.WordTokenizer(tokenizer_path())
+    rng = random.Random(5)
+    parts = ["\x00" * n for n in (1, 7, 8, 23, 24, 25)] + ["a" * n for n in range(1, 60)] + ["a\x00", "a" * 24 + "b", "b" * 24, "é" * 12, "é" * 13]
+    text = " ".join(rng.choice(parts) for _ in range(4000))
+    for _ in range(2):
+        assert words.encode(text.encode()).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    assert words.encode_all([]) == [] and [len(x) for x in words.encode_all([b"", b" ", b"a"])] == [0, 0, 1]
+    assert words.words.end <= 8 << words.words.bits
+
+
 def test_pieces_that_go_on_beyond_a_line(tmp_path):
     told = json.load(open(tokenizer_path(), encoding="utf-8"))
     told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}]+|[^\p{L} ]+"
