@@ -53,8 +53,9 @@ def route_flags(df: DataFrame, routes: Mapping[str, Sequence[str]] = P.ROUTE_FLA
 
 
 def parse_news(df: DataFrame) -> DataFrame:
-    """Raw news rows with typed date, places, tone and route flags (one projection)."""
-    return route_flags(parse_tone(parse_locations(with_date(df))))
+    """Raw news rows, or those of ``with_date``, with typed date, places, tone and route flags (one projection)."""
+    dated = with_date(df) if "DATE" in df.columns else df
+    return route_flags(parse_tone(parse_locations(dated)))
 
 
 def first_url(column: str = "SOURCEURLS") -> Column:

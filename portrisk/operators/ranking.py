@@ -47,12 +47,12 @@ def rank_rows(
         F.count(F.lit(1)).alias("_rows"), F.min("_pos").alias("_first")
     )
     earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(
+    offsets = freeze(pieces.select(
         *[F.col(c).alias(f"_{c}") for c in by],
         F.col("_part").alias("__part"),
         "_first",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-    )
+    ))  # a table of known size, so that rows do not move to meet a few offsets
     same_piece = F.col("_part") == F.col("__part")
     for c in by:
         same_piece = same_piece & F.col(c).eqNullSafe(F.col(f"_{c}"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portrisk import profiles as P
-from portrisk.functions.parse import dateadded_between
+from portrisk.functions.parse import dateadded_between, with_date
 from portrisk.operators.aggregates import daily_features
 from portrisk.operators.filters import period, since
 from portrisk.operators.joins import route_members
@@ -60,6 +60,7 @@ def silver_news(
 ) -> None:
     """Add the port news of a day or range of news dates to the silver table.
 
+    News that the table holds are left out before anything is parsed.
     Late news change the ranks of their day and place only: the stored rows of these groups and the
     new ones are ranked together, and their days are written again. Other days, and days without
     new news, are not. A row keeps the page text it has; rows that become one of the ``k`` worst get
@@ -67,18 +68,19 @@ def silver_news(
     """
     raw = dateadded_between(spark.read.parquet(bronze_path), low, high or low, "DATE")
     if not exists(spark, table_path):
-        replace_days(freeze(build_silver(raw, pages, k)), table_path, "Date")
+        replace_days(build_silver(raw, pages, k), table_path, "Date")
         return
     keys, group = ["Date", *[c for c in P.NEWS_KEY if c != "DATE"]], ["Date", "LocationCode"]
-    found = freeze(route_news(raw))
-    new = freeze(unmatched(found, rows_of_days(spark, table_path, found, "Date"), keys, null_safe=True))
+    dated = with_date(raw)
+    unknown = unmatched(dated, rows_of_days(spark, table_path, dated, "Date"), keys, null_safe=True)
+    new = freeze(route_news(unknown))
     stored = rows_of_days(spark, table_path, new, "Date")
     touched = new.select(*group).distinct()
     again = stored.join(touched, group, "left_semi")
     apart = stored.join(touched, group, "left_anti")
     texts = again.where("contenturl is not null").select(*keys, F.col("contenturl").alias("_text"))
     ranked = rank_negative(again.drop("rank", "contenturl").unionByName(new))
-    replace_days(freeze(apart.unionByName(with_worst_pages(ranked, pages, k, texts, keys))), table_path, "Date")
+    replace_days(apart.unionByName(with_worst_pages(ranked, pages, k, texts, keys)), table_path, "Date")
 
 
 def gold_report(

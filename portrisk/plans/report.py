@@ -57,16 +57,19 @@ def with_worst_pages(
     and only the other rows look for a page.
     """
     missing = F.lit(None).cast("string")
+    if pages is None and texts is None:
+        return ranked.withColumn("contenturl", missing)
     worst, rest = ranked.where(F.col("rank") <= k), ranked.where(F.col("rank") > k).withColumn("contenturl", missing)
     if texts is None:
-        return (worst.withColumn("contenturl", missing) if pages is None else attach_pages(worst, pages, extract_paragraphs)).unionByName(rest)
+        return attach_pages(worst, pages, extract_paragraphs).unionByName(rest)
     one = texts.groupBy(*keys).agg(F.first("_text").alias("_text")).withColumnsRenamed({c: f"_{c}" for c in keys})
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
     known = worst.join(one, same, "left").select(*worst.columns, "_text")
+    if pages is None:
+        return known.withColumnRenamed("_text", "contenturl").unionByName(rest)
     kept = known.where("_text is not null").withColumnRenamed("_text", "contenturl")
     open_ = known.where("_text is null").drop("_text")
-    found = open_.withColumn("contenturl", missing) if pages is None else attach_pages(open_, pages, extract_paragraphs)
-    return kept.unionByName(found).unionByName(rest)
+    return kept.unionByName(attach_pages(open_, pages, extract_paragraphs)).unionByName(rest)
 
 
 def scored_news(news: DataFrame) -> DataFrame:

@@ -35,11 +35,12 @@ def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe:
     they would all hash to one task.
     """
     if null_safe:
-        other = _renamed(right.select(*keys).distinct(), keys)
-        return left.join(other, _same_key(keys), "left_anti")
-    known = left.where(~_any_null(keys)).join(
-        right.where(~_any_null(keys)).select(*keys).distinct(), list(keys), "left_anti"
-    )
+        other, same = right.select(*keys), _same_key(keys)
+        if left.select(*keys).dtypes == other.dtypes:  # equal keys have equal hashes then, which sort faster
+            left, other = (df.withColumn(n, F.xxhash64(*keys)) for df, n in ((left, "_hash"), (other, "__hash")))
+            same = (F.col("_hash") == F.col("__hash")) & same
+        return left.join(_renamed(other, keys), same, "left_anti").drop("_hash")
+    known = left.where(~_any_null(keys)).join(right.where(~_any_null(keys)).select(*keys), list(keys), "left_anti")
     return known.unionByName(left.where(_any_null(keys)))
 
 

@@ -269,6 +269,37 @@ def test_control_run_advances_only_after_success(spark):
     assert seen == ["2024-01-31", "2024-02-01", "2024-02-02"]
 
 
+def test_only_unknown_news_are_parsed(spark, monkeypatch):
+    from portrisk.plans import daily
+
+    parsed = []
+
+    def seen(raw):
+        parsed.append(sorted(r.CAMEOEVENTIDS for r in raw.select("CAMEOEVENTIDS").collect()))
+        return route_news(raw)
+
+    route_news = daily.route_news
+    monkeypatch.setattr(daily, "route_news", seen)
+    fields = {f.name: f.dataType for f in schemas.GKG.fields}
+    given = {"LOCATIONS": "1#x#US#USCA#0#0#f", "TONE": "-1,0,2,0", "THEMES": "PORT;MARITIME"}
+    bronze, silver = new_folder(spark, "b"), new_folder(spark, "s")
+    for ids in (["a", "b", "b"], ["c", "d"]):
+        made = spark.createDataFrame([(20240101, x) for x in ids], "DATE int, CAMEOEVENTIDS string").withColumns({c: F.lit(v) for c, v in given.items()})
+        made = made.select(*[(F.col(c) if c in made.columns else F.lit(None)).cast(t).alias(c) for c, t in fields.items()])
+        made.write.mode("append").partitionBy("DATE").parquet(bronze)
+        daily.silver_news(spark, bronze, silver, "2024-01-01")
+    assert parsed == [["c", "d"]]
+    assert sorted((r.rank, r.CAMEOEVENTIDS) for r in spark.read.parquet(silver).collect()) == [(1, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "d")]
+
+
+def test_unmatched_with_keys_of_other_types(spark):
+    left = spark.createDataFrame([(1, "a"), (1, None), (None, None), (2, "a"), (2, "a")], "id int, name string")
+    for kind in ("int", "long"):
+        right = spark.createDataFrame([(1, "a"), (1, "a"), (None, None), (None, "a")], f"id {kind}, name string")
+        got = merge.unmatched(left, right, ["id", "name"], null_safe=True)
+        assert got.columns == ["id", "name"] and sorted(map(tuple, got.collect()), key=str) == [(1, None), (2, "a"), (2, "a")]
+
+
 def test_late_news_rank_again_only_their_groups(spark, rows):
     """News in two deliveries give the silver rows of one, page texts included, and leave other days alone."""
     from portrisk.plans import daily
